@@ -7,9 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 # White space and line ends as the source corpus treats them, protagonist and
-# narrator names, and the cleaning patterns for script directives.
+# narrator names, and the cleaning patterns for script directives. `\p{Alnum}` is the ASCII class;
+# unlike a negated list of ranges it lets many threads match at full speed in one JVM.
 WS = r"[\t\n\x0b\x0c\r\x1c-\x1f \x85\p{Z}]"
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
+LINE_END = r"\R|[\x1c-\x1e]"
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 PROTAGONIST_MARK = "{@nickname}"
 PROTAGONIST = "博士"
 CHOICE_LABEL = "博士（多个选择）:"
@@ -33,12 +38,12 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strip(c: Column | str, chars: str = WS) -> Column:
-    return F.regexp_replace(col(c), rf"^{chars}+|{chars}+\z", "")
+def strip(c: Column | str, chars: str = WS_CHARS) -> Column:
+    return F.btrim(col(c), F.lit(chars))
 
 
 def rstrip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), rf"{WS}+\z", "")
+    return F.rtrim(col(c), F.lit(WS_CHARS))
 
 
 def lines(c: Column | str) -> Column:
@@ -155,7 +160,7 @@ def mention_count(body: Column | str, alias: Column | str) -> Column:
     """ASCII aliases need a word boundary on both sides, others count as plain substrings."""
     text, name = col(body), col(alias)
     literal = F.regexp_replace(name, r"([^A-Za-z0-9])", r"\\$1")
-    bounded = F.concat(F.lit(r"(?<![A-Za-z0-9])"), literal, F.lit(r"(?![A-Za-z0-9])"))
+    bounded = F.concat(F.lit(r"(?<!\p{Alnum})"), literal, F.lit(r"(?!\p{Alnum})"))
     plain = (F.length(text) - F.length(F.replace(text, name, F.lit("")))) / F.length(name)
     return F.when(alias_mode(name) == "ascii", F.regexp_count(text, bounded)).otherwise(plain).cast("bigint")
 

@@ -1,18 +1,19 @@
 """Matching an alias dictionary against chunk texts, and the tiers that follow from the matches.
 
-The dictionary is never crossed with the texts. Each text is cut once into the places where an
-alias can start to match, those places meet the dictionary in an equi-join, and only matching
-places travel on:
+The dictionary is never crossed with the texts. Each text is cut, in one pass, into the places where
+an alias can match, those places meet the dictionary in one equi-join, and matches are counted before
+their only shuffle:
 
 * aliases of ASCII letters and digits only match whole runs of such characters, so the runs of the
-  text are counted and joined on the run itself;
+  text are joined on the run itself;
 * every other alias holds at least one character outside that class. The first such character
-  (preferring a non-ASCII one) and its right neighbour form its anchor. The text yields one fixed
-  window around each such character; the window meets the anchor in the join and then decides the
-  exact match, so the text itself is not carried along.
+  (preferring a non-ASCII one) and a neighbour form its anchor. The text yields one fixed window
+  around each such character; the window meets the anchor in the join and then decides the exact
+  match, so the text itself is not carried along;
+* speakers are joined on the name before the colon of a dialogue line.
 
-Windows count overlapping hits. Only an alias with a border (a proper prefix that is also a suffix)
-can overlap itself; for those the final count is taken on the text.
+Windows would count overlapping hits. Only an alias with a border (a proper prefix that is also a
+suffix) can overlap itself; those are counted on the text instead.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ from scriptloom.session import small_side
 
 # Tier ranks.
 TIER_RANK = {"speaker": 3, "named": 2, "mentioned": 1}
-WORD = "[A-Za-z0-9]"
-PAD = "\u0000"
+# ASCII word characters and their complement.
+WORD, NON_WORD = r"\p{Alnum}", r"\P{Alnum}"
+INLINE = 200  # longest alias list put into a plan as a literal
+RUN, SINGLE, LEFT, RIGHT, WHOLE, SPEECH = range(6)  # kinds of places
 CHUNK = ["container_id", "stage_idx"]
 
 
@@ -63,88 +66,103 @@ def _bordered(alias: Column) -> Column:
 
 
 def dictionary(aliases: DataFrame) -> DataFrame:
-    """Distinct alias texts with the facts the matcher needs."""
-    alias = F.col("alias")
+    """Distinct alias texts with the kind and key of the place they meet."""
+    alias, offset = F.col("alias"), _shape(F.col("alias"))
     simple = alias.rlike(rf"\A{WORD}+\z")
-    offset = _shape(alias)
-    return aliases.select("alias").distinct().select(
-        "alias",
-        simple.alias("simple"),
-        F.length(alias).alias("size"),
-        tx.alias_mode(alias).alias("mode"),
-        F.when(~simple, offset).alias("offset"),
-        # the anchor is the character at the offset and, unless it is the last one, its neighbour
-        F.when(~simple & (offset + 1 < F.length(alias)), F.substring(alias, offset + 1, F.lit(2)))
-        .when(~simple, F.substring(alias, offset + 1, F.lit(1))).alias("anchor"),
-        F.when(~simple, _bordered(alias)).alias("bordered"),
+    words = aliases.select("alias").distinct().select(
+        "alias", F.length(alias).alias("size"), tx.alias_mode(alias).alias("mode"), offset.alias("offset"),
+        simple.alias("simple"), (~simple & _bordered(alias)).alias("bordered"),
     )
-
-
-def _word_hits(chunks: DataFrame, words: DataFrame) -> DataFrame:
-    runs = F.explode(F.split("body", "[^A-Za-z0-9]+", -1)).alias("alias")
-    tokens = chunks.select(*CHUNK, runs).filter(F.col("alias") != "")
-    return tokens.join(words.select("alias"), "alias").select(*CHUNK, "alias")
-
-
-def _window_hits(chunks: DataFrame, others: DataFrame, reach: int, spaces: bool) -> DataFrame:
-    """One row per exact occurrence of a non-simple alias (overlapping ones included)."""
-    body = F.concat(F.lit(PAD * (reach + 1)), F.col("body"), F.lit(PAD * (reach + 1)))
-    starts = r"[^A-Za-z0-9\x00]" if spaces else r"[^A-Za-z0-9\s\x00]"
-    window = rf"(?s)(?=(.{{{reach + 1}}}{starts}.{{{reach + 1}}}))"
-    places = chunks.select(*CHUNK, F.explode(F.regexp_extract_all(body, F.lit(window), F.lit(1))).alias("w"))
-    at = reach + 2  # 1-based place of the anchor character inside the window
-    pairs = places.select(
-        *CHUNK, "w", F.explode(F.array(F.substring("w", at, 1), F.substring("w", at, 2))).alias("anchor")
+    at = F.col("offset")
+    kind = (
+        F.when(F.col("simple"), RUN).when(F.col("bordered"), WHOLE).when(F.col("size") == 1, SINGLE)
+        .when(at == 0, RIGHT).otherwise(LEFT)
+    )
+    pair = F.substring(alias, F.when(at == 0, 1).otherwise(at), F.lit(2))
+    return words.select(
+        "alias", "size", "mode", "offset", kind.alias("kind"),
+        F.when(kind.isin(LEFT, RIGHT), pair).otherwise(alias).alias("key"),
     )
-    joined = pairs.join(others.select("alias", "size", "mode", "offset", "anchor", "bordered"), "anchor")
-    first = F.lit(at) - F.col("offset")
-    before = F.substring(F.col("w"), first - 1, F.lit(1))
-    after = F.substring(F.col("w"), first + F.col("size"), F.lit(1))
-    bounded = (F.col("mode") != "ascii") | (~before.rlike(WORD) & ~after.rlike(WORD))
-    exact = F.substring(F.col("w"), first, F.col("size")) == F.col("alias")
-    return joined.filter(exact & bounded).select(*CHUNK, "alias", "bordered")
 
 
-def mention_counts(chunks: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(container_id, stage_idx, alias, n) with exact non-overlapping counts.
+def _places(kinds: set[int], reach: int, spaces: bool, inline: list[str]) -> Column:
+    """Array, by kind, of the texts in which an alias can be found."""
+    none = F.array().cast("array<string>")
+    parts = [none] * (SPEECH + 1)
+    if RUN in kinds:
+        parts[RUN] = F.split("body", NON_WORD + "+", -1)
+    if kinds & {SINGLE, LEFT, RIGHT}:
+        pad = F.lit(" " * reach)
+        start = rf"(?={NON_WORD})" if spaces else rf"(?={NON_WORD})(?=\S)"
+        window = rf"(?s){start}(?<=(?=(.{{{2 * reach + 1}}})).{{{reach}}})"
+        around = F.regexp_extract_all(F.concat(pad, "body", pad), F.lit(window), F.lit(1))
+        for kind in kinds & {SINGLE, LEFT, RIGHT}:
+            parts[kind] = around
+    if WHOLE in kinds and inline:
+        present = F.filter(F.array(*[F.lit(a) for a in inline]), lambda a: F.contains(F.col("body"), a))
+        times = lambda a: F.array_repeat(a, tx.mention_count("body", a).cast("int"))
+        parts[WHOLE] = F.flatten(F.transform(present, times))
+    if SPEECH in kinds:
+        told = F.filter(tx.lines("body"), lambda x: x.contains(":") | x.contains("："))
+        parts[SPEECH] = F.filter(F.transform(told, lambda x: tx.speaker(x)), lambda x: x.isNotNull())
+    return F.array(*parts)
+
+
+def _far_bordered(chunks: DataFrame, bordered: DataFrame) -> DataFrame:
+    """Self-overlapping aliases, when too many to list: find their texts by anchor, join those back."""
+    grams = F.array_distinct(F.regexp_extract_all("body", F.lit(rf"(?s)(?=({NON_WORD}))"), F.lit(1)))
+    anchored = bordered.select("alias", F.substring("alias", F.col("offset") + 1, F.lit(1)).alias("g"))
+    pairs = chunks.select(*CHUNK, F.explode(grams).alias("g")).join(anchored, "g").select(*CHUNK, "alias")
+    counted = chunks.select(*CHUNK, "body").join(pairs, CHUNK)
+    counted = counted.select(*CHUNK, "alias", tx.mention_count("body", "alias").alias("n"))
+    return counted.filter("n > 0").select(*CHUNK, "alias", F.lit(0).cast("bigint").alias("spoke"), "n")
+
+
+def alias_hits(chunks: DataFrame, aliases: DataFrame, speech: bool = True) -> DataFrame:
+    """Spoken lines and exact non-overlapping mentions per (chunk, alias), rows without either left out.
 
     `chunks` must hold one row per (container_id, stage_idx).
     """
     words = small_side(dictionary(aliases))
-    facts = words.filter("not simple").agg(
-        F.max("size").alias("reach"),
-        F.bool_or("bordered").alias("bordered"),
-        F.bool_or(F.col("anchor").rlike(r"\A\s")).alias("spaces"),
+    facts = words.agg(
+        F.collect_set("kind").alias("kinds"),
+        F.max(F.when(F.col("kind").isin(SINGLE, LEFT, RIGHT), F.col("size"))).alias("size"),
+        F.count_if(F.col("kind") == WHOLE).alias("bordered"),
+        F.bool_or(F.substring("alias", F.col("offset") + 1, F.lit(1)).rlike(r"\s")).alias("spaces"),
     ).first()
-    hits = _word_hits(chunks, words.filter("simple"))
-    counted = hits.groupBy(*CHUNK, "alias").agg(F.count(F.lit(1)).alias("n"))
-    if facts["reach"] is None:
-        return counted
-    found = _window_hits(chunks, words.filter("not simple"), facts["reach"], bool(facts["spaces"]))
-    windows = found.groupBy(*CHUNK, "alias", "bordered").agg(F.count(F.lit(1)).alias("n"))
-    if not facts["bordered"]:
-        return counted.unionByName(windows.drop("bordered"))
-    single = windows.filter(~F.col("bordered") | (F.col("n") == 1)).drop("bordered")
-    recount = windows.filter(F.col("bordered") & (F.col("n") > 1)).select(*CHUNK, "alias")
-    exact = recount.join(chunks.select(*CHUNK, "body"), CHUNK).select(
-        *CHUNK, "alias", tx.mention_count("body", "alias").alias("n")
+    reach, near = (facts["size"] or 0) + 1, facts["bordered"] <= INLINE
+    kinds = set(facts["kinds"]) | ({SPEECH} if speech else set())
+    bordered = words.filter(F.col("kind") == WHOLE)
+    inline = [r["alias"] for r in bordered.select("alias").limit(INLINE).collect()] if near else []
+    cut = chunks.select(*CHUNK, F.posexplode(_places(kinds, reach, bool(facts["spaces"]), inline)).alias("kind", "texts"))
+    cut = cut.select(*CHUNK, "kind", F.explode("texts").alias("place"))
+    keyed = cut.withColumn(
+        "key",
+        F.when(F.col("kind") == SINGLE, F.substring("place", reach + 1, 1))
+        .when(F.col("kind") == LEFT, F.substring("place", reach, 2))
+        .when(F.col("kind") == RIGHT, F.substring("place", reach + 1, 2))
+        .otherwise(F.col("place")),
     )
-    return counted.unionByName(single).unionByName(exact)
+    known = words
+    if speech:
+        spoken = words.withColumns({"kind": F.lit(SPEECH), "key": F.col("alias")})
+        known = words.unionByName(spoken)
+    met = keyed.join(small_side(known), ["kind", "key"])
+    first = F.lit(reach + 1) - F.col("offset")
+    before = F.substring(F.col("place"), first - 1, F.lit(1))
+    after = F.substring(F.col("place"), first + F.col("size"), F.lit(1))
+    bounded = (F.col("mode") != "ascii") | (before.rlike(NON_WORD) & after.rlike(NON_WORD))
+    exact = F.substring(F.col("place"), first, F.col("size")) == F.col("alias")
+    windowed = F.col("kind").isin(SINGLE, LEFT, RIGHT)
+    said = F.when(F.col("kind") == SPEECH, 1).otherwise(0).cast("bigint")
+    hits = met.filter(~windowed | (exact & bounded)).select(*CHUNK, "alias", said.alias("spoke"), (1 - said).alias("n"))
+    if not near:
+        hits = hits.unionByName(_far_bordered(chunks, bordered))
+    return hits.groupBy(*CHUNK, "alias").agg(F.sum("spoke").alias("spoke"), F.sum("n").alias("n"))
 
 
-def alias_hits(chunks: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Spoken lines and mentions per (chunk, alias), rows without either left out."""
-    spoken = speaker_counts(chunks).select(
-        *CHUNK, F.col("speaker").alias("alias"), F.col("n_lines").alias("spoke"), F.lit(0).cast("bigint").alias("n")
-    )
-    known = small_side(aliases.select("alias").distinct())
-    spoken = spoken.join(known, "alias", "left_semi")
-    named = mention_counts(chunks, aliases).select(*CHUNK, "alias", F.lit(0).cast("bigint").alias("spoke"), "n")
-    return (
-        spoken.unionByName(named)
-        .groupBy(*CHUNK, "alias")
-        .agg(F.sum("spoke").alias("spoke"), F.sum("n").alias("n"))
-    )
+def mention_counts(chunks: DataFrame, aliases: DataFrame) -> DataFrame:
+    return alias_hits(chunks, aliases, speech=False).select(*CHUNK, "alias", "n")
 
 
 def participants(

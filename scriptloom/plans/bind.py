@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scriptloom.functions import tags as tg
@@ -11,29 +13,49 @@ from scriptloom.operators import chunks as ch
 from scriptloom.operators import edges as ed
 from scriptloom.operators import entities as en
 from scriptloom.operators import participants as pa
+from scriptloom.session import spread
 from scriptloom.sources import lines as ln
 
 EDGE_MARKS = r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+\z"
 TERM = r'<li><a href="/[^"]*">([^<]*)</a>'
 
 
+def shared(method):
+    """One plan per corpus, kept after its first use because several layers read it."""
+
+    @functools.wraps(method)
+    def once(self) -> DataFrame:
+        if method.__name__ not in self._shared:
+            self._shared[method.__name__] = method(self).persist()
+        return self._shared[method.__name__]
+
+    return once
+
+
 class Corpus:
     """Lazy views on one data folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._shared: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def texts(self, name: str) -> DataFrame:
+        """A text table, spread over the cores where its files give too few scan tasks."""
+        return spread(self.table(name))
+
     # ---- dictionary ---------------------------------------------------------------------
 
+    @shared
     def nav_terms(self) -> DataFrame:
         """Navigation link terms: page_id, url, ord, term."""
         terms = F.regexp_extract_all("html", F.lit(TERM), F.lit(1))
-        rows = self.table("pages").select("page_id", "url", F.posexplode(terms).alias("ord", "term"))
+        rows = self.texts("pages").select("page_id", "url", F.posexplode(terms).alias("ord", "term"))
         return rows.filter(F.col("term") != "").withColumn("ord", F.col("ord").cast("bigint"))
 
+    @shared
     def entities(self) -> DataFrame:
         """One entity per distinct term: entity_id, term, name, appellation, line_no."""
         first = self.nav_terms().groupBy("term").agg(F.min(F.col("page_id") * 1000 + F.col("ord")).alias("line_no"))
@@ -51,22 +73,25 @@ class Corpus:
             "line_no", F.concat("name", F.lit(";"), "term", F.coalesce(stem, F.lit(""))).alias("line")
         )
 
+    @shared
     def curated(self) -> DataFrame:
         return ln.alias_rows(self.alias_lines())
 
+    @shared
     def owners(self) -> DataFrame:
         return al.owners(self.entities(), self.curated())
 
     def alias_index(self) -> DataFrame:
         return al.index(self.owners())
 
+    @shared
     def match_aliases(self) -> DataFrame:
         return al.match_aliases(self.entities(), self.curated())
 
     # ---- chunks -------------------------------------------------------------------------
 
     def documents(self) -> DataFrame:
-        d = self.table("documents")
+        d = self.texts("documents")
         top = (
             F.when(F.col("lang") == "en", "obt/main/").when(F.col("lang") == "fr", "/obt\\memory\\")
             .otherwise("activities/")
@@ -80,7 +105,7 @@ class Corpus:
         )
 
     def page_chunks(self) -> DataFrame:
-        p = self.table("pages")
+        p = self.texts("pages")
         host = F.regexp_extract("url", r"^https?://([^/]+)", 1)
         return p.select(
             host.alias("container_id"), host.alias("container_name"), F.col("page_id").alias("stage_idx"),
@@ -96,7 +121,7 @@ class Corpus:
         terms = self.nav_terms().select(
             F.col("page_id").alias("conv_id"), F.col("ord").alias("turn"), plain("term").alias("term")
         )
-        t = self.table("conversations").join(terms, ["conv_id", "turn"], "left")
+        t = self.texts("conversations").join(terms, ["conv_id", "turn"], "left")
         who = F.coalesce("term", "role")
         one_line = F.replace(plain("text"), F.lit("\n"), F.lit(" "))
         escaped = F.replace(plain("text"), F.lit("\n"), F.lit("\\n"))
@@ -140,7 +165,7 @@ class Corpus:
         )
 
     def link_index(self) -> DataFrame:
-        p = self.table("pages")
+        p = self.texts("pages")
         return p.select(
             F.col("url").alias("link_key"), F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("container_id"),
             F.col("page_id").alias("stage_idx"),
@@ -149,6 +174,7 @@ class Corpus:
     def resolved_links(self) -> DataFrame:
         return ch.resolve_links(self.links(), self.link_index())
 
+    @shared
     def explicit(self) -> DataFrame:
         """Explicit edges, one per (entity, chunk)."""
         e = ed.explicit_edges(self.resolved_links())
@@ -160,22 +186,25 @@ class Corpus:
         """Tagged documents: heading words as key people of a page, advert words as those of its host."""
         words = lambda c: F.concat(F.lit("<关键人物>"), F.replace(c, F.lit(" "), F.lit(";")), F.lit("</关键人物>"))
         ad = F.regexp_extract("html", r'(?s)<div class="ad">(.*?)</div>', 1)
-        return self.table("pages").select(
+        return self.texts("pages").select(
             F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("container_id"),
             F.col("page_id").alias("stage_idx"),
             words(F.coalesce(tg.first_body("html", "h1"), F.lit(""))).alias("stage_doc"), words(ad).alias("container_doc"),
         )
 
+    @shared
     def stage_names(self) -> DataFrame:
         d = self.summary_docs().select("container_id", "stage_idx", F.posexplode(tg.key_names("stage_doc")).alias("ord", "name"))
         return d.withColumn("ord", F.col("ord").cast("bigint"))
 
+    @shared
     def container_names(self) -> DataFrame:
         d = self.summary_docs().select(
             "container_id", "stage_idx", F.posexplode(tg.key_names("container_doc")).alias("pos", "name")
         )
         return d.groupBy("container_id", "name").agg(F.min(F.col("stage_idx") * 1000 + F.col("pos")).alias("ord"))
 
+    @shared
     def summary(self) -> DataFrame:
         return ed.summary_edges(self.stage_names(), self.container_names(), self.alias_index(), self.explicit())
 

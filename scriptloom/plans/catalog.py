@@ -50,14 +50,14 @@ def q_clean_script(c: Corpus) -> DataFrame:
 
 @query
 def q_extract_tag(c: Corpus) -> DataFrame:
-    rows = c.table("pages").select("page_id", F.posexplode(tg.tag_bodies("html", "p")).alias("pos", "content"))
+    rows = c.texts("pages").select("page_id", F.posexplode(tg.tag_bodies("html", "p")).alias("pos", "content"))
     return rows.select("page_id", big("pos").alias("pos"), "content")
 
 
 @query
 def q_validate_tags(c: Corpus) -> DataFrame:
     need = ["title", "article", "footer", "aside"]
-    p = c.table("pages")
+    p = c.texts("pages")
     return p.select(
         "page_id", joined(tg.missing_tags("html", need)).alias("missing"),
         tg.rebuild("html", need[:3]).alias("rebuilt"),
@@ -66,7 +66,7 @@ def q_validate_tags(c: Corpus) -> DataFrame:
 
 def odd_documents(c: Corpus) -> DataFrame:
     """Documents wrapped in clean, unclosed, bracketed, labelled and absent tags."""
-    d = c.table("documents")
+    d = c.texts("documents")
     lang, text = F.col("lang"), F.col("text")
     lit = F.lit
     clean = F.concat(lit("<摘要>"), lang, lit("</摘要>\n<正文>"), text, lit("</正文>"))
@@ -217,7 +217,7 @@ def q_zip_tags(c: Corpus) -> DataFrame:
         F.lit("<活动名称>"), "lang", F.lit("</活动名称>\n"),
         F.when(F.length("text") % 7 == 0, "").otherwise(F.concat(F.lit("<相关内容>"), "source", F.lit("</相关内容>"))),
     )
-    d = c.table("documents").select("doc_id", tg.zipped_bodies(doc, "活动名称", "相关内容").alias("z"))
+    d = c.texts("documents").select("doc_id", tg.zipped_bodies(doc, "活动名称", "相关内容").alias("z"))
     rows = d.select("doc_id", F.posexplode_outer("z").alias("pos", "pair"))
     return rows.select("doc_id", big("pos").alias("pos"), F.col("pair.name").alias("name"), F.col("pair.body").alias("content"))
 
@@ -282,7 +282,7 @@ def q_resolve_candidates(c: Corpus) -> DataFrame:
 
 
 def text_links(c: Corpus) -> tuple[DataFrame, DataFrame]:
-    d, b = c.table("documents"), c.table("benchmark")
+    d, b = c.texts("documents"), c.table("benchmark")
     index = d.select(F.md5("text").alias("link_key"), F.concat_ws("-", "source", "lang").alias("container_id"), F.col("doc_id").alias("stage_idx"))
     links = d.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("owner"), F.md5("text").alias("link_key"))
     items = b.select(F.concat(F.lit("item"), F.col("item_id").cast("string")).alias("owner"), F.md5("text").alias("link_key"))
@@ -577,7 +577,7 @@ def searched(c: Corpus, pattern: str, regex: bool) -> DataFrame:
         F.col("container_id").alias("entity_id"), F.concat(F.lit("t"), F.col("stage_idx").cast("string")).alias("section"),
         F.col("body").alias("text"),
     )
-    summaries = c.table("pages").select(
+    summaries = c.texts("pages").select(
         F.concat(F.lit("page"), F.col("page_id").cast("string")).alias("container_id"),
         F.coalesce(tg.first_body("html", "article"), F.lit("")).alias("text"),
     )
@@ -699,7 +699,7 @@ def q_build_report(c: Corpus) -> DataFrame:
 
 @query
 def q_new_items(c: Corpus) -> DataFrame:
-    d, lab = c.table("documents").select("doc_id", "source", "lang"), c.table("labels")
+    d, lab = c.texts("documents").select("doc_id", "source", "lang"), c.table("labels")
     return ca.new_items(d, [lab.filter("quality = 1"), lab.filter("toxic = 1")], "doc_id")
 
 
@@ -742,7 +742,7 @@ def q_index_rows(c: Corpus) -> DataFrame:
 @query
 def q_render_page(c: Corpus) -> DataFrame:
     whole = F.concat(F.col("html"), F.lit("<version> 2 </version>"))
-    return c.table("pages").select("page_id", pg.rendered(whole, ["h1", "footer", "article"], "title").alias("page"))
+    return c.texts("pages").select("page_id", pg.rendered(whole, ["h1", "footer", "article"], "title").alias("page"))
 
 
 def page_files(c: Corpus) -> tuple[DataFrame, DataFrame]:

@@ -99,7 +99,7 @@ linkhit AS (SELECT url AS link_key, count(*) AS n, min({HOST}) AS container_id,
 det AS (
   SELECT entity_id, container_id, stage_idx, 'deterministic' AS source, min(link_name) AS story_set_name
   FROM link JOIN linkhit USING (link_key) WHERE n = 1 GROUP BY ALL)"""
-QUOTES = r"[“”\"''‘’「」『』 \t]"
+QUOTES = "[“”\"''‘’「」『』 \\t]"
 
 
 def names_of(x: str) -> str:

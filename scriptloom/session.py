@@ -45,6 +45,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work where a scan has fewer tasks than cores; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def small_side(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only after measuring the side; beyond the limit it stays a shuffled side.
 
