@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scriptloom.functions import text as tx
-from scriptloom.session import small_side
 
 # Role and common words that never count as an alias; class precedence.
 BLOCKLIST = (
@@ -67,7 +66,7 @@ def status_of(n: Column) -> Column:
 
 def resolve(names: DataFrame, alias_index: DataFrame, name: str = "name") -> DataFrame:
     """Add status, entity_id (when resolved) and the number of candidates to each name row."""
-    side = small_side(alias_index).select(F.col("alias").alias(name), "n_ids", "sole_id")
+    side = alias_index.select(F.col("alias").alias(name), "n_ids", "sole_id")
     joined = names.join(side, name, "left")
     return joined.select(
         *[F.col(c) for c in names.columns],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scriptloom.functions import text as tx
-from scriptloom.session import small_side
+from scriptloom.session import written
 
 MIN_SIMILAR = 2
 MIN_INSIDE = 3
@@ -65,7 +65,7 @@ def related_containers(chunks: DataFrame, key_names: DataFrame, aliases: DataFra
     a half-width colon, up to the longest alias, is a candidate for the equi-join. Key names count when
     equal to the alias or, for aliases of three characters and more, when they contain it.
     """
-    names = small_side(aliases.select("entity_id", "alias").distinct())
+    names = written(aliases.select("entity_id", "alias").distinct(), "names")
     reach = names.agg(F.max(F.length("alias")).alias("n")).first()["n"] or 0
     padded = F.concat(F.lit("\u0000" * reach), F.col("body"))
     before = F.regexp_extract_all(padded, F.lit(rf"(?s)(?=(.{{{reach}}}):)"), F.lit(1))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scriptloom.operators.participants import TIER_RANK, tier_rank
-from scriptloom.session import small_side
 
 EDGE_SCHEMA = (
     "entity_id string, container_id string, stage_idx bigint, source string, tier string, "
@@ -23,7 +22,7 @@ def explicit_edges(resolved_links: DataFrame) -> DataFrame:
 
 def resolved_names(key_names: DataFrame, alias_index: DataFrame) -> DataFrame:
     """Key-name rows (container_id, stage_idx, ord, name) joined with the alias index."""
-    side = small_side(alias_index).select(F.col("alias").alias("name"), "n_ids", "sole_id")
+    side = alias_index.select(F.col("alias").alias("name"), "n_ids", "sole_id")
     return key_names.join(side, "name", "left")
 
 

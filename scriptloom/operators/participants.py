@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scriptloom.functions import text as tx
-from scriptloom.session import small_side
+from scriptloom.session import BROADCAST_BYTES, written
 
 # Tier ranks.
 TIER_RANK = {"speaker": 3, "named": 2, "mentioned": 1}
@@ -123,9 +123,10 @@ def alias_hits(chunks: DataFrame, aliases: DataFrame, speech: bool = True) -> Da
 
     `chunks` must hold one row per (container_id, stage_idx).
     """
-    words = small_side(dictionary(aliases))
+    words = written(dictionary(aliases), "dictionary")
     facts = words.agg(
         F.collect_set("kind").alias("kinds"),
+        F.coalesce(F.sum(2 * (F.octet_length("alias") + F.octet_length("key") + 32)), F.lit(0)).alias("bytes"),
         F.max(F.when(F.col("kind").isin(SINGLE, LEFT, RIGHT), F.col("size"))).alias("size"),
         F.count_if(F.col("kind") == WHOLE).alias("bordered"),
         F.bool_or(F.substring("alias", F.col("offset") + 1, F.lit(1)).rlike(r"\s")).alias("spaces"),
@@ -133,7 +134,9 @@ def alias_hits(chunks: DataFrame, aliases: DataFrame, speech: bool = True) -> Da
     reach, near = (facts["size"] or 0) + 1, facts["bordered"] <= INLINE
     kinds = set(facts["kinds"]) | ({SPEECH} if speech else set())
     bordered = words.filter(F.col("kind") == WHOLE)
-    inline = [r["alias"] for r in bordered.select("alias").limit(INLINE).collect()] if near else []
+    inline = []
+    if near and facts["bordered"]:
+        inline = [r["alias"] for r in bordered.select("alias").limit(INLINE).collect()]
     cut = chunks.select(*CHUNK, F.posexplode(_places(kinds, reach, bool(facts["spaces"]), inline)).alias("kind", "texts"))
     cut = cut.select(*CHUNK, "kind", F.explode("texts").alias("place"))
     keyed = cut.withColumn(
@@ -147,7 +150,8 @@ def alias_hits(chunks: DataFrame, aliases: DataFrame, speech: bool = True) -> Da
     if speech:
         spoken = words.withColumns({"kind": F.lit(SPEECH), "key": F.col("alias")})
         known = words.unionByName(spoken)
-    met = keyed.join(small_side(known), ["kind", "key"])
+    side = F.broadcast(known) if facts["bytes"] <= BROADCAST_BYTES else known
+    met = keyed.join(side, ["kind", "key"])
     first = F.lit(reach + 1) - F.col("offset")
     before = F.substring(F.col("place"), first - 1, F.lit(1))
     after = F.substring(F.col("place"), first + F.col("size"), F.lit(1))
@@ -177,7 +181,7 @@ def participants(
     that suppress an edge. summary: (container_id, entity_id) pairs that lift a lone hit of a
     one-character name.
     """
-    rows = alias_hits(chunks, aliases).join(small_side(aliases), "alias")
+    rows = alias_hits(chunks, aliases).join(aliases, "alias")
     lone = (F.col("mode") == "cjk_single") & (F.col("n") > 0)
     if summary is not None:
         flagged = summary.select("container_id", "entity_id").distinct().withColumn("in_summary", F.lit(True))

@@ -13,7 +13,7 @@ from scriptloom.operators import chunks as ch
 from scriptloom.operators import edges as ed
 from scriptloom.operators import entities as en
 from scriptloom.operators import participants as pa
-from scriptloom.session import spread
+from scriptloom.session import spread, written
 from scriptloom.sources import lines as ln
 
 EDGE_MARKS = r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+\z"
@@ -21,12 +21,12 @@ TERM = r'<li><a href="/[^"]*">([^<]*)</a>'
 
 
 def shared(method):
-    """One plan per corpus, kept after its first use because several layers read it."""
+    """A layer several others read: written once per corpus, then scanned."""
 
     @functools.wraps(method)
     def once(self) -> DataFrame:
         if method.__name__ not in self._shared:
-            self._shared[method.__name__] = method(self).persist()
+            self._shared[method.__name__] = written(method(self), method.__name__)
         return self._shared[method.__name__]
 
     return once
@@ -81,6 +81,7 @@ class Corpus:
     def owners(self) -> DataFrame:
         return al.owners(self.entities(), self.curated())
 
+    @shared
     def alias_index(self) -> DataFrame:
         return al.index(self.owners())
 
@@ -208,12 +209,14 @@ class Corpus:
     def summary(self) -> DataFrame:
         return ed.summary_edges(self.stage_names(), self.container_names(), self.alias_index(), self.explicit())
 
+    @shared
     def unresolved(self) -> DataFrame:
         both = self.stage_names().select("container_id", "name").unionByName(
             self.container_names().select("container_id", "name")
         )
         return ed.unresolved(ed.resolved_names(both.distinct(), self.alias_index()))
 
+    @shared
     def participants(self) -> DataFrame:
         return pa.participants(self.chunks(), self.match_aliases(), self.explicit(), ed.key_ids(self.summary()))
 
@@ -245,15 +248,19 @@ class Corpus:
         )
         return people.unionByName(firms).unionByName(places)
 
+    @shared
     def operator_entities(self) -> DataFrame:
         return en.operator_entities(self.entities(), self.curated())
 
+    @shared
     def curated_entities(self) -> DataFrame:
         return en.curated_entities(self.curated_entries(), self.owners())
 
+    @shared
     def all_entities(self) -> DataFrame:
         return en.all_entities(self.operator_entities(), self.curated_entities(), self.unresolved())
 
+    @shared
     def entity_index(self) -> DataFrame:
         return al.index(en.alias_owners(self.all_entities()))
 
@@ -307,6 +314,7 @@ class Corpus:
         )
         return rows.unionByName(extra)
 
+    @shared
     def relations(self) -> DataFrame:
         from scriptloom.operators import relations as re_
 

@@ -1,13 +1,13 @@
-"""Session set-up and the size checks every broadcast in this package goes through."""
+"""Session set-up, written intermediate tables and scan spreading."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 64 * 1024 * 1024  # largest side broadcast by an explicit hint, after measuring
 
 
 def get_session(app: str = "scriptloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,7 +38,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage by writing to the shared folder and reading back; survives executor loss."""
+    """Cut the lineage: write to the shared folder and read back.
+
+    The result survives the loss of executors and has a known size, so joins with it need no hint:
+    Spark broadcasts it below `spark.sql.autoBroadcastJoinThreshold` and shuffles it beyond.
+    """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -49,19 +53,3 @@ def spread(df: DataFrame) -> DataFrame:
     """Give every core work where a scan has fewer tasks than cores; large inputs stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
-def small_side(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after measuring the side; beyond the limit it stays a shuffled side.
-
-    One pass computes and keeps the side (recomputable from its lineage when an executor is lost)
-    and returns a single number to the driver. Without the hint the join is a plain equi-join,
-    which adaptive execution splits on hot keys.
-    """
-    kept = df.persist()
-    width = F.lit(16)
-    for field in kept.schema.fields:
-        text = F.col(f"`{field.name}`").cast("string")
-        width = width + F.coalesce(F.octet_length(text), F.lit(8))
-    size = kept.agg(F.sum(width.cast("bigint")).alias("b")).first()["b"] or 0
-    return F.broadcast(kept) if size <= limit_bytes else kept
