@@ -15,20 +15,23 @@ STORY_TABLE = """map<string,struct<id:string,name:string,entryType:string,infoUn
 CHARACTER_TABLE = "map<string,struct<name:string,appellation:string,itemUsage:string,itemDesc:string,nationId:string>>"
 WORD_TABLE = """struct<charWords:map<string,struct<charId:string,voiceText:string>>,
   charExtraWords:map<string,struct<charId:string,voiceText:string>>>"""
-HANDBOOK_TABLE = """struct<handbookDict:map<string,struct<charID:string,
+HANDBOOK_TABLE = """struct<handbookDict:map<string,struct<charId:string,
   storyTextAudio:array<struct<storyTitle:string,stories:array<struct<storyText:string>>>>,
   handbookAvgList:array<struct<storySetName:string,avgList:array<struct<storyTxt:string,storyInfo:string>>>>>>>"""
-SKIN_TABLE = """struct<charSkins:map<string,struct<charId:string,charID:string,
+SKIN_TABLE = """struct<charSkins:map<string,struct<charId:string,
   displaySkin:struct<skinName:string,dialog:string,usage:string,description:string>>>>"""
-MODULE_TABLE = """struct<equipDict:map<string,struct<charId:string,charID:string,uniEquipName:string,uniEquipDesc:string>>>"""
+MODULE_TABLE = """struct<equipDict:map<string,struct<charId:string,uniEquipName:string,uniEquipDesc:string>>>"""
 INFO_PREFIX = "[uc]"
 
 
 def document(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One JSON document per file, parsed strictly into column `d`."""
-    return spark.read.text(path, wholetext=True).select(
-        F.from_json("value", schema, {"mode": "FAILFAST"}).alias("d")
-    )
+    """One JSON document per file, parsed strictly into column `d`.
+
+    The owner key comes in two spellings that Spark's field names cannot tell apart, so the rarer one
+    is rewritten. An unescaped quote before the key cannot be part of a JSON string.
+    """
+    text = F.regexp_replace("value", r'"charID"(\s*:)', '"charId"$1')
+    return spark.read.text(path, wholetext=True).select(F.from_json(text, schema, {"mode": "FAILFAST"}).alias("d"))
 
 
 def _at(root: str, name: str) -> str:
@@ -153,7 +156,7 @@ def handbook_rows(spark: SparkSession, root: str) -> DataFrame:
             F.element_at(s["avgList"], 1)["storyInfo"].alias("info_key"),
         ),
     )
-    rows = h.select(F.col("charID").alias("entity_id"), last.alias("stories"), sets.alias("storysets"))
+    rows = h.select(F.col("charId").alias("entity_id"), last.alias("stories"), sets.alias("storysets"))
     return _unique(rows, "entity_id")
 
 
@@ -171,8 +174,7 @@ def module_rows(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _listed(rows: DataFrame, record: str, out: str, value: Column) -> DataFrame:
-    owner = F.coalesce(f"{record}.charId", f"{record}.charID")
-    pairs = rows.select(owner.alias("entity_id"), F.struct("ord", value.alias("v")).alias("x"))
+    pairs = rows.select(F.col(f"{record}.charId").alias("entity_id"), F.struct("ord", value.alias("v")).alias("x"))
     return pairs.groupBy("entity_id").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["v"]).alias(out))
 
 
