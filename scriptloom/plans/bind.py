@@ -20,6 +20,11 @@ EDGE_MARKS = r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+\z"
 TERM = r'<li><a href="/[^"]*">([^<]*)</a>'
 
 
+TABLE_KEYS = {
+    "documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"], "events": ["event_id"],
+}
+
+
 def shared(method):
     """A layer several others read: written once per corpus, then scanned."""
 
@@ -43,8 +48,10 @@ class Corpus:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def texts(self, name: str) -> DataFrame:
-        """A text table, spread over the cores where its files give too few scan tasks."""
-        return spread(self.table(name))
+        """A text or event table, spread over the cores where its files give too few scan tasks."""
+        if name not in self._shared:
+            self._shared[name] = spread(self.table(name), *TABLE_KEYS[name])
+        return self._shared[name]
 
     # ---- dictionary ---------------------------------------------------------------------
 
@@ -268,7 +275,7 @@ class Corpus:
 
     def log_edges(self) -> DataFrame:
         """Edges from the event log: hour as container, ten minutes as chunk, user as entity."""
-        e = self.table("events")
+        e = self.texts("events")
         source = F.when(F.col("event_type") == "signup", "deterministic").otherwise("participant")
         tier = (
             F.when(F.col("event_type") == "purchase", "speaker").when(F.col("event_type").isin("click", "view"), "named")

@@ -49,7 +49,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work where a scan has fewer tasks than cores; large inputs stay as they are."""
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give every core work where a scan has fewer tasks than cores; large inputs stay as they are.
+
+    Hashing unique keys needs no sort and gives the same rows to a task that runs again.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
