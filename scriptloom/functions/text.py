@@ -227,7 +227,7 @@ def archive_section(stories) -> Column:
     return F.when(F.size(col(stories)) > 0, F.concat(F.lit("<干员档案>\n"), body, F.lit("\n</干员档案>\n")))
 
 
-def _or_none(c: Column) -> Column:
+def or_none(c: Column) -> Column:
     return F.coalesce(c, F.lit("None"))
 
 
@@ -236,8 +236,8 @@ def skins_section(skins) -> Column:
     rows = F.transform(
         kept,
         lambda s: F.concat(
-            F.lit("名称:"), _or_none(s["skinName"]), F.lit("\t描述:"), _or_none(s["dialog"]),
-            F.lit("\t用途:"), _or_none(s["usage"]), F.lit("\t旁白:"), s["description"],
+            F.lit("名称:"), or_none(s["skinName"]), F.lit("\t描述:"), or_none(s["dialog"]),
+            F.lit("\t用途:"), or_none(s["usage"]), F.lit("\t旁白:"), s["description"],
         ),
     )
     text = F.concat(F.lit("<干员皮肤>\n"), F.array_join(rows, "\n"), F.lit("\n</干员皮肤>\n"))
@@ -249,7 +249,7 @@ def modules_section(modules) -> Column:
     rows = F.transform(
         kept,
         lambda m: F.concat(
-            F.lit("<模组名称>"), _or_none(m["name"]), F.lit("</模组名称>\n<模组描述>\n"),
+            F.lit("<模组名称>"), or_none(m["name"]), F.lit("</模组名称>\n<模组描述>\n"),
             m["desc"], F.lit("\n</模组描述>\n"),
         ),
     )

@@ -71,8 +71,7 @@ def fact_card(e: DataFrame) -> DataFrame:
 def dossiers(e: DataFrame) -> DataFrame:
     """Whole-entity text for request documents: (entity_id, name, dossier)."""
     wrap = lambda tag, body: F.concat(F.lit(f"\n<{tag}>\n"), body, F.lit(f"\n</{tag}>"))
-    hired = F.when(F.col("usage").isNotNull() & F.col("item_desc").isNotNull(),
-                   wrap("干员招聘文本", F.concat("usage", F.lit("\n"), "item_desc")))
+    hired = wrap("干员招聘文本", F.concat(tx.or_none(F.col("usage")), F.lit("\n"), tx.or_none(F.col("item_desc"))))
     voice = F.when(F.col("words").isNotNull(), wrap("干员语音", F.array_join("words", "\n")))
     told = F.transform("stories", lambda s: F.concat(s["title"], F.lit(":"), s["text"]))
     archive = F.when(F.col("stories").isNotNull(), wrap("干员档案", F.array_join(told, "\n")))
@@ -80,10 +79,10 @@ def dossiers(e: DataFrame) -> DataFrame:
         "\n", F.lit("<干员信息>"), F.concat(F.lit("<干员名称>\n"), "name", F.lit("</干员名称>")),
         hired, voice, archive,
         _listed("skins", "干员皮肤", "description", lambda s: F.concat(
-            F.lit("名称:"), tx._or_none(s["skinName"]), F.lit("\t描述:"), tx._or_none(s["dialog"]),
-            F.lit("\t用途:"), tx._or_none(s["usage"]), F.lit("\t旁白:"), s["description"])),
+            F.lit("名称:"), tx.or_none(s["skinName"]), F.lit("\t描述:"), tx.or_none(s["dialog"]),
+            F.lit("\t用途:"), tx.or_none(s["usage"]), F.lit("\t旁白:"), s["description"])),
         _listed("modules", "干员模组", "desc", lambda m: F.concat(
-            F.lit("<模组名称>"), tx._or_none(m["name"]), F.lit("</模组名称>\n<模组描述>\n"), m["desc"],
+            F.lit("<模组名称>"), tx.or_none(m["name"]), F.lit("</模组名称>\n<模组描述>\n"), m["desc"],
             F.lit("\n</模组描述>\n"))),
         F.lit("</干员信息>"),
     )
@@ -95,3 +94,31 @@ def _listed(items: str, tag: str, shown: str, line):
     return F.when(
         F.col(items).isNotNull(), F.concat_ws("\n", F.lit(f"\n<{tag}>"), rows, F.lit(f"</{tag}>"))
     )
+
+
+def request_parts(entities: DataFrame, aliases: DataFrame, dossiers: DataFrame, parts: DataFrame) -> DataFrame:
+    """Entity request document as ordered parts (entity_id, block, ord, text).
+
+    Block 0 names the entity and its aliases, block 1 holds the dossier of every alias that is a known
+    name, block 2 the container parts as tag pairs. aliases: entity_id, alias, ord. dossiers: name,
+    dossier. parts: entity_id, ord, title, text. Parts stay rows, so no entity is gathered in one task.
+    """
+    listed = F.array_sort(F.collect_list(F.struct("ord", "alias")))
+    names = aliases.groupBy("entity_id").agg(F.array_join(F.transform(listed, lambda p: p["alias"]), ";").alias("_n"))
+    head = entities.join(names, "entity_id").select(
+        "entity_id", F.lit(0).alias("block"), F.lit(0).cast("bigint").alias("ord"),
+        F.concat(F.lit("名称:"), "name", F.lit("\n已知其他名称(可能有更多):"), "_n").alias("text"),
+    )
+    known = aliases.join(dossiers.withColumnRenamed("name", "alias"), "alias").select(
+        "entity_id", F.lit(1).alias("block"), F.col("ord").cast("bigint").alias("ord"), F.col("dossier").alias("text")
+    )
+    told = parts.select(
+        "entity_id", F.lit(2).alias("block"), F.col("ord").cast("bigint").alias("ord"),
+        F.concat(F.lit("<活动名称>"), "title", F.lit("</活动名称>\n<相关内容>\n"), "text", F.lit("\n</相关内容>\n\n")).alias("text"),
+    )
+    return head.unionByName(known).unionByName(told)
+
+
+def unknown_aliases(aliases: DataFrame, dossiers: DataFrame) -> DataFrame:
+    """Aliases without a dossier of their own."""
+    return aliases.select("entity_id", "alias").join(dossiers.select(F.col("name").alias("alias")), "alias", "left_anti")

@@ -154,13 +154,10 @@ def q_fact_card(c: Corpus) -> DataFrame:
     )
 
 
-@query
-def q_sections(c: Corpus) -> DataFrame:
-    from scriptloom.operators.cards import section_texts
-
+def part_entities(c: Corpus) -> DataFrame:
     none = F.lit(None).cast("string")
-    e = c.table("part").select(
-        F.format_string("part%09d", "p_partkey").alias("entity_id"), F.col("p_name").alias("usage"),
+    return c.table("part").select(
+        F.format_string("part%09d", "p_partkey").alias("entity_id"), F.col("p_name").alias("name"), F.col("p_name").alias("usage"),
         F.when(F.col("p_size") > 20, F.col("p_type")).alias("item_desc"),
         F.when(F.col("p_size") > 10, F.col("p_brand")).alias("nation_id"),
         F.when(F.col("p_size") > 5, F.array("p_type", "p_brand")).alias("words"),
@@ -169,7 +166,41 @@ def q_sections(c: Corpus) -> DataFrame:
                          F.when(F.col("p_size") > 30, F.col("p_name")).alias("description"))).alias("skins"),
         F.array(F.struct(F.col("p_brand").alias("name"), F.when(F.col("p_size") > 40, F.col("p_type")).alias("desc"))).alias("modules"),
     )
-    return section_texts(e)
+
+
+@query
+def q_sections(c: Corpus) -> DataFrame:
+    from scriptloom.operators.cards import section_texts
+
+    return section_texts(part_entities(c))
+
+
+@query
+def q_dossiers(c: Corpus) -> DataFrame:
+    from scriptloom.operators.cards import dossiers
+
+    return dossiers(part_entities(c))
+
+
+@query
+def q_relation_requests(c: Corpus) -> DataFrame:
+    sections = [("profile.txt", tx.profile_section("usage", "item_desc", "nation_id")),
+                ("archive.txt", tx.archive_section("stories")), ("voice.txt", tx.voice_section("words"))]
+    e = part_entities(c).filter(F.col("name") != "")
+    text = inc.section_document(sections)
+    return e.select("entity_id", text.alias("request"), big(F.length(text)).alias("request_length"))
+
+
+@query
+def q_entity_requests(c: Corpus) -> DataFrame:
+    from scriptloom.operators.cards import request_parts
+
+    named = c.entities().filter(F.col("name") != "")
+    known = named.groupBy("name").agg(F.concat(F.lit("terms from "), F.min("term")).alias("dossier"))
+    told = c.explicit().join(c.page_chunks().select("container_id", "stage_idx", F.col("name").alias("text")), ["container_id", "stage_idx"])
+    told = told.select("entity_id", F.col("stage_idx").alias("ord"), F.col("container_id").alias("title"), "text")
+    rows = request_parts(named, al.manifest_aliases(c.entities(), c.curated()), known, told)
+    return rows.withColumn("block", big("block"))
 
 
 @query

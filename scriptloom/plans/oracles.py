@@ -513,3 +513,23 @@ ORACLES["q_whats_new"] = """
 SELECT l_orderkey AS item_id, CASE WHEN o_orderkey IS NOT NULL AND o_orderstatus <> 'P' THEN '[order ' || o_orderkey || '](docs/stories/' || o_orderkey || '.md)' || CASE WHEN o_orderpriority = '1-URGENT' AND c_name IS NOT NULL THEN '(' || c_name || ')' ELSE '' END END AS link,
   CASE WHEN o_orderkey IS NULL THEN 'unknown item' WHEN o_orderstatus = 'P' THEN 'no page' END AS reason
 FROM (SELECT DISTINCT l_orderkey FROM lineitem) LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey"""
+
+# ---- request documents ----
+PARTS = "p AS (SELECT *, format('part{:09d}', p_partkey) AS entity_id, chr(10) AS nl FROM part)"
+ORACLES["q_dossiers"] = f"""WITH {PARTS} SELECT entity_id, p_name AS name, concat('<干员信息>', nl, '<干员名称>', nl, p_name, '</干员名称>', nl,
+  nl, '<干员招聘文本>', nl, p_name, nl, CASE WHEN p_size > 20 THEN p_type ELSE 'None' END, nl, '</干员招聘文本>', nl,
+  CASE WHEN p_size > 5 THEN concat(nl, '<干员语音>', nl, p_type, nl, p_brand, nl, '</干员语音>', nl) ELSE '' END,
+  nl, '<干员档案>', nl, p_type, ':', p_name, nl, '</干员档案>', nl, nl, '<干员皮肤>', nl,
+  CASE WHEN p_size > 30 THEN concat('名称:', p_type, chr(9), '描述:None', chr(9), '用途:', p_brand, chr(9), '旁白:', p_name, nl) ELSE '' END, '</干员皮肤>', nl, nl, '<干员模组>', nl,
+  CASE WHEN p_size > 40 THEN concat('<模组名称>', p_brand, '</模组名称>', nl, '<模组描述>', nl, p_type, nl, '</模组描述>', nl, nl) ELSE '' END, '</干员模组>', nl, '</干员信息>') AS dossier FROM p"""
+ORACLES["q_relation_requests"] = f"""WITH {PARTS}, r AS (SELECT entity_id, concat('=== profile.txt ===', nl, '<干员招聘文本>', nl, p_name, CASE WHEN p_size > 20 THEN nl || p_type ELSE '' END, nl, '</干员招聘文本>',
+  CASE WHEN p_size > 10 THEN nl || '<国家>' || p_brand || '</国家>' ELSE '' END, nl, nl, '=== archive.txt ===', nl, '<干员档案>', nl, p_type, ':', nl, p_name, nl, '</干员档案>',
+  CASE WHEN p_size > 5 THEN concat(nl, nl, '=== voice.txt ===', nl, '<干员语音>', nl, p_type, nl, p_brand, nl, '</干员语音>') ELSE '' END) AS request FROM p)
+SELECT entity_id, request, length(request) AS request_length FROM r"""
+ORACLES["q_entity_requests"] = f"""WITH {ENTITIES},
+kn AS (SELECT name, 'terms from ' || min(term) AS dossier FROM ent WHERE name <> '' GROUP BY name)
+SELECT ent.entity_id, CAST(0 AS BIGINT) AS block, CAST(0 AS BIGINT) AS ord, '名称:' || name || chr(10) || '已知其他名称(可能有更多):' || (SELECT string_agg(alias, ';' ORDER BY o, alias) FROM opal WHERE opal.entity_id = ent.entity_id) AS text
+FROM ent WHERE name <> ''
+UNION ALL SELECT entity_id, 1, o, dossier FROM opal JOIN kn ON alias = name
+UNION ALL SELECT entity_id, 2, stage_idx, concat('<活动名称>', container_id, '</活动名称>', chr(10), '<相关内容>', chr(10), {FIRST('html', 'title')}, chr(10), '</相关内容>', chr(10), chr(10))
+FROM det JOIN pages ON page_id = stage_idx"""

@@ -20,6 +20,8 @@ def get_session(app: str = "scriptloom", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # lists per key stay short here, so hash aggregation may hold many keys before it sorts
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
     }
     for key, value in {**base, **conf}.items():
         builder = builder.config(key, value)

@@ -39,3 +39,11 @@ def name_list(df: DataFrame, column: str, path: str) -> None:
 def named(entities: DataFrame) -> DataFrame:
     """Entities that can be written: those with a name."""
     return entities.filter(F.col("name") != "")
+
+
+def read_or_empty(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
+    """A written table, or an empty one before the first run (unit state, cached parts)."""
+    from scriptloom.sources.lines import exists
+
+    path = f"{root.rstrip('/')}/{name}"
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
