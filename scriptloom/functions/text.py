@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 # White space and line ends as the source corpus treats them, protagonist and
@@ -279,7 +277,3 @@ def bracket_fields(c: Column | str) -> Column:
 
 def as_map(fields: Column) -> Column:
     return F.map_from_entries(fields)
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

@@ -97,21 +97,6 @@ def text_parts(chunks: DataFrame) -> DataFrame:
     return header.unionByName(parts)
 
 
-def joined_within(
-    parts: DataFrame, key: str, order: str, text: str, sep: str, fits: DataFrame, out: str
-) -> DataFrame:
-    """Concatenate ordered parts per key for the keys listed in `fits`.
-
-    `fits` holds keys whose measured size is inside a limit, so no group can outgrow a task; the
-    other keys keep their parts as rows.
-    """
-    kept = parts.join(fits.select(key), key, "left_semi")
-    ordered = F.array_sort(F.collect_list(F.struct(order, text)))
-    return kept.groupBy(key).agg(
-        F.array_join(F.transform(ordered, lambda p: p[text]), sep).alias(out)
-    )
-
-
 def stage_table(chunks: DataFrame) -> DataFrame:
     return chunks.select(
         "container_id", "stage_idx", "name", "tag", "source_family",

@@ -1,0 +1 @@
+"""Empty on purpose: the rebuilt work is batch only; re-runs are planned by `operators.incremental`."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scriptloom.operators import aliases as al
 from scriptloom.operators import candidates as ca
+from scriptloom.operators import cards as cd
 from scriptloom.operators import chunks as ch
 from scriptloom.operators import cooccurrence as co
 from scriptloom.operators import edges as ed
@@ -20,6 +21,7 @@ from scriptloom.operators import relations as rel
 from scriptloom.operators import search as se
 from scriptloom.operators import stats as st
 
+CONF = {"spark.sql.autoBroadcastJoinThreshold": "10485760"}
 CHUNK = "container_id string, stage_idx bigint, body string"
 ENTITY = "entity_id string, name string, appellation string"
 
@@ -66,6 +68,11 @@ def expected_count(body, alias):
 def test_matcher_against_brute_force(spark, monkeypatch, inline):
     """Random texts over a tiny alphabet: boundaries, punctuation, overlaps, text ends."""
     monkeypatch.setattr(pa, "INLINE", inline)
+    if not inline:  # also take the way of a dictionary too large to broadcast
+        monkeypatch.setattr(pa, "BROADCAST_BYTES", -1)
+        monkeypatch.setitem(CONF, "spark.sql.autoBroadcastJoinThreshold", "-1")
+    for key, value in CONF.items():
+        spark.conf.set(key, value)
     rng = random.Random(7 + inline)
     letters = "ab1é年哈-. "
     text = lambda n: "".join(rng.choice(letters) for _ in range(n))
@@ -75,6 +82,7 @@ def test_matcher_against_brute_force(spark, monkeypatch, inline):
     cdf = spark.createDataFrame([("c", i, b) for i, b in enumerate(bodies)], CHUNK)
     got = {(r.stage_idx, r.alias): r.n for r in pa.mention_counts(cdf, adf).collect()}
     want = {(i, a): n for i, b in enumerate(bodies) for a in aliases if (n := expected_count(b, a))}
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == want
 
 
@@ -178,6 +186,21 @@ def test_entities(spark):
     assert [(r.name, r.first_container_ids) for r in got] == [("某", ["c0", "c1", "c2", "c3", "c4"])]
 
 
+def test_later_entity_wins_by_id(spark):
+    df = spark.createDataFrame([("x", "first", 1), ("x", "second", 2), ("y", "only", 0)], "entity_id string, name string, line_no bigint")
+    assert rows(en.by_id(df), "entity_id", "name") == [("x", "second"), ("y", "only")]
+
+
+def test_request_parts(spark):
+    ents = spark.createDataFrame([("e", "甲")], "entity_id string, name string")
+    als = spark.createDataFrame([("e", "甲", 0), ("e", "乙", 1)], "entity_id string, alias string, ord bigint")
+    docs = spark.createDataFrame([("甲", "档案")], "name string, dossier string")
+    told = spark.createDataFrame([("e", 3, "事", "文")], "entity_id string, ord bigint, title string, text string")
+    got = [(r.block, r.text) for r in cd.request_parts(ents, als, docs, told).orderBy("block", "ord").collect()]
+    assert got == [(0, "名称:甲\n已知其他名称(可能有更多):甲;乙"), (1, "档案"), (2, "<活动名称>事</活动名称>\n<相关内容>\n文\n</相关内容>\n\n")]
+    assert rows(cd.unknown_aliases(als, docs), "entity_id", "alias") == [("e", "乙")]
+
+
 def test_content_hash(spark):
     data = [("u1", "b", "二"), ("u1", "a", "一"), ("u2", "a", "一" * 50)]
     df = spark.createDataFrame(data, "unit_id string, name string, text string")
