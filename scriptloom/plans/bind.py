@@ -296,9 +296,9 @@ class Corpus:
             notes.alias("notes"), seq.cast("bigint").alias("seq"),
         ]
         nation, region = self.table("nation"), self.table("region")
-        c = self.table("customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-        s = self.table("supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-        n = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+        c = self.table("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        s = self.table("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        n = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         p = self.table("part")
         rows = c.select(*rel(F.col("c_name"), "origin_from", F.col("n_name"), F.col("n_name"), F.col("c_mktsegment"), F.col("c_custkey")))
         rows = rows.unionByName(s.select(*rel(F.col("s_name"), "origin_from", F.col("n_name"), F.col("n_name"), none, F.col("s_suppkey"))))
@@ -308,7 +308,7 @@ class Corpus:
 
     def curated_relations(self) -> DataFrame:
         """Overrides: every supplier origin restated with a note, and part sizes as new rows."""
-        s = self.table("supplier").join(F.broadcast(self.table("nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+        s = self.table("supplier").join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         p = self.table("part")
         rows = s.select(
             F.col("s_name").alias("head"), F.lit("origin_from").alias("type"), F.col("n_name").alias("tail"),
