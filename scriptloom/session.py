@@ -20,8 +20,6 @@ def get_session(app: str = "scriptloom", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # lists per key stay short here, so hash aggregation may hold many keys before it sorts
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
     }
     for key, value in {**base, **conf}.items():
         builder = builder.config(key, value)
@@ -29,11 +27,19 @@ def get_session(app: str = "scriptloom", master: str | None = None, **conf: str)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temporary one only where none is set (local tests)."""
+    """Shared folder named by the cluster in spark.checkpoint.dir.
+
+    Where none is set, a local master (tests) gets a temporary folder; any other master is an error, since
+    executors would each write to a disk of their own and the rows would be missing when read back.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        current = spark.sparkContext.getCheckpointDir()
-        root = current or tempfile.mkdtemp(prefix="scriptloom-ckpt-")
+        root = spark.sparkContext.getCheckpointDir()
+    if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+        root = tempfile.mkdtemp(prefix="scriptloom-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
