@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptloom.llm import quality_rules
+from scriptloom.llm import line_dedup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,46 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules,)}
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.deduplicated(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op6_line_dedup)}
 
 #: DuckDB SQL for the same rows.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_line_dedup": r"""
+with parts as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as p
+  from documents),
+w as (
+  select doc_id, line, p, row_number() over (partition by doc_id order by p) as r,
+         len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) as n
+  from parts where regexp_matches(line, '[^\x20\x09-\x0D]')),
+c as (
+  select *, sum(n) over (partition by doc_id order by r) as upto from w),
+seqs as (select doc_id, list(line order by r) as ls from w group by doc_id),
+runs as (
+  select a.doc_id, a.r as s, b.r as e
+  from c a join c b on a.doc_id = b.doc_id and b.r between a.r and a.r + 50
+  where b.upto - a.upto + a.n >= 50 and (b.upto - a.upto + a.n - b.n < 50 or b.upto - a.upto < 50)),
+named as (
+  select doc_id, s, e, list_aggregate(list_slice(ls, s, e), 'string_agg', chr(10)) as name
+  from runs join seqs using (doc_id)),
+firsts as (select *, min((doc_id, s)) over (partition by name) as f from named),
+gone as (
+  select distinct doc_id, unnest(range(s, e + 1)) as r from firsts where (doc_id, s) > f),
+kept as (
+  select parts.doc_id, parts.p, parts.line, gone.r is not null as cut
+  from parts left join w on w.doc_id = parts.doc_id and w.p = parts.p
+  left join gone on gone.doc_id = w.doc_id and gone.r = w.r)
+select d.doc_id,
+  case when coalesce(k.n_deleted, 0) = 0 then d.text else coalesce(k.text, '') end as text,
+  coalesce(k.n_lines, 0)::bigint as n_lines, coalesce(k.n_deleted, 0)::bigint as n_deleted
+from documents d left join (
+  select doc_id, string_agg(line, chr(10) order by p) filter (where not cut) as text,
+    count(*) filter (where regexp_matches(line, '[^\x20\x09-\x0D]')) as n_lines, count(*) filter (where cut) as n_deleted
+  from kept group by doc_id) k on k.doc_id = d.doc_id
+""",
+}
