@@ -26,8 +26,9 @@ RUNS = re.compile(f"[{LETTER}]+|[{DIGIT}]|[^{LETTER}{DIGIT}]+")
 PLAIN = re.compile("[!-&(-~¡-ÿ]+")
 # white space for Python that may be an ordinary character for the library
 ODD = re.compile("[\x1c-\x1f]")
-LIMIT = 300_000  # dictionary entries; a full dictionary starts anew
-LONGEST = 40  # characters of a word worth remembering
+WORDS = 250_000  # words remembered; a full dictionary starts anew
+KEPT_RUNS = 400_000  # runs remembered
+LONGEST = 64  # characters of a word or run worth remembering
 CALL = 200_000  # characters given to the library at once
 
 
@@ -56,42 +57,41 @@ class WordEncoder:
         self.runs: dict[str, bytes] = {}
 
     def ids(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(self.packed(text), dtype="<u4")
-
-    def packed(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if ODD.search(text):
-            return self._library([text])[0]
-        found = text.split()
+        return np.frombuffer(self.packed([text])[0], dtype="<u4")
+
+    def packed(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        odd = {i for i, t in enumerate(texts) if t and ODD.search(t)}
+        found = [(t or "").split() if i not in odd else [] for i, t in enumerate(texts)]
+        if len(self.words) > WORDS:
+            self.words = {}
         known = self.words
-        new = {w for w in found if w not in known}
-        if not new:
-            return b"".join([known[w] for w in found])
-        learned = self._words(new)
-        if len(known) + len(learned) > LIMIT:
-            known = self.words = {}
-        known.update((w, b) for w, b in learned.items() if len(w) <= LONGEST)
-        if all(w in known for w in found):
-            return b"".join([known[w] for w in found])
-        return b"".join([learned[w] if w in learned else known[w] if w in known else self._words({w})[w] for w in found])
+        new = {w for ws in found for w in ws if w not in known}
+        if new:
+            known.update(self._words(new))
+        out = [b"".join([known[w] for w in ws]) for ws in found]
+        for w in new:
+            if len(w) > LONGEST:
+                del known[w]
+        for i in odd:
+            out[i] = self._library([texts[i]])[0]
+        return out
 
     def _words(self, words: set[str]) -> dict[str, bytes]:
         out: dict[str, bytes] = {}
         cut: dict[str, list[str]] = {}
+        cuts, plain = RUNS.findall, PLAIN.fullmatch
         for w in words:
-            if "<|" not in w and PLAIN.fullmatch(w):
-                cut[w] = RUNS.findall(w.lower())
+            if plain(w) and "<|" not in w:
+                cut[w] = cuts(w.lower())
             else:
                 out[w] = b""
         others = list(out)
         out.update(zip(others, self._library(others), strict=True))
+        if len(self.runs) > KEPT_RUNS:
+            self.runs = {}
         runs = self.runs
         new = list({r for rs in cut.values() for r in rs if r not in runs})
-        if len(runs) + len(new) > LIMIT:
-            runs = self.runs = {}
-            new = list({r for rs in cut.values() for r in rs})
         at = 0
         while at < len(new):
             upto, size = at, 0
@@ -111,6 +111,9 @@ class WordEncoder:
             at = upto
         for w, rs in cut.items():
             out[w] = runs[rs[0]] if len(rs) == 1 else b"".join([runs[r] for r in rs])
+        for r in new:
+            if len(r) > LONGEST:
+                del runs[r]
         return out
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -134,6 +137,18 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+def groups(texts: list[str | None], size: int = CALL):
+    """Ranges of consecutive texts with about `size` characters, at least one text each."""
+    at = 0
+    while at < len(texts):
+        upto, seen = at, 0
+        while upto < len(texts) and (upto == at or seen + len(texts[upto] or "") <= size):
+            seen += len(texts[upto] or "")
+            upto += 1
+        yield at, upto
+        at = upto
+
+
 _encoders: dict[str, WordEncoder] = {}
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptloom.llm import line_dedup, quality_rules
+from scriptloom.llm import line_dedup, packing, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,11 +19,20 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.rated(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.deduplicated(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op6_line_dedup)}
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op2_quality_rules, op5_toxicity, op6_line_dedup, op7_best_fit_packing)}
 
 #: DuckDB SQL for the same rows.
 ORACLES: dict[str, str] = {
