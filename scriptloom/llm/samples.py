@@ -27,13 +27,30 @@ def labelled(documents: DataFrame, labels: DataFrame, label: str, per_class: int
     return rows.groupBy("doc_id").agg(F.max_by("text", F.xxhash64("text")).alias("text"), F.max("_label").alias("label"))
 
 
-def counted(rows: DataFrame, words: Callable[[str], Counter]) -> list[tuple[int, int, Counter]]:
-    """(doc_id, label, word counts) of a bounded sample, counted on the executors, in the order of the ids."""
+def counted(rows: DataFrame, features: Callable[[str], Counter]) -> DataFrame:
+    """doc_id, label, feature, n of a bounded sample; the feature '' has the number of all features of the text."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [words(t) if isinstance(t, str) else Counter() for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"],
-                                "words": [list(c) for c in found], "counts": [list(c.values()) for c in found]})
+            for doc_id, label, text in zip(batch["doc_id"], batch["label"], batch["text"], strict=True):
+                found = features(text) if isinstance(text, str) else Counter()
+                names = ["", *found]
+                yield pd.DataFrame({"doc_id": doc_id, "label": label, "feature": names,
+                                    "n": [sum(found.values()), *found.values()]})
 
-    out = rows.mapInPandas(count, "doc_id bigint, label int, words array<string>, counts array<int>").collect()
-    return sorted(((r.doc_id, r.label, Counter(dict(zip(r.words, r.counts, strict=True)))) for r in out), key=lambda r: r[0])
+    return rows.mapInPandas(count, "doc_id bigint, label int, feature string, n int")
+
+
+def telling(counts: DataFrame, least_ratio: float, least_z: float) -> DataFrame:
+    """feature, low, high (texts of label 0 and 1 with it) of the features whose share of texts differs between the labels.
+
+    By least_z standard deviations of what one common share would give, and by the ratio of the shares.
+    """
+    total = counts.filter("feature = ''").agg(F.sum(1 - F.col("label")).alias("_low"), F.sum("label").alias("_high"))
+    each = counts.filter("feature <> ''").groupBy("feature").agg(F.sum(1 - F.col("label")).alias("low"), F.sum("label").alias("high"))
+    rows = each.join(F.broadcast(total), F.lit(True))  # one row of totals
+    a, b = F.col("high") / F.col("_high"), F.col("low") / F.col("_low")
+    common = (F.col("high") + F.col("low")) / (F.col("_high") + F.col("_low"))
+    sd = F.sqrt(common * (1 - common) * (1 / F.col("_high") + 1 / F.col("_low")))
+    far = (F.abs(a - b) >= least_z * sd) & (
+        F.greatest(a, b) + 1 / F.col("_high") >= least_ratio * (F.least(a, b) + 1 / F.col("_high")))
+    return rows.filter((F.col("_low") > 0) & (F.col("_high") > 0) & far).select("feature", "low", "high")

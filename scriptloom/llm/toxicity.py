@@ -1,15 +1,15 @@
 """Severity of toxic texts by a cumulative-link ordinal model over sparse word features.
 
 P(grade > k) = sigmoid(w . x - b_k) with one weight vector shared by all thresholds b_1 < b_2 < ...; the
-expected severity of a text is the sum of these probabilities. x holds 1 + ln(count) for each lower-case word.
-Words enter where their share of texts differs between grade 0 and the others by `Params.least_ratio` and by
-`Params.least_z` standard deviations, and an absolute penalty draws weights to zero, so a text is scored by the
-few words that tell grades apart, however long it is. The model is fitted on the driver to a bounded sample of labelled rows
-(`Params.per_class` rows of each label, first in the order of a hash of the doc_id); everything else runs on
-all rows and whole texts.
+expected severity of a text is the sum of these probabilities. x holds 1 + ln(count) for each lower-case word
+and word beginning of 4 to 6 letters. Features enter where their share of texts differs between the labels by
+`Params.least_ratio` and by `Params.least_z` standard deviations, and an absolute penalty draws weights to zero,
+so a text is scored by the few features that tell grades apart, however long it is. The model is fitted on the
+driver to a bounded sample of labelled rows (`Params.per_class` rows of each label, first in the order of a hash
+of the doc_id); everything else runs on all rows and whole texts.
 
-Grades of the query: 0 for rows labelled not toxic; rows labelled toxic are 1, or 2 where more of their words
-than in the median toxic text are words that no clean text of the sample has and five toxic ones have.
+Grades of the query: 0 for rows labelled not toxic; rows labelled toxic are 1, or 2 where a larger share of their
+features than in the median toxic text consists of features that no clean text of the sample has.
 
 Edge cases: null and empty texts have no features and the severity of a text without known words. Rows with a
 null label are not learned from; without rows of two grades every text gets severity 0. Repeated rows get equal
@@ -18,6 +18,7 @@ severities. An empty table gives an empty result. Columns of the input stay as t
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -26,7 +27,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from scriptloom.llm.samples import counted, labelled
+from scriptloom.llm.samples import counted, labelled, telling
+from scriptloom.session import written
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -48,59 +50,53 @@ class Model:
 
     def severity(self, text: str | None) -> float:
         """Expected grade of one text."""
-        known = self.weights
         if not self.thresholds:
             return 0.0
-        hits = Counter(w for w in WORD.findall(text.lower()) if w in known) if isinstance(text, str) else {}
-        score = sum(known[w] * (1 + np.log(hits[w])) for w in sorted(hits))
+        hits = Counter()
+        if isinstance(text, str):
+            known, heads = self.weights, self.heads
+            for w in WORD.findall(text.lower()):
+                if w[:4] in heads:
+                    hits.update(f for f in forms(w) if f in known)
+        score = sum(self.weights[f] * (1 + np.log(hits[f])) for f in sorted(hits))
         return float(sum(1 / (1 + np.exp(np.clip(b - score, -50, 50))) for b in self.thresholds))
 
+    @functools.cached_property
+    def heads(self) -> set[str]:
+        return {f[:4] for f in self.weights}
 
-def words(text: str) -> Counter:
-    return Counter(WORD.findall(text.lower()))
 
+def forms(word: str) -> list[str]:
+    """A word, and its beginnings marked by a hyphen."""
+    return [word, *[word[:n] + "-" for n in (4, 5, 6) if len(word) >= n]]
 
-def grades(rows: list[tuple[int, int, Counter]]) -> list[int]:
-    """Grades 0, 1, 2 of (doc_id, toxic, words) rows, see above."""
-    clean, toxic = Counter(), Counter()
-    for _, label, found in rows:
-        (toxic if label else clean).update(found.keys())
-    marked = {w for w, n in toxic.items() if n >= 5 and w not in clean}
-    share = [sum(n for w, n in found.items() if w in marked) / max(1, sum(found.values())) for _, label, found in rows]
-    middle = np.median([s for s, (_, label, _) in zip(share, rows, strict=True) if label] or [0])
-    return [0 if not label else 2 if s > middle else 1 for s, (_, label, _) in zip(share, rows, strict=True)]
 
+def features(text: str) -> Counter:
+    return Counter(f for w in WORD.findall(text.lower()) for f in forms(w))
 
-def telling(found: list[Counter], grade: np.ndarray, params: Params) -> list[str]:
-    """Words whose share of texts differs enough between grade 0 and the others."""
-    low, high = Counter(), Counter()
-    for c, g in zip(found, grade, strict=True):
-        (high if g else low).update(c.keys())
-    scale = (grade > 0).sum() / (grade == 0).sum()
-    out = []
-    for w in sorted(low.keys() | high.keys()):
-        a, b = high[w], scale * low[w]
-        if abs(a - b) >= params.least_z * (a + scale * b) ** 0.5 and max(a, b) + 1 >= params.least_ratio * (min(a, b) + 1):
-            out.append(w)
-    return out
 
+def grades(labels: dict[int, int], counts: dict[int, dict[str, int]], total: dict[int, int], marked: set[str]) -> dict[int, int]:
+    """Grades 0, 1, 2 by doc_id, see above."""
+    share = {d: sum(n for f, n in counts.get(d, {}).items() if f in marked) / max(1, total[d]) for d in labels}
+    middle = np.median([share[d] for d, label in labels.items() if label] or [0])
+    return {d: 0 if not label else 2 if share[d] > middle else 1 for d, label in labels.items()}
 
-def fit(found: list[Counter], graded: list[int], params: Params = Params()) -> Model:
+
+def fit(found: list[dict[str, int]], graded: list[int], params: Params = Params()) -> Model:
     """Gradient steps with a step size of each weight's own, shrinking weights by the penalty; thresholds stay in order."""
     grade = np.asarray(graded, dtype=int)
     top = int(grade.max()) if len(grade) else 0
     if top == 0 or not (grade == 0).any():
         return Model({}, ())
-    vocabulary = telling(found, grade, params)
-    number = {w: i for i, w in enumerate(vocabulary)}
-    pairs = [(i, number[w], n) for i, c in enumerate(found) for w, n in c.items() if w in number]
-    rows, cols = (np.fromiter((p[k] for p in pairs), "int32", len(pairs)) for k in (0, 1))
-    values = 1 + np.log(np.fromiter((p[2] for p in pairs), "float32", len(pairs)))
-    del pairs
+    vocabulary = sorted({f for c in found for f in c})
+    number = {f: i for i, f in enumerate(vocabulary)}
+    pairs = [(i, number[f], n) for i, c in enumerate(found) for f, n in c.items()]
+    rows, cols = (np.fromiter((p[k] for p in pairs), "int64", len(pairs)) for k in (0, 1))
+    values = 1 + np.log(np.fromiter((p[2] for p in pairs), "float64", len(pairs)))
     above = grade[:, None] > np.arange(top)[None, :]
     share = np.clip(above.mean(0), 1e-3, 1 - 1e-3)
-    b = np.log((1 - share) / share) + 1.0
     balance = np.where(above, 0.5 / share, 0.5 / (1 - share)) / len(grade)
+    b = np.arange(top) * 1.0
     w = np.zeros(len(vocabulary))
     seen_w, seen_b = np.full(len(vocabulary), 1e-10), np.full(top, 1e-10)
     for _ in range(params.rounds):
@@ -114,12 +110,23 @@ def fit(found: list[Counter], graded: list[int], params: Params = Params()) -> M
         w -= step * g_w
         w = np.sign(w) * np.maximum(0, np.abs(w) - step * params.penalty)
         b = np.maximum.accumulate(b - 0.5 * g_b / np.sqrt(seen_b) + np.arange(top) * 1e-9)
-    return Model({v: float(x) for v, x in zip(vocabulary, w, strict=True) if x}, tuple(b.tolist()))
+    return Model({f: float(x) for f, x in zip(vocabulary, w, strict=True) if x}, tuple(b.tolist()))
 
 
 def trained(documents: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
-    rows = counted(labelled(documents, labels, "toxic", params.per_class), words)
-    return fit([c for _, _, c in rows], grades(rows), params)
+    counts = written(counted(labelled(documents, labels, "toxic", params.per_class), features), "toxic-sample")
+    chosen = {r.feature: r.low for r in telling(counts, params.least_ratio, params.least_z).collect()}
+    label, total, found = {}, {}, {}
+    # the rows of the bounded sample, each with few features
+    keys = counts.sparkSession.createDataFrame([("",), *[(f,) for f in chosen]], "feature string")
+    for r in counts.join(F.broadcast(keys), "feature").collect():
+        if r.feature == "":
+            label[r.doc_id], total[r.doc_id] = r.label, r.n
+        else:
+            found.setdefault(r.doc_id, {})[r.feature] = r.n
+    graded = grades(label, found, total, {f for f, low in chosen.items() if not low})
+    ids = sorted(label)
+    return fit([found.get(d, {}) for d in ids], [graded[d] for d in ids], params)
 
 
 def severity(model: Model) -> callable:
