@@ -26,8 +26,8 @@ RUNS = re.compile(f"[{LETTER}]+|[{DIGIT}]|[^{LETTER}{DIGIT}]+")
 PLAIN = re.compile("[!-&(-~¡-ÿ]+")
 # white space for Python that may be an ordinary character for the library
 ODD = re.compile("[\x1c-\x1f]")
-WORDS = 250_000  # words remembered; a full dictionary starts anew
-KEPT_RUNS = 400_000  # runs remembered
+WORDS = 600_000  # words remembered by a Python worker; a full dictionary starts anew
+KEPT_RUNS = 900_000  # runs remembered; both together take about 350 MB
 LONGEST = 64  # characters of a word or run worth remembering
 CALL = 200_000  # characters given to the library at once
 
@@ -70,9 +70,8 @@ class WordEncoder:
         if new:
             known.update(self._words(new))
         out = [b"".join([known[w] for w in ws]) for ws in found]
-        for w in new:
-            if len(w) > LONGEST:
-                del known[w]
+        for w in [w for w in new if len(w) > LONGEST]:
+            del known[w]
         for i in odd:
             out[i] = self._library([texts[i]])[0]
         return out
@@ -111,9 +110,8 @@ class WordEncoder:
             at = upto
         for w, rs in cut.items():
             out[w] = runs[rs[0]] if len(rs) == 1 else b"".join([runs[r] for r in rs])
-        for r in new:
-            if len(r) > LONGEST:
-                del runs[r]
+        for r in [r for r in new if len(r) > LONGEST]:
+            del runs[r]
         return out
 
     def _library(self, texts: list[str]) -> list[bytes]:
