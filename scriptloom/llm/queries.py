@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptloom.llm import line_dedup, packing, quality_rules, setsketch, toxicity
+from scriptloom.llm import line_dedup, packing, quality_rank, quality_rules, setsketch, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,12 +31,17 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rank.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_quality_rules, op5_toxicity, op6_line_dedup, op7_best_fit_packing, op10_minhash_near_dedup)}
+    op2_quality_rules, op5_toxicity, op6_line_dedup, op7_best_fit_packing, op9_quality_classifier,
+    op10_minhash_near_dedup)}
 
 #: DuckDB SQL for the same rows.
 ORACLES: dict[str, str] = {
