@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptloom.llm import line_dedup, packing, quality_rank, quality_rules, setsketch, toxicity
+from scriptloom.llm import line_dedup, packing, quality_rank, quality_rules, setsketch, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    return token_store.read_back(table(spark, folder, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents"))
 
@@ -40,7 +44,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_quality_rules, op5_toxicity, op6_line_dedup, op7_best_fit_packing, op9_quality_classifier,
+    op1_token_store, op2_quality_rules, op5_toxicity, op6_line_dedup, op7_best_fit_packing, op9_quality_classifier,
     op10_minhash_near_dedup)}
 
 #: DuckDB SQL for the same rows.
