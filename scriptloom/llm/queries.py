@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptloom.llm import line_dedup, packing, quality_rank, quality_rules, setsketch, token_store, toxicity
+from scriptloom.llm import line_dedup, packing, quality_rank, quality_rules, setsketch, token_rollup, token_store, toxicity, unigram
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_rollup.rolled_up(table(spark, folder, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.rated(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -35,6 +39,10 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return unigram.encoded(table(spark, folder, "documents"), digest=True)
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rank.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -44,7 +52,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_token_store, op2_quality_rules, op5_toxicity, op6_line_dedup, op7_best_fit_packing, op9_quality_classifier,
+    op1_token_store, op2_quality_rules, op3_token_counts, op5_toxicity, op6_line_dedup, op7_best_fit_packing, op8_sentencepiece, op9_quality_classifier,
     op10_minhash_near_dedup)}
 
 #: DuckDB SQL for the same rows.
