@@ -11,8 +11,9 @@ register, and equal registers tell of a shared least element, so bands of regist
 3. A pair's similarity is estimated from the counts of larger, smaller and equal registers and the two set sizes
    together, by the likeliest value; pairs clearly below the threshold go. The rest is verified on the full sets.
 4. Buckets that still span more than one component get all their other pairs across components compared, in
-   blocks inside tasks, of which only likely pairs leave. So no link between different components of a bucket is
-   lost, however large it is, and no pairs are listed within a group.
+   blocks inside tasks: a pair is met in the first band it agrees on, estimated and verified there, and only links
+   that join components leave the task, fewer than it has rows. So no link between different components of a
+   bucket is lost, however large it is, and no pairs are listed within a group.
 5. Components of the verified links give each document the smallest doc_id it reaches.
 
 A pair at the threshold shares no bucket with a probability of (1 - 0.8^5)^25 = 5e-5, and is dropped by the
@@ -136,11 +137,11 @@ def sketched(documents: DataFrame, p: Params) -> DataFrame:
 
 
 def buckets(classes: DataFrame, p: Params) -> DataFrame:
-    """bucket, key: one row for each band of each class."""
+    """bucket, band, key: one row for each band of each class."""
     width = 2 * p.band
-    return classes.select("key", F.explode(F.transform(
+    return classes.select("key", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(p.registers // p.band - 1)),
-        lambda k: F.xxhash64(k, F.substring(F.col("registers"), k * width + 1, F.lit(width))))).alias("bucket"))
+        lambda k: F.xxhash64(k, F.substring(F.col("registers"), k * width + 1, F.lit(width))))).alias("band", "bucket"))
 
 
 def plausible(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
@@ -159,16 +160,20 @@ def plausible(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
     return rows.mapInPandas(run, "a string, b string")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
-    """The pairs whose full sets reach the threshold. pairs: written."""
-    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+def texts_of(keys: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """key, text of the classes with these keys, each read from its first row."""
     needed = written(classes.join(keys, "key", "left_semi").select("key", "first"), "near-keys")
     if needed.count() <= BROADCAST_ROWS:
         needed = F.broadcast(needed)
-    # a class is read from its first row
     rows = documents.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
     found = rows.join(needed, rows["doc_id"].eqNullSafe(needed["first"]["doc_id"]) & (rows["_hash"] == needed["first"]["text_hash"]))
-    texts = written(found.select("key", "text").dropDuplicates(["key"]), "near-texts")
+    return written(found.select("key", "text").dropDuplicates(["key"]), "near-texts")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
+    """The pairs whose full sets reach the threshold. pairs: written."""
+    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    texts = texts_of(keys, classes, documents)
     side = lambda x: texts.select(F.col("key").alias(x), F.col("text").alias(f"t_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -193,14 +198,14 @@ def first_pairs(members: DataFrame) -> DataFrame:
     return members.join(first, "bucket").filter("a <> key").select("a", F.col("key").alias("b")).distinct()
 
 
-def rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
-    """Likely pairs (a, b) across components that share a bucket, besides those of the bucket's least key.
+def rest_links(members: DataFrame, labels: DataFrame, classes: DataFrame, documents: DataFrame, p: Params) -> DataFrame | None:
+    """Links (a, b) across components that share a bucket; none where no bucket spans two components.
 
-    The members of a bucket's largest component (side 0) meet the others (side 1) block by block, and the others
-    meet among themselves.
+    The members of a bucket's largest component (left) meet the others block by block, and the others meet among
+    themselves.
     """
     rows = members.join(labels, members.key == labels.id, "left").select(
-        "bucket", "key", F.coalesce("component", "key").alias("component"))
+        "bucket", "band", "key", F.coalesce("component", "key").alias("component"))
     each = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed = each.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max("n").alias("most"),
                                        F.max_by("component", F.struct("n", "component")).alias("main"))
@@ -208,39 +213,50 @@ def rest_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, p: Par
         "bucket", "main", F.expr(f"(most + {BLOCK - 1}) div {BLOCK}").alias("main_blocks"),
         F.expr(f"(n - most + {BLOCK - 1}) div {BLOCK}").alias("other_blocks")), "near-mixed")
     if not mixed.limit(1).count():
-        return members.sparkSession.createDataFrame([], "a string, b string")
-    own = rows.join(mixed, "bucket").join(classes.select("key", "n_shingles", "registers"), "key")
+        return None
+    own = written(rows.join(mixed, "bucket"), "near-mixed-members")
+    texts = texts_of(own.select("key").distinct(), classes, documents)
+    own = own.join(classes.select("key", "n_shingles", "registers"), "key").join(texts, "key")
     block = lambda n: F.pmod(F.xxhash64("key", F.lit(7)), F.col(n))
     cell = lambda i, j, left: F.struct(i.cast("bigint").alias("i"), j.cast("bigint").alias("j"), F.lit(left).alias("left"))
     upto = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
     mine = block("other_blocks")
-    # cell (i, j): block i of the left side with block j of the others; main blocks count from -1 down
+    # cell (i, j): block i of the left side with block j of the others; blocks of the largest component count from -1 down
     as_main = F.transform(upto("other_blocks"), lambda j: cell(-1 - block("main_blocks"), j, True))
     as_other = F.concat(
         F.transform(upto("main_blocks"), lambda i: cell(-1 - i, mine, False)),
         F.transform(upto("other_blocks"), lambda j: cell(F.least(mine, j), F.greatest(mine, j), False)))
     dealt = own.withColumn("cell", F.explode(F.when(F.col("component") == F.col("main"), as_main).otherwise(as_other)))
-    grouped = dealt.groupBy("bucket", "cell.i", "cell.j").agg(
-        F.collect_list(F.struct("key", "component", "n_shingles", "registers", "cell.left")).alias("rows"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for i, rows_ in zip(batch["i"], batch["rows"], strict=True):
-                x = pd.DataFrame([dict(r.asDict() if hasattr(r, "asDict") else r) for r in rows_])
-                regs = np.frombuffer(b"".join(x["registers"]), "<u2").reshape(len(x), -1)
-                n, part = x["n_shingles"].to_numpy(), pd.factorize(x["component"])[0]
-                keys, left = x["key"].to_numpy(), x["left"].to_numpy(bool)
-                out = []
-                for k in range(len(x)):
-                    others = np.flatnonzero((part != part[k]) & (keys > keys[k] if i >= 0 else ~left))
-                    if (i < 0 and not left[k]) or not len(others):
-                        continue
-                    ok = others[likely(np.broadcast_to(regs[k], (len(others), regs.shape[1])), regs[others],
-                                       np.full(len(others), n[k]), n[others], p)]
-                    out += [(min(keys[k], keys[o]), max(keys[k], keys[o])) for o in ok]
-                yield pd.DataFrame(out, columns=["a", "b"])
-
-    return grouped.mapInPandas(run, "a string, b string").distinct()
+    def compare(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
+        x = x.sort_values("key")
+        regs = np.frombuffer(b"".join(x["registers"]), "<u2").reshape(len(x), -1)
+        bands = regs.reshape(len(x), -1, p.band)
+        n, parts = x["n_shingles"].to_numpy(), pd.factorize(x["component"])[0]
+        keys, left, texts_, band = x["key"].to_numpy(), x["left"].to_numpy(bool), x["text"].to_numpy(), int(x["band"].iloc[0])
+        sets: dict[int, np.ndarray] = {}
+        out = []
+        for k in np.flatnonzero(left) if int(key[1]) < 0 else range(len(x)):
+            others = np.flatnonzero(~left & (parts != parts[k]) if int(key[1]) < 0 else (np.arange(len(x)) > k) & (parts != parts[k]))
+            if not len(others):
+                continue
+            agree = (bands[others] == bands[k]).all(2)
+            others = others[agree.argmax(1) == band]  # a bucket's members agree on its band at least
+            others = others[likely(np.broadcast_to(regs[k], (len(others), regs.shape[1])), regs[others], np.full(len(others), n[k]), n[others], p)]
+            for o in others:
+                if parts[o] == parts[k]:
+                    continue
+                for y in (k, o):
+                    if y not in sets:
+                        sets[y] = shingles(texts_[y], p.words)
+                common = len(np.intersect1d(sets[k], sets[o], assume_unique=True))
+                if 100 * common >= p.percent * (len(sets[k]) + len(sets[o]) - common):
+                    out.append((keys[k], keys[o]))
+                    parts[parts == parts[o]] = parts[k]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    found = dealt.select("bucket", "cell.i", "cell.j", "cell.left", "band", "key", "component", "n_shingles", "registers", "text")
+    return written(found.groupBy("bucket", "i", "j").applyInPandas(compare, "a string, b string"), "near-rest")
 
 
 def linked(documents: DataFrame, p: Params = Params()) -> DataFrame:
@@ -253,11 +269,9 @@ def linked(documents: DataFrame, p: Params = Params()) -> DataFrame:
     members = written(buckets(classes, p), "near-buckets")
     links = verified(written(plausible(first_pairs(members), classes, p), "near-pairs"), classes, documents, p)
     labels = components(links)
-    tried = links
-    rest = written(rest_pairs(members, labels, classes, p).join(tried, ["a", "b"], "left_anti"), "near-rest")
-    if rest.limit(1).count():
-        links = links.unionByName(verified(rest, classes, documents, p))
-        labels = components(links)
+    rest = rest_links(members, labels, classes, documents, p)
+    if rest is not None:
+        labels = components(links.unionByName(rest))
     joined = classes.join(labels, classes.key == labels.id, "left").select(
         "key", "least_id", F.coalesce("component", "key").alias("component"))
     smallest = joined.groupBy("component").agg(F.min("least_id").alias("component_id"))
