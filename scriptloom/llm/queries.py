@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptloom.llm import line_dedup, packing, quality_rank, quality_rules, setsketch, token_rollup, token_store, toxicity, unigram
+from scriptloom.llm import (
+    line_dedup, nn_descent, packing, quality_rank, quality_rules, setsketch, token_rollup, token_store, toxicity, unigram,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +29,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_rollup.rolled_up(table(spark, folder, "documents"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return nn_descent.linked(table(spark, folder, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.rated(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -52,7 +58,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_token_store, op2_quality_rules, op3_token_counts, op5_toxicity, op6_line_dedup, op7_best_fit_packing, op8_sentencepiece, op9_quality_classifier,
+    op1_token_store, op2_quality_rules, op3_token_counts, op4_embedding_near_dedup, op5_toxicity, op6_line_dedup, op7_best_fit_packing, op8_sentencepiece, op9_quality_classifier,
     op10_minhash_near_dedup)}
 
 #: DuckDB SQL for the same rows.
