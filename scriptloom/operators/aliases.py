@@ -116,21 +116,26 @@ def match_aliases(entities: DataFrame, curated: DataFrame | None = None) -> Data
     )
 
 
+def _before(n: int) -> Column:
+    """Order key ahead of every line of a file."""
+    return F.struct(F.lit(n).cast("bigint").alias("line_no"), F.lit(0).alias("pos"))
+
+
 def manifest_aliases(entities: DataFrame, curated: DataFrame | None = None) -> DataFrame:
     """(entity_id, alias, rank): name, appellation, then curated aliases in file order."""
     base = entities.select(
         "entity_id",
         F.explode(
             F.array(
-                F.struct(F.lit(0).cast("bigint").alias("ord"), F.col("name").alias("alias")),
-                F.struct(F.lit(1).cast("bigint").alias("ord"), F.col("appellation").alias("alias")),
+                F.struct(_before(-2).alias("ord"), F.col("name").alias("alias")),
+                F.struct(_before(-1).alias("ord"), F.col("appellation").alias("alias")),
             )
         ).alias("e"),
     ).select("entity_id", "e.ord", "e.alias")
     if curated is not None:
         named = entities.filter(F.col("name") != "").select("entity_id", "name")
         named = named.join(ambiguous_names(entities), "name", "left_anti")
-        extra = curated.select(F.col("canonical").alias("name"), "alias", (F.col("ord") + 2).cast("bigint").alias("ord"))
+        extra = curated.select(F.col("canonical").alias("name"), "alias", "ord")
         base = base.unionByName(named.join(extra, "name").select("entity_id", "ord", "alias"))
     kept = base.filter(F.col("alias").isNotNull() & (F.col("alias") != ""))
     return kept.groupBy("entity_id", "alias").agg(F.min("ord").alias("ord"))

@@ -34,27 +34,25 @@ def candidates(raw: DataFrame, alias_map: DataFrame, pages: DataFrame) -> DataFr
     )
 
 
-def _inner_texts(c: Column) -> Column:
-    """All distinct substrings of at least two characters."""
-    size = F.length(c)
-    starts = F.sequence(F.lit(1), size - 1)
-    at = lambda i: F.transform(F.sequence(F.lit(2), size - i + 1), lambda n: F.substring(c, i, n))
-    return F.array_distinct(F.flatten(F.transform(starts, at)))
+def _inside(long: DataFrame, text: str, short: DataFrame, out: str) -> DataFrame:
+    """(text, out): each value of `long` with every value of `short` that it contains.
 
+    Both sides meet on the first two characters of the short value; the two-character pieces of a text are as many
+    as its characters, whatever the lengths on the other side, and the whole value is compared after the join.
+    """
+    at = F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.struct(i.alias("at"), F.substring(text, i, F.lit(2)).alias("start")))
+    pieces = long.filter(F.length(text) >= 2).select(text, F.explode(at).alias("p")).select(text, "p.at", "p.start")
+    keyed = short.filter(F.length(out) >= 2).select(out, F.substring(out, 1, 2).alias("start"))
+    met = pieces.join(keyed, "start")
+    return met.filter(F.substring(F.col(text), F.col("at"), F.length(out)) == F.col(out)).select(text, out).distinct()
 
-def similar_names(raw: DataFrame, canonicals: DataFrame) -> DataFrame:
-    """Smallest canonical that contains, or is contained in, each raw name.
 
-    Containment becomes an equi-join: the shorter side must equal one of the substrings of the
-    longer side. Names are short, so their substrings are few and no pair of all names is built.
-    """
+def similar_names(raw: DataFrame, canonicals: DataFrame) -> DataFrame:
+    """Smallest canonical that contains, or is contained in, each raw name; no pair of all names is built."""
     left = raw.select("name").filter(F.length("name") >= MIN_SIMILAR).distinct()
     right = canonicals.select("canonical").filter(F.length("canonical") >= MIN_SIMILAR).distinct()
-    inside_raw = left.select("name", F.explode(_inner_texts(F.col("name"))).alias("canonical"))
-    inside_canon = right.select("canonical", F.explode(_inner_texts(F.col("canonical"))).alias("name"))
-    within = inside_raw.join(right, "canonical", "left_semi").select("name", "canonical")
-    around = inside_canon.join(left, "name", "left_semi").select("name", "canonical")
-    both = within.unionByName(around).filter(F.col("name") != F.col("canonical"))
+    both = _inside(left, "name", right, "canonical").unionByName(_inside(right, "canonical", left, "name"))
+    both = both.filter(F.col("name") != F.col("canonical"))
     return both.groupBy("name").agg(F.min("canonical").alias("similar"))
 
 
@@ -66,19 +64,22 @@ def related_containers(chunks: DataFrame, key_names: DataFrame, aliases: DataFra
     equal to the alias or, for aliases of three characters and more, when they contain it.
     """
     names = written(aliases.select("entity_id", "alias").distinct(), "names")
-    reach = names.agg(F.max(F.length("alias")).alias("n")).first()["n"] or 0
-    padded = F.concat(F.lit("\u0000" * reach), F.col("body"))
-    before = F.regexp_extract_all(padded, F.lit(rf"(?s)(?=(.{{{reach}}}):)"), F.lit(1))
-    texts = chunks.filter(F.col("body").contains(":")).select(
-        "container_id", F.explode(F.array_distinct(before)).alias("t")
-    )
-    ends = F.transform(F.sequence(F.lit(1), F.lit(reach)), lambda n: F.substring("t", reach + 1 - n, n))
-    spoken = texts.distinct().select("container_id", F.explode(ends).alias("alias"))
-    by_speech = spoken.join(names, "alias").select("entity_id", "container_id")
+    longest = names.agg(F.max(F.length("alias")).alias("n")).first()["n"] or 0
+    # the text before each colon, cut to the longest alias; it meets the aliases on its last two characters
+    padded = F.concat(F.lit("\u0000" * longest), F.col("body"))
+    before = F.regexp_extract_all(padded, F.lit(rf"(?s)(?=(.{{{longest}}}):)"), F.lit(1))
+    texts = chunks.filter(F.col("body").contains(":")).select("container_id", F.explode(F.array_distinct(before)).alias("t"))
+    tail = lambda c, n: F.substring(c, F.length(c) - (n - 1), F.lit(n))
+    keyed = names.select("entity_id", "alias", tail(F.col("alias"), 2).alias("end"))
+    # one-character aliases have themselves as their end
+    ends = F.explode(F.array_distinct(F.array(tail(F.col("t"), 2), tail(F.col("t"), 1))))
+    spoken = texts.distinct().select("container_id", "t", ends.alias("end")).join(keyed, "end")
+    size = F.length("alias")
+    by_speech = spoken.filter(F.substring(F.col("t"), F.length("t") - size + 1, size) == F.col("alias")).select("entity_id", "container_id")
     keys = key_names.select("container_id", F.col("name").alias("key")).distinct()
-    short = F.array(F.col("key"))
-    pieces = F.when(F.length("key") >= MIN_SIMILAR, F.array_union(short, _inner_texts(F.col("key")))).otherwise(short)
-    keyed = keys.select("container_id", "key", F.explode(pieces).alias("alias"))
-    keyed = keyed.filter((F.col("alias") == F.col("key")) | (F.length("alias") >= MIN_INSIDE))
-    by_key = keyed.join(names, "alias").select("entity_id", "container_id")
+    equal = keys.join(names, keys["key"] == names["alias"]).select("entity_id", "container_id")
+    long = names.filter(F.length("alias") >= MIN_INSIDE)
+    within = _inside(keys.select("key").distinct(), "key", long.select("alias").distinct(), "alias")
+    inside = keys.join(within, "key").join(long, "alias").select("entity_id", "container_id")
+    by_key = equal.unionByName(inside)
     return by_speech.unionByName(by_key).distinct()

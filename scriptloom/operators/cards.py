@@ -100,16 +100,17 @@ def request_parts(entities: DataFrame, aliases: DataFrame, dossiers: DataFrame,
     """Entity request document as ordered parts (entity_id, block, ord, text).
 
     Block 0 names the entity and its aliases, block 1 holds the dossier of every alias that is a known
-    name, block 2 the container parts as tag pairs. aliases: entity_id, alias, ord. dossiers: name,
+    name (ord: the alias's rank), block 2 the container parts as tag pairs. aliases: entity_id, alias, ord. dossiers: name,
     dossier. parts: entity_id, ord, title, text. Parts stay rows, so no entity is gathered in one task.
     """
     listed = F.array_sort(F.collect_list(F.struct("ord", "alias")))
-    names = aliases.groupBy("entity_id").agg(F.array_join(F.transform(listed, lambda p: p["alias"]), ";").alias("_n"))
+    names = aliases.groupBy("entity_id").agg(F.transform(listed, lambda p: p["alias"]).alias("_n"))
     head = entities.join(names, "entity_id").select(
         "entity_id", F.lit(0).alias("block"), F.lit(0).cast("bigint").alias("ord"),
-        F.concat(F.lit("名称:"), "name", F.lit("\n已知其他名称(可能有更多):"), "_n").alias("text"),
+        F.concat(F.lit("名称:"), "name", F.lit("\n已知其他名称(可能有更多):"), F.array_join("_n", ";")).alias("text"),
     )
-    known = aliases.join(dossiers.withColumnRenamed("name", "alias"), "alias").select(
+    ranked = names.select("entity_id", F.posexplode("_n").alias("ord", "alias"))
+    known = ranked.join(dossiers.withColumnRenamed("name", "alias"), "alias").select(
         "entity_id", F.lit(1).alias("block"), F.col("ord").cast("bigint").alias("ord"), F.col("dossier").alias("text")
     )
     told = parts.select(

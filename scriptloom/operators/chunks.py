@@ -113,3 +113,8 @@ def family_counts(containers: DataFrame, family: str | Column = "source_family")
     return F.broadcast(names).join(counted, "source_family", "left").select(
         "source_family", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_containers")
     )
+
+
+def family_ids(containers: DataFrame, family: str | Column = "source_family") -> DataFrame:
+    """(source_family, container_id) in long form: a family's list is as long as the corpus."""
+    return containers.select(tx.col(family).alias("source_family"), "container_id").distinct()

@@ -100,14 +100,15 @@ def of_chunk(
 
 
 def by_container(edges: DataFrame) -> DataFrame:
-    """Appearances rolled up per container: counts by layer; the rows themselves stay keyed by it."""
+    """Appearances rolled up by container: the rows themselves, with the number of edges of their container by layer."""
     layer = lambda s: F.count_if(F.col("source") == s)
-    return edges.groupBy("container_id").agg(
+    counts = edges.groupBy("container_id").agg(
         F.count(F.lit(1)).alias("n_edges"),
         layer("deterministic").alias("n_explicit"),
         layer("participant").alias("n_participant"),
         layer("summary").alias("n_summary"),
     )
+    return edges.join(counts, "container_id")
 
 
 def key_ids(summary: DataFrame) -> DataFrame:

@@ -76,9 +76,9 @@ def curated_entities(entries: DataFrame, owner_rows: DataFrame) -> DataFrame:
 
 def curated_conflicts(entries: DataFrame, owner_rows: DataFrame) -> DataFrame:
     """Warnings: names dropped because an operator owns them, and ids claimed by an earlier entry."""
-    known = owner_rows.groupBy(F.col("alias").alias("name")).agg(F.count(F.lit(1)).alias("n_candidates"))
+    known = owner_rows.groupBy(F.col("alias").alias("name")).agg(F.array_sort(F.collect_set("entity_id")).alias("candidates"))
     dropped = entries.join(known, "name").select(
-        "line_no", "name", F.lit("matches an operator alias").alias("reason"), "n_candidates"
+        "line_no", "name", F.lit("matches an operator alias").alias("reason"), "candidates"
     )
     given = F.when(F.col("id") != "", F.col("id"))
     kept = entries.join(known, "name", "left_anti").withColumn(
@@ -87,7 +87,7 @@ def curated_conflicts(entries: DataFrame, owner_rows: DataFrame) -> DataFrame:
     first = kept.groupBy("entity_id").agg(F.min("line_no").alias("_first"))
     clash = kept.join(first, "entity_id").filter(F.col("line_no") > F.col("_first"))
     shadowed = clash.select(
-        "line_no", "name", F.lit("id collision").alias("reason"), F.lit(None).cast("bigint").alias("n_candidates")
+        "line_no", "name", F.lit("id collision").alias("reason"), F.lit(None).cast("array<string>").alias("candidates")
     )
     return dropped.unionByName(shadowed)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scriptloom.functions import text as tx
 
@@ -14,7 +14,6 @@ STAGE_SUMMARY_OUT = 500
 RELATION_OUT = 1000
 CHARS_PER_TOKEN = 1.0
 
-SEQUENCE_LIMIT = 8 * 1024 * 1024
 LANES = 9
 
 
@@ -22,31 +21,20 @@ def _nul(c: Column) -> Column:
     return F.concat(c, F.lit("\u0000"))
 
 
-def content_hash(texts: DataFrame, key: str = "unit_id", limit: int = SEQUENCE_LIMIT) -> DataFrame:
+def content_hash(texts: DataFrame, key: str = "unit_id") -> DataFrame:
     """Hash of each unit over its (name, text) pairs, names unique inside a unit.
 
-    Units up to `limit` characters: sha256 over `name \\0 text \\0` in name order. Larger units are
-    never gathered: each pair is hashed in place, the digests are added up in lanes (order does not
-    matter, partial sums combine), and the sums are hashed. Which rule applies depends on the content
-    alone, so equal content always gives equal hashes.
+    Each pair `name \\0 text \\0` is hashed where it lies, the digests are added up in lanes (order does not
+    matter, partial sums combine), and the sums are hashed. One rule for every size, one scan, and no unit is
+    gathered in a task.
     """
-    piece = F.concat(_nul(F.col("name")), _nul(F.col("text")))
-    sized = texts.select(key, "name", piece.alias("piece"), F.length("text").cast("bigint").alias("n"))
-    totals = sized.groupBy(key).agg(F.sum("n").alias("total"))
-    inside = totals.filter(F.col("total") <= limit).select(key)
-    ordered = F.array_sort(F.collect_list(F.struct("name", "piece")))
-    whole = F.array_join(F.transform(ordered, lambda p: p["piece"]), "")
-    small = sized.join(inside, key, "left_semi").groupBy(key).agg(F.sha2(F.encode(whole, "UTF-8"), 256).alias("source_hash"))
-    large = totals.filter(F.col("total") > limit).select(key)
-    lanes = sized.join(large, key, "left_semi").select(
-        key, F.sha2(F.encode("piece", "UTF-8"), 256).alias("h")
-    )
+    digests = texts.select(key, F.sha2(F.encode(F.concat(_nul(F.col("name")), _nul(F.col("text"))), "UTF-8"), 256).alias("h"))
     lane = lambda i: F.conv(F.substring("h", 7 * i + 1, 7), 16, 10).cast("bigint")
-    summed = lanes.groupBy(key).agg(
+    summed = digests.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(lane(i)).alias(f"l{i}") for i in range(LANES)]
     )
     parts = F.concat_ws(":", "n", *[f"l{i}" for i in range(LANES)])
-    return small.unionByName(summed.select(key, F.sha2(parts, 256).alias("source_hash")))
+    return summed.select(key, F.sha2(parts, 256).alias("source_hash"))
 
 
 def decide(current: DataFrame, state: DataFrame, outputs: DataFrame, key: str = "unit_id", force: bool = False) -> DataFrame:
@@ -85,9 +73,26 @@ def upsert_state(state: DataFrame, written: DataFrame, current: DataFrame | None
 
 
 def run_report(results: DataFrame) -> DataFrame:
-    """Counts per status; a terminal error marks the run incomplete."""
+    """Counts per status and whether the run is complete: one terminal error makes the whole run incomplete."""
     counted = results.groupBy("status").agg(F.count(F.lit(1)).alias("n_units"))
-    return counted.withColumn("complete", F.col("status") != "terminal_error")
+    failed = F.coalesce(F.max(F.col("status") == "terminal_error").over(Window.partitionBy()), F.lit(False))  # a row per status
+    return counted.withColumn("complete", ~failed)
+
+
+def run_outcome(plan: DataFrame, failed: DataFrame, old: DataFrame, key: str = "unit_id", filtered: bool = False) -> DataFrame:
+    """One row per unit: run, skip, terminal_error, pruned or kept_stale.
+
+    Units of the plan that are in `failed` ended with a terminal error. Outputs of units that left the build are
+    pruned, but after a filtered run or one with an error they stay.
+    """
+    errors = failed.select(key).distinct().withColumn("_failed", F.lit(True))
+    tried = plan.filter("status <> 'stale'").join(errors, key, "left")
+    tried = tried.select(key, F.when(F.col("_failed") & (F.col("status") == "run"), "terminal_error")
+                         .otherwise(F.col("status")).alias("status"))
+    broken = tried.agg(F.coalesce(F.max(F.col("status") == "terminal_error"), F.lit(False)).alias("_broken"))
+    gone = stale_keys(old, plan.filter("status <> 'stale'"), key).join(F.broadcast(broken), F.lit(True))  # one row
+    keep = F.col("_broken") | F.lit(filtered)
+    return tried.unionByName(gone.select(key, F.when(keep, "kept_stale").otherwise("pruned").alias("status")))
 
 
 def container_cost(units: DataFrame, overhead_single: int, overhead_stage: int, overhead_merge: int) -> DataFrame:

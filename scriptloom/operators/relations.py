@@ -37,11 +37,18 @@ def resolved_rows(lines: DataFrame, alias_index: DataFrame) -> DataFrame:
     return al.resolve(good, alias_index, "tail_name")
 
 
-def relation_rows(resolved: DataFrame) -> DataFrame:
-    """Rows kept from responses: resolved tails keep the id, ambiguous ones a null tail."""
-    return resolved.filter("status != 'missing'").select(
+def relation_rows(resolved: DataFrame, owner_rows: DataFrame) -> DataFrame:
+    """Rows kept from responses: resolved tails keep the id, ambiguous ones a null tail and the ids it may mean.
+
+    owner_rows: (alias, entity_id), the owners of each alias.
+    """
+    kept = resolved.filter("status != 'missing'")
+    names = kept.filter("status = 'ambiguous'").select(F.col("tail_name").alias("alias")).distinct()
+    ids = owner_rows.join(names, "alias").groupBy(F.col("alias").alias("tail_name")).agg(
+        F.array_sort(F.collect_set("entity_id")).alias("ambiguous_candidates"))
+    return kept.join(ids, "tail_name", "left").select(
         F.col("unit_id").alias("head"), "type", F.col("entity_id").alias("tail"), "tail_name",
-        F.when(F.col("status") == "ambiguous", F.col("n_candidates")).alias("n_candidates"), "notes", "line_no",
+        F.when(F.col("status") == "ambiguous", F.col("ambiguous_candidates")).alias("ambiguous_candidates"), "notes", "line_no",
     )
 
 

@@ -17,6 +17,7 @@ from scriptloom.session import spread, written
 from scriptloom.sources import lines as ln
 
 EDGE_MARKS = r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+\z"
+WIDE = 1 << 32  # places of one page or chunk in a line number; more than a text can hold
 TERM = r'<li><a href="/[^"]*">([^<]*)</a>'
 
 
@@ -65,7 +66,7 @@ class Corpus:
     @shared
     def entities(self) -> DataFrame:
         """One entity per distinct term: entity_id, term, name, appellation, line_no."""
-        first = self.nav_terms().groupBy("term").agg(F.min(F.col("page_id") * 1000 + F.col("ord")).alias("line_no"))
+        first = self.nav_terms().groupBy("term").agg(F.min(F.col("page_id") * WIDE + F.col("ord")).alias("line_no"))
         name = F.regexp_replace("term", EDGE_MARKS, "")
         return first.select(
             F.concat(F.lit("op_"), F.substring(F.sha2(F.encode("term", "UTF-8"), 256), 1, 12)).alias("entity_id"),
@@ -210,7 +211,7 @@ class Corpus:
         d = self.summary_docs().select(
             "container_id", "stage_idx", F.posexplode(tg.key_names("container_doc")).alias("pos", "name")
         )
-        return d.groupBy("container_id", "name").agg(F.min(F.col("stage_idx") * 1000 + F.col("pos")).alias("ord"))
+        return d.groupBy("container_id", "name").agg(F.min(F.col("stage_idx") * WIDE + F.col("pos")).alias("ord"))
 
     @shared
     def summary(self) -> DataFrame:
@@ -267,9 +268,13 @@ class Corpus:
     def all_entities(self) -> DataFrame:
         return en.all_entities(self.operator_entities(), self.curated_entities(), self.unresolved())
 
+    @shared
+    def entity_owners(self) -> DataFrame:
+        return en.alias_owners(self.all_entities())
+
     @shared
     def entity_index(self) -> DataFrame:
-        return al.index(en.alias_owners(self.all_entities()))
+        return al.index(self.entity_owners())
 
     # ---- event-log edges for pairs -------------------------------------------------------
 

@@ -48,8 +48,8 @@ def key_name_rows(docs: DataFrame, keys: list[str]) -> DataFrame:
 def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
     """Run the build and return its report (counter, value)."""
 
-    def put(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-        return sinks.table(df, out, name, partition_by)
+    def put(df: DataFrame, name: str, partition_by: str | None = None, order: list[str] | None = None) -> DataFrame:
+        return sinks.table(df, out, name, partition_by, order)
 
     # chunks and containers
     head = put(game.containers(spark, inputs.game_data), "containers")
@@ -58,16 +58,16 @@ def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
     chunks = raw.withColumns({"body": wrapped, "file": tx.chunk_file("stage_idx", "name", "tag")})
     chunks = chunks.join(head.select("container_id", "source_family"), "container_id")
     chunks = chunks.withColumn("length", F.length("body").cast("bigint")).drop("raw", "entry_type")
-    chunks = put(chunks, "chunks", "source_family")
+    chunks = put(chunks, "chunks", order=["container_id", "stage_idx"])
 
     # entities, sections, links, cards
     merged = put(game.merged_entities(spark, inputs.game_data), "entities_raw")
     named = sinks.named(merged)
     curated = put(ln.alias_rows(ln.file_lines(spark, inputs.aliases)) if inputs.aliases else _no_aliases(spark), "curated_aliases")
-    put(cd.section_texts(named), "sections")
+    put(cd.section_texts(named), "sections", order=["entity_id"])
     links = named.select("entity_id", F.posexplode("storysets").alias("seq", "s")).select("entity_id", "seq", "s.link_name", "s.link_key")
     index = chunks.select(F.col("path").alias("link_key"), "container_id", "stage_idx")
-    resolved = put(ch.resolve_links(links, index), "links")
+    resolved = put(ch.resolve_links(links, index), "links", order=["entity_id"])
     put(ch.link_candidates(resolved, index), "link_candidates")
     linked = resolved.filter("status = 'linked'").groupBy("entity_id").agg(
         F.transform(
@@ -94,7 +94,8 @@ def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
     container_names = put(key_name_rows(docs, ["container_id"]), "container_names")
     summary = put(ed.summary_edges(stage_names, container_names, alias_index, explicit), "summary_edges")
     people = put(pa.participants(chunks, matchable, explicit, ed.key_ids(summary)), "participant_edges")
-    edges = put(ed.union_edges(explicit, people, summary), "edges")
+    edges = put(ed.union_edges(explicit, people, summary), "edges", order=["container_id", "entity_id"])
+    put(edges, "edges_by_entity", order=["entity_id", "container_id"])
     names = stage_names.select("container_id", "name").unionByName(container_names.select("container_id", "name"))
     unresolved = put(ed.unresolved(ed.resolved_names(names, alias_index)), "unresolved_names")
 
@@ -158,10 +159,11 @@ def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
 
 
 def _no_aliases(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "canonical string, alias string, ord bigint")
+    return spark.createDataFrame([], "canonical string, alias string, ord struct<line_no:bigint,pos:int>")
 
 
 def _no_relations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
-        [], "head string, type string, tail string, tail_name string, notes string, seq struct<file:string,pos:int>"
+        [], "head string, type string, tail string, tail_name string, notes string, "
+            "ambiguous_candidates array<string>, seq struct<file:string,pos:int>"
     )

@@ -23,7 +23,6 @@ from scriptloom.sources import lines as ln
 
 QUERIES: dict = {}
 REPAIR_TAGS = ["摘要", "正文"]
-FORCED_LIMIT = 80_000  # smaller than the default so that both hash rules occur on small data
 OVERHEADS = (1200, 700, 900)
 
 
@@ -232,7 +231,7 @@ def q_parse_relations(c: Corpus) -> DataFrame:
 
 @query
 def q_content_hash(c: Corpus) -> DataFrame:
-    return inc.content_hash(c.units(), limit=FORCED_LIMIT)
+    return inc.content_hash(c.units())
 
 
 @query
@@ -401,7 +400,8 @@ def q_chunk_entities(c: Corpus) -> DataFrame:
 
 @query
 def q_group_by_container(c: Corpus) -> DataFrame:
-    return ed.by_container(c.edges())
+    return ed.by_container(c.edges()).select(
+        "container_id", "entity_id", "stage_idx", "source", "tier", "n_edges", "n_explicit", "n_participant", "n_summary")
 
 
 @query
@@ -439,12 +439,28 @@ def q_stage_table(c: Corpus) -> DataFrame:
     return ch.stage_table(rows)
 
 
-@query
-def q_family_counts(c: Corpus) -> DataFrame:
+def container_families(c: Corpus) -> DataFrame:
     first = c.documents().groupBy("container_id").agg(
         F.min_by(F.struct("path", "entry_type"), "stage_idx").alias("f")
     )
-    return ch.family_counts(first.withColumn("source_family", tx.source_family("f.path", "f.entry_type")))
+    return first.withColumn("source_family", tx.source_family("f.path", "f.entry_type"))
+
+
+@query
+def q_family_ids(c: Corpus) -> DataFrame:
+    return ch.family_ids(container_families(c))
+
+
+@query
+def q_run_outcome(c: Corpus) -> DataFrame:
+    plan = planned(c)
+    failed = plan.filter("status = 'run' and unit_id like '%-de'")
+    return inc.run_outcome(plan, failed, c.prior_state())
+
+
+@query
+def q_family_counts(c: Corpus) -> DataFrame:
+    return ch.family_counts(container_families(c))
 
 
 @query
@@ -485,7 +501,7 @@ def q_curated_entities(c: Corpus) -> DataFrame:
 
 @query
 def q_curated_conflicts(c: Corpus) -> DataFrame:
-    return en.curated_conflicts(c.curated_entries(), c.owners())
+    return en.curated_conflicts(c.curated_entries(), c.owners()).withColumn("candidates", joined("candidates"))
 
 
 @query
@@ -567,7 +583,8 @@ def q_relation_types(c: Corpus) -> DataFrame:
 @query
 def q_relation_rows(c: Corpus) -> DataFrame:
     rows = rel.resolved_rows(rel.parsed_lines(c.responses()), c.entity_index())
-    return rel.relation_rows(rows).withColumn("line_no", big("line_no"))
+    kept = rel.relation_rows(rows, c.entity_owners()).withColumn("line_no", big("line_no"))
+    return kept.withColumn("ambiguous_candidates", joined("ambiguous_candidates"))
 
 
 @query
@@ -630,14 +647,14 @@ def q_grep_regex(c: Corpus) -> DataFrame:
 
 def state_now(c: Corpus) -> DataFrame:
     """Stored hashes: equal to today's but for English units; gone units keep a dummy."""
-    now = inc.content_hash(c.units(), limit=FORCED_LIMIT)
+    now = inc.content_hash(c.units())
     prior = c.prior_state().join(now, "unit_id", "left")
     changed = F.when(F.col("tag") == "en", F.lit("changed")).otherwise(F.coalesce("source_hash", F.lit("none")))
     return prior.select("unit_id", changed.alias("source_hash"))
 
 
 def planned(c: Corpus) -> DataFrame:
-    return inc.decide(inc.content_hash(c.units(), limit=FORCED_LIMIT), state_now(c), c.outputs())
+    return inc.decide(inc.content_hash(c.units()), state_now(c), c.outputs())
 
 
 @query

@@ -35,8 +35,11 @@ class KnowledgeBase:
         return family_counts(self.table("containers"))
 
     def get_event(self, container_id: str) -> DataFrame:
+        """One row with its sizes and its stages in order; the list is as long as one event."""
+        stage = F.struct("stage_idx", "name", "tag", "length", "file", "path")
         sizes = self._chunk(container_id).groupBy("container_id").agg(
-            F.sum("length").alias("total_length"), F.count(F.lit(1)).alias("stage_count")
+            F.sum("length").alias("total_length"), F.count(F.lit(1)).alias("stage_count"),
+            F.array_sort(F.collect_list(stage)).alias("stages"),
         )
         return self.table("containers").filter(F.col("container_id") == container_id).join(sizes, "container_id", "left")
 
@@ -90,7 +93,7 @@ class KnowledgeBase:
 
     # ---- appearances
     def char_appearances(self, entity_id: str, source: str = "all", min_tier: str = "named") -> DataFrame:
-        return ed.of_entity(self.table("edges"), entity_id, source, min_tier)
+        return ed.of_entity(self.table("edges_by_entity"), entity_id, source, min_tier)
 
     def event_chars(self, container_id: str, source: str = "all", min_tier: str = "named") -> DataFrame:
         return ed.of_container(self.table("edges"), container_id, source, min_tier)

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from scriptloom.functions.tags import NEXT_BLOCK
 from scriptloom.functions.text import WS
 from scriptloom.operators.aliases import BLOCKLIST
 
 ORACLES: dict[str, str] = {}
 
 W = WS.replace(r"\x85", r"\x{85}")
-NEXT = NEXT_BLOCK.replace(WS, W)
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 
@@ -34,7 +32,7 @@ ENT = r"""ent AS (
   SELECT entity_id, term, name, lower(name) AS appellation, line_no FROM (
     SELECT 'op_' || substr(sha256(term), 1, 12) AS entity_id, term,
            regexp_replace(term, '^[\p{P}\p{S}]+|[\p{P}\p{S}]+$', '', 'g') AS name,
-           min(page_id * 1000 + ord) AS line_no
+           min(page_id * 4294967296 + ord) AS line_no
     FROM nav GROUP BY term))"""
 CUR = """curlines AS (
   SELECT line_no, name || ';' || term || CASE WHEN length(name) >= 5 THEN ';' || substr(name, 1, length(name) - 2) ELSE '' END AS line
@@ -42,7 +40,7 @@ CUR = """curlines AS (
 curnames AS (
   SELECT line_no, list_filter(list_transform(string_split(line, ';'), lambda x: """ + strip("x") + """), lambda x: x <> '') AS n FROM curlines),
 cur AS (
-  SELECT canonical, alias, min(line_no * 1000000 + pos) AS ord FROM (
+  SELECT canonical, alias, min({'line_no': line_no, 'pos': pos}) AS ord FROM (
     SELECT n[1] AS canonical, line_no, unnest(n[2:]) AS alias, generate_subscripts(n[2:], 1) - 1 AS pos FROM curnames)
   GROUP BY ALL),
 aliasmap AS (
@@ -118,7 +116,7 @@ eraw AS (SELECT container_id, stage_idx, unnest(e) AS name, generate_subscripts(
 edist AS (
   SELECT container_id, stage_idx, row_number() OVER (PARTITION BY stage_idx ORDER BY p) - 1 AS pos, name FROM (
     SELECT container_id, stage_idx, name, min(p) AS p FROM eraw GROUP BY ALL)),
-ename AS (SELECT container_id, name, min(stage_idx * 1000 + pos) AS ord FROM edist GROUP BY ALL)"""
+ename AS (SELECT container_id, name, min(stage_idx * 4294967296 + pos) AS ord FROM edist GROUP BY ALL)"""
 SUMM = """sres AS (
   SELECT sole_id AS entity_id, container_id, stage_idx, ord, name FROM sname JOIN idx ON alias = name AND n_ids = 1
   WHERE (sole_id, container_id, stage_idx) NOT IN (SELECT entity_id, container_id, stage_idx FROM det)),
@@ -196,8 +194,8 @@ seed AS (
   WHERE name NOT IN (SELECT name FROM curent) AND entity_id NOT IN (SELECT entity_id FROM curent) GROUP BY entity_id),
 opal AS (
   SELECT entity_id, alias, min(o) AS o FROM (
-    SELECT entity_id, name AS alias, 0 AS o FROM ent UNION ALL SELECT entity_id, appellation, 1 FROM ent
-    UNION ALL SELECT entity_id, alias, ord + 2 FROM ent JOIN cur ON canonical = name WHERE name NOT IN (SELECT name FROM amb) AND name <> '')
+    SELECT entity_id, name AS alias, {'line_no': CAST(-2 AS BIGINT), 'pos': CAST(0 AS BIGINT)} AS o FROM ent UNION ALL SELECT entity_id, appellation, {'line_no': CAST(-1 AS BIGINT), 'pos': CAST(0 AS BIGINT)} FROM ent
+    UNION ALL SELECT entity_id, alias, {'line_no': CAST(ord.line_no AS BIGINT), 'pos': CAST(ord.pos AS BIGINT)} FROM ent JOIN cur ON canonical = name WHERE name NOT IN (SELECT name FROM amb) AND name <> '')
   WHERE alias <> '' GROUP BY ALL),
 opent AS (
   SELECT e.entity_id, e.name, 'operator' AS entity_type, e.appellation, coalesce((SELECT string_agg(alias, ';' ORDER BY o, alias) FROM opal WHERE opal.entity_id = e.entity_id), '') AS aliases
@@ -225,7 +223,11 @@ SELECT page_id, array_to_string(list_filter([{', '.join(f"CASE WHEN NOT {HAS('ht
   CASE WHEN {' AND '.join(HAS('html', t) for t in ('title', 'article', 'footer'))} THEN
     {' || chr(10) || '.join(block(t, FIRST('html', t)) for t in ('title', 'article', 'footer'))} END AS rebuilt FROM pages"""
 
-CUT = lambda x: f"regexp_extract({x}, '(?s)^(.*?)(?:\\n[ \\t]*{NEXT}|$)', 1)"
+# a line that begins another block: heading, bold words or a short bracketed word
+BEGINS = lambda y: (f"(regexp_matches({y}, '^[ \\t]*#{{1,6}}{W}') OR regexp_matches({y}, '^[ \\t]*[*][*][^*]{{1,24}}[*][*]') "
+                    f"OR length(regexp_extract({y}, '^[ \\t]*[<\\[【《〈]{W}*/?{W}*([^>\\]】》〉]+)[>\\]】》〉]', 1)) BETWEEN 1 AND 24)")
+CUT = lambda x: (f"array_to_string(string_split({x}, chr(10))[1:coalesce(nullif(list_position(list_transform(string_split({x}, chr(10))[2:], "
+                 f"lambda y: {BEGINS('y')}), true), 0), 1000000000)], chr(10))")
 BUILT = lambda body: f"{block('摘要', 'lang')} || chr(10) || {block('正文', body)}"
 ORACLES["q_repair_tags"] = f"""
 SELECT doc_id, CASE length(text) % 6
@@ -287,11 +289,7 @@ ORACLES["q_parse_relations"] = f"WITH {NAV}, {RESP} SELECT unit_id, line_no, typ
 
 LANES = ", ".join(f"CAST(sum(CAST('0x' || substr(h, {7 * i + 1}, 7) AS BIGINT)) AS VARCHAR)" for i in range(9))
 HASH = f"""piece AS (SELECT source || '-' || lang AS unit_id, format('{{:012d}}', doc_id) AS name, text, format('{{:012d}}', doc_id) || chr(0) || text || chr(0) AS p FROM documents),
-tot AS (SELECT unit_id, sum(length(text)) AS total FROM piece GROUP BY unit_id),
-hashed AS (
-  SELECT unit_id, sha256(string_agg(p, '' ORDER BY name)) AS source_hash FROM piece WHERE unit_id IN (SELECT unit_id FROM tot WHERE total <= 80000) GROUP BY unit_id
-  UNION ALL SELECT unit_id, sha256(concat_ws(':', CAST(count(*) AS VARCHAR), {LANES})) FROM (SELECT unit_id, sha256(p) AS h FROM piece)
-  WHERE unit_id IN (SELECT unit_id FROM tot WHERE total > 80000) GROUP BY unit_id)"""
+hashed AS (SELECT unit_id, sha256(concat_ws(':', CAST(count(*) AS VARCHAR), {LANES})) AS source_hash FROM (SELECT unit_id, sha256(p) AS h FROM piece) GROUP BY unit_id)"""
 UNIT = "unit AS (SELECT source || '-' || lang AS unit_id, CAST(sum(length(text)) AS BIGINT) AS total_length, count(*) AS stage_count FROM documents GROUP BY 1)"
 ORACLES["q_content_hash"] = f"WITH {HASH} SELECT unit_id, source_hash FROM hashed"
 ORACLES["q_multi_pass"] = f"WITH {UNIT} SELECT unit_id, total_length, stage_count, total_length > 80000 OR stage_count > 10 AS multi FROM unit"
@@ -335,8 +333,9 @@ ORACLES["q_appearances"] = f"""WITH {FULL} SELECT entity_id, container_id, stage
 WHERE entity_id = (SELECT min(entity_id) FROM det) AND {TIER_OK(3)}"""
 ORACLES["q_container_entities"] = f"WITH {FULL} SELECT entity_id, container_id, stage_idx, tier, mention_count FROM edge WHERE container_id = 'src7-en' AND source = 'participant' AND {TIER_OK(2)}"
 ORACLES["q_chunk_entities"] = f"WITH {FULL} SELECT entity_id, container_id, stage_idx, source, tier, spoke_lines, mention_count FROM edge WHERE container_id = 'conv0' AND stage_idx = 0 AND {TIER_OK(1)}"
-ORACLES["q_group_by_container"] = f"""WITH {FULL} SELECT container_id, count(*) AS n_edges, count(*) FILTER (source = 'deterministic') AS n_explicit,
-  count(*) FILTER (source = 'participant') AS n_participant, count(*) FILTER (source = 'summary') AS n_summary FROM edge GROUP BY 1"""
+ORACLES["q_group_by_container"] = f"""WITH {FULL}, n AS (SELECT container_id, count(*) AS n_edges, count(*) FILTER (source = 'deterministic') AS n_explicit,
+  count(*) FILTER (source = 'participant') AS n_participant, count(*) FILTER (source = 'summary') AS n_summary FROM edge GROUP BY 1)
+SELECT container_id, entity_id, stage_idx, source, tier, n_edges, n_explicit, n_participant, n_summary FROM edge JOIN n USING (container_id)"""
 ORACLES["q_key_ids"] = f"WITH {BASE}, {LINK}, {KEYS}, {SUMM} SELECT DISTINCT container_id, entity_id FROM summ"
 ORACLES["q_entity_table"] = f"""WITH {FULL} SELECT entity_id, name, (SELECT count(*) FROM det WHERE det.entity_id = ent.entity_id) AS link_count,
   entity_id IN (SELECT entity_id FROM part1) AS has_participant_appearances FROM ent"""
@@ -348,6 +347,7 @@ SELECT DISTINCT container_id, array_to_string(string_split(norm, '/')[1:2], '/')
 NORM = "(SELECT *, ltrim(replace(path, chr(92), '/'), '/') AS norm FROM doc)"
 ORACLES["q_stage_table"] = f"""WITH {DOC} SELECT container_id, stage_idx, name, tag, {FAMILY} AS source_family, array_to_string(string_split(norm, '/')[1:2], '/') AS path_prefix,
   {FILE} AS file, length(body) AS length FROM {NORM}"""
+ORACLES["q_family_ids"] = f"""WITH {DOC} SELECT arg_min({FAMILY}, stage_idx) AS source_family, container_id FROM {NORM} GROUP BY container_id"""
 ORACLES["q_family_counts"] = f"""WITH {DOC}, f AS (SELECT container_id, arg_min({FAMILY}, stage_idx) AS fam FROM {NORM} GROUP BY 1)
 SELECT source_family, count(fam) AS n_containers FROM (SELECT unnest(['mainline','activity','mini_activity','operator_record','other']) AS source_family) LEFT JOIN f ON fam = source_family GROUP BY 1"""
 ORACLES["q_corpus_stats"] = """
@@ -361,7 +361,7 @@ ORACLES["q_operator_entities"] = f"""WITH {ENTITIES} SELECT entity_id, name, ent
   CASE WHEN name IN (SELECT canonical FROM cur) AND name NOT IN (SELECT name FROM amb) THEN 'character_table;char_alias.txt' ELSE 'character_table' END AS sources FROM opent"""
 ORACLES["q_curated_entities"] = f"WITH {ENTITIES} SELECT entity_id, name, entity_type, aliases, notes FROM curent"
 ORACLES["q_curated_conflicts"] = f"""WITH {ENTITIES}
-SELECT line_no, name, 'matches an operator alias' AS reason, n_ids AS n_candidates FROM entries JOIN idx ON alias = name
+SELECT line_no, name, 'matches an operator alias' AS reason, (SELECT string_agg(DISTINCT entity_id, ';' ORDER BY entity_id) FROM own WHERE own.alias = name) AS candidates FROM entries JOIN idx ON alias = name
 UNION ALL SELECT line_no, name, 'id collision', NULL FROM curent c WHERE EXISTS (SELECT 1 FROM curent d WHERE d.entity_id = c.entity_id AND d.line_no < c.line_no)"""
 ORACLES["q_auto_seed"] = f"""WITH {ENTITIES} SELECT entity_id, name, (SELECT array_to_string(list_sort(list(container_id))[1:5], ';') FROM unres WHERE unres.name = seed.name) AS first_container_ids FROM seed"""
 ORACLES["q_entities"] = f"WITH {ENTITIES} SELECT entity_id, name, entity_type, aliases FROM allent"
@@ -399,7 +399,7 @@ ORACLES["q_relations_for"] = f"WITH {REL} SELECT * FROM rel WHERE head = 'NATION
 ORACLES["q_relations_between"] = f"WITH {REL} SELECT * FROM rel WHERE (head = 'ECONOMY' AND tail = 'Brand#2') OR (head = 'Brand#2' AND tail = 'ECONOMY')"
 ORACLES["q_relation_types"] = f"WITH {REL} SELECT type, source, count(*) AS n_rows FROM rel GROUP BY ALL"
 TAIL = f"{ENTITIES}, {RESP}, tail AS (SELECT r.*, n_ids, sole_id FROM rparsed r LEFT JOIN eidx ON alias = tail_name WHERE type IS NOT NULL)"
-ORACLES["q_relation_rows"] = f"""WITH {TAIL} SELECT unit_id AS head, type, sole_id AS tail, tail_name, CASE WHEN n_ids > 1 THEN n_ids END AS n_candidates, notes, line_no
+ORACLES["q_relation_rows"] = f"""WITH {TAIL} SELECT unit_id AS head, type, sole_id AS tail, tail_name, CASE WHEN n_ids > 1 THEN (SELECT string_agg(DISTINCT entity_id, ';' ORDER BY entity_id) FROM eal WHERE eal.alias = tail_name) END AS ambiguous_candidates, notes, line_no
 FROM tail WHERE n_ids IS NOT NULL"""
 ORACLES["q_relation_warnings"] = f"""WITH {TAIL}
 SELECT 'page' || page_id AS unit_id, CAST(NULL AS BIGINT) AS line_no, CAST(NULL AS VARCHAR) AS type, CAST(NULL AS VARCHAR) AS tail_name, 'missing tag' AS reason FROM rshape WHERE shape = 3
@@ -453,6 +453,10 @@ DRY = "dry AS (SELECT unit_id, total_length, stage_count, unit_id NOT IN (SELECT
 ORACLES["q_dry_run_plan"] = f"WITH {HASH}, {PRIOR}, {UNIT}, {DRY} SELECT * FROM dry"
 ORACLES["q_stale_keys"] = f"WITH {HASH}, {PRIOR} SELECT DISTINCT unit_id FROM prior WHERE unit_id NOT IN (SELECT unit_id FROM hashed)"
 ORACLES["q_unit_state"] = f"WITH {HASH}, {PRIOR}, {PLAN} SELECT unit_id, CASE WHEN status = 'run' THEN source_hash ELSE prior_hash END AS source_hash FROM plan WHERE status <> 'stale'"
+ORACLES["q_run_outcome"] = f"""WITH {HASH}, {PRIOR}, {PLAN},
+t AS (SELECT unit_id, CASE WHEN status = 'run' AND unit_id LIKE '%-de' THEN 'terminal_error' ELSE status END AS status FROM plan WHERE status <> 'stale')
+SELECT * FROM t UNION ALL SELECT unit_id, CASE WHEN (SELECT count(*) FROM t WHERE status = 'terminal_error') > 0 THEN 'kept_stale' ELSE 'pruned' END
+FROM (SELECT DISTINCT unit_id FROM prior) WHERE unit_id NOT IN (SELECT unit_id FROM t)"""
 ORACLES["q_run_report"] = f"WITH {HASH}, {PRIOR}, {PLAN} SELECT status, count(*) AS n_units, true AS complete FROM plan GROUP BY status"
 ORACLES["q_cost_estimate"] = f"""WITH {HASH}, {PRIOR}, {UNIT}, {DRY},
 k AS (SELECT *, total_length > 80000 OR stage_count > 10 AS multi FROM dry),
@@ -530,6 +534,6 @@ ORACLES["q_entity_requests"] = f"""WITH {ENTITIES},
 kn AS (SELECT name, 'terms from ' || min(term) AS dossier FROM ent WHERE name <> '' GROUP BY name)
 SELECT ent.entity_id, CAST(0 AS BIGINT) AS block, CAST(0 AS BIGINT) AS ord, '名称:' || name || chr(10) || '已知其他名称(可能有更多):' || (SELECT string_agg(alias, ';' ORDER BY o, alias) FROM opal WHERE opal.entity_id = ent.entity_id) AS text
 FROM ent WHERE name <> ''
-UNION ALL SELECT entity_id, 1, o, dossier FROM opal JOIN kn ON alias = name
+UNION ALL SELECT entity_id, 1, rank, dossier FROM (SELECT entity_id, alias, row_number() OVER (PARTITION BY entity_id ORDER BY o, alias) - 1 AS rank FROM opal) JOIN kn ON alias = name
 UNION ALL SELECT entity_id, 2, stage_idx, concat('<活动名称>', container_id, '</活动名称>', chr(10), '<相关内容>', chr(10), {FIRST('html', 'title')}, chr(10), '</相关内容>', chr(10), chr(10))
 FROM det JOIN pages ON page_id = stage_idx"""

@@ -81,17 +81,25 @@ def containers(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def file_key(base: str) -> Column:
-    """Path below `base` without `.txt`. Paths arrive percent-encoded; a plus sign is itself."""
+def file_key(spark: SparkSession, root: str) -> Column:
+    """Path below the folder `root` without its suffix. Paths arrive percent-encoded; a plus sign is itself.
+
+    The root is cut off as the file system qualifies it, so it may hold folders of any name.
+    """
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return F.regexp_extract(path, rf"/{base}/(.*)\.[A-Za-z0-9]+\z", 1)
+    bare = lambda p: F.regexp_replace(p, r"\A[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    whole = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    below = F.substring(bare(path), F.length(bare(F.lit(whole.rstrip("/")))) + 2, F.lit(1 << 30))
+    return F.regexp_replace(below, r"\.[A-Za-z0-9]+\z", "")
 
 
 def texts(spark: SparkSession, root: str) -> DataFrame:
     """(text_key, text) of every story file, line ends as in text mode."""
     read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
-    files = read.text(f"{root.rstrip('/')}/{STORY}", wholetext=True)
-    return files.select(file_key(STORY).alias("text_key"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
+    folder = f"{root.rstrip('/')}/{STORY}"
+    files = read.text(folder, wholetext=True)
+    return files.select(file_key(spark, folder).alias("text_key"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
 
 
 def _needed(value: Column, key: Column, what: str) -> Column:
@@ -201,16 +209,16 @@ def data_version(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(tx.strip("value").alias("version"))
 
 
-def _markdown(spark: SparkSession, path: str, base: str) -> DataFrame | None:
+def _markdown(spark: SparkSession, path: str) -> DataFrame | None:
     if not exists(spark, path):
         return None
     read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md")
     files = read.text(path, wholetext=True)
-    return files.select(file_key(base).alias("k"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
+    return files.select(file_key(spark, path).alias("k"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
 
 
 def container_summaries(spark: SparkSession, root: str) -> DataFrame:
-    files = _markdown(spark, f"{root.rstrip('/')}/events", "events")
+    files = _markdown(spark, f"{root.rstrip('/')}/events")
     if files is None:
         return spark.createDataFrame([], "container_id string, text string")
     return files.select(F.col("k").alias("container_id"), "text")
@@ -218,7 +226,7 @@ def container_summaries(spark: SparkSession, root: str) -> DataFrame:
 
 def stage_summaries(spark: SparkSession, root: str) -> DataFrame:
     """Chunk summaries; files whose stem is no number are skipped."""
-    files = _markdown(spark, f"{root.rstrip('/')}/stages", "stages")
+    files = _markdown(spark, f"{root.rstrip('/')}/stages")
     if files is None:
         return spark.createDataFrame([], "container_id string, stage_idx bigint, text string")
     parts = F.split("k", "/")
@@ -228,7 +236,7 @@ def stage_summaries(spark: SparkSession, root: str) -> DataFrame:
 
 def dossier_sections(spark: SparkSession, root: str) -> DataFrame:
     """Hand-kept sections per entity: (entity_id, section, text)."""
-    files = _markdown(spark, f"{root.rstrip('/')}/chars", "chars")
+    files = _markdown(spark, f"{root.rstrip('/')}/chars")
     if files is None:
         return spark.createDataFrame([], "entity_id string, section string, text string")
     parts = F.split("k", "/")
@@ -251,11 +259,12 @@ def relation_files(spark: SparkSession, root: str) -> DataFrame:
     from scriptloom.sources.lines import RELATION_LINE
 
     path = f"{root.rstrip('/')}/chars"
-    schema = "head string, type string, tail string, tail_name string, notes string, seq struct<file:string,pos:int>"
+    schema = ("head string, type string, tail string, tail_name string, notes string, "
+              "ambiguous_candidates array<string>, seq struct<file:string,pos:int>")
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     whole = spark.read.option("pathGlobFilter", "*.jsonl").text(path, wholetext=True)
-    lines = whole.select(file_key("chars").alias("file"), F.posexplode(tx.lines("value")).alias("pos", "line"))
+    lines = whole.select(file_key(spark, path).alias("file"), F.posexplode(tx.lines("value")).alias("pos", "line"))
     kept = lines.filter(tx.strip("line") != "")
     parsed = kept.select("file", "pos", F.from_json("line", RELATION_LINE, {"mode": "FAILFAST"}).alias("p"),
                          F.array_contains(F.json_object_keys("line"), "tail").alias("has_tail"))

@@ -34,7 +34,7 @@ def alias_rows(lines: DataFrame) -> DataFrame:
         F.posexplode(F.slice("n", 2, F.size("n"))).alias("pos", "alias"),
     )
     return rows.groupBy("canonical", "alias").agg(
-        F.min(F.col("line_no") * 1_000_000 + F.col("pos")).alias("ord")
+        F.min(F.struct("line_no", "pos")).alias("ord")
     )
 
 
@@ -88,7 +88,10 @@ def _strings(*names: str) -> list[T.StructField]:
 ENTITY_LINE = T.StructType(
     [*_strings("name", "entity_type", "id", "appellation", "notes"), T.StructField("aliases", T.ArrayType(T.StringType()))]
 )
-RELATION_LINE = T.StructType(_strings("head", "type", "tail", "tail_name", "notes"))
+RELATION_LINE = T.StructType([
+    *_strings("head", "type", "tail", "tail_name", "notes"),
+    T.StructField("ambiguous_candidates", T.ArrayType(T.StringType())),
+])
 
 
 def curated_entity_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -119,7 +122,7 @@ def curated_relation_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     marked = rows.withColumn("reason", F.coalesce("problem", row_problem(rows)))
     errors = marked.filter("reason is not null").select("line_no", "raw", "reason")
     good = marked.filter("reason is null").select(
-        "head", "type", "tail", "tail_name", "notes", F.col("line_no").alias("seq")
+        "head", "type", "tail", "tail_name", "notes", "ambiguous_candidates", F.col("line_no").alias("seq")
     )
     return good, errors
 

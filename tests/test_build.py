@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from scriptloom.operators import relations as rel
 from scriptloom.plans.build import Inputs, build
 from scriptloom.plans.kb import KnowledgeBase
 from scriptloom.sources import game, lines, sinks
@@ -61,7 +62,8 @@ def test_appearances(kb):
     assert w == {("act_one", 1): "named", ("main_x", 1): "speaker"}
     assert {r.entity_id for r in k.event_chars("act_one").collect()} == {"char_001_lin", "char_002_w"}
     assert [r.entity_id for r in k.stage_chars("act_one", 1).collect()] == ["char_002_w"]
-    assert k.group_by_event(k.char_appearances("char_001_lin")).count() == 2
+    grouped = {(r.container_id, r.stage_idx, r.source, r.n_edges) for r in k.group_by_event(k.char_appearances("char_001_lin")).collect()}
+    assert grouped == {("act_one", 0, "participant", 3), ("act_one", 0, "summary", 3), ("act_one", 2, "participant", 3), ("mem_a", 0, "deterministic", 1)}
     pair = k.cooccurrence_between("char_002_w", "char_001_lin").first()
     assert (pair.co_stage_count, pair.co_container_count, pair.sample_containers) == (0, 1, ["act_one"])
     assert k.cooccurrence_top(1).count() == 1 and k.cooccurrence_for_char("char_002_w", 5).count() == 1
@@ -114,3 +116,41 @@ def test_missing_script_fails(spark, mini, tmp_path):
     shutil.copytree(mini / "zh_CN", broken / "zh_CN", ignore=shutil.ignore_patterns("y.txt"))
     with pytest.raises(Exception, match="no script file"):
         game.raw_chunks(spark, str(broken)).collect()
+
+
+def test_folders_may_be_named_like_the_layout(spark, tmp_path):
+    for name, text in (("chars/events/stages/chars/ent_1/profile.md", "p"), ("chars/events/events/act.md", "e"), ("chars/events/stages/act/03.md", "s")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    root = str(tmp_path / "chars/events")
+    assert [tuple(r) for r in game.container_summaries(spark, root).collect()] == [("act", "e")]
+    assert [tuple(r) for r in game.stage_summaries(spark, root).collect()] == [("act", 3, "s")]
+    assert [tuple(r) for r in game.dossier_sections(spark, f"{root}/stages").collect()] == [("ent_1", "profile", "p")]
+
+
+def test_candidates_of_baked_relations_stay(spark, tmp_path):
+    (tmp_path / "chars").mkdir()
+    (tmp_path / "chars/a.jsonl").write_text('{"head": "a", "type": "ally_of", "tail": null, "tail_name": "x", "ambiguous_candidates": ["b", "c"]}\n')
+    baked = game.relation_files(spark, str(tmp_path))
+    assert baked.first().ambiguous_candidates == ["b", "c"]
+    over = baked.limit(0)
+    assert rel.collate(baked, over).first().ambiguous_candidates == ["b", "c"]
+
+
+def test_state_is_replaced_from_itself(spark, tmp_path):
+    from scriptloom.operators import incremental as inc
+
+    root, schema = str(tmp_path), "unit_id string, source_hash string"
+    make = lambda *r: spark.createDataFrame(list(r), schema)
+    assert sinks.state(spark, root, "units", schema).count() == 0
+    sinks.replace_state(make(("a", "1"), ("b", "1")), root, "units")
+    for n in ("2", "3", "4"):
+        sinks.replace_state(inc.upsert_state(sinks.state(spark, root, "units", schema), make(("a", n))), root, "units")
+    assert sorted(map(tuple, sinks.state(spark, root, "units", schema).collect())) == [("a", "4"), ("b", "1")]
+    (tmp_path / "units/v00000009").mkdir()  # a version whose job broke off
+    assert sinks.state(spark, root, "units", schema).count() == 2
+
+
+def test_event_has_its_stages(kb):
+    row = kb[0].get_event("act_one").first()
+    assert [(s.stage_idx, s.name) for s in row.stages] == [(0, "序章"), (1, "序章"), (2, "终章")]

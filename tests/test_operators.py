@@ -204,13 +204,13 @@ def test_request_parts(spark):
 def test_content_hash(spark):
     data = [("u1", "b", "二"), ("u1", "a", "一"), ("u2", "a", "一" * 50)]
     df = spark.createDataFrame(data, "unit_id string, name string, text string")
-    want = hashlib.sha256("a\0一\0b\0二\0".encode()).hexdigest()
+    digests = [hashlib.sha256(f"{n}\0{t}\0".encode()).hexdigest() for n, t in (("a", "一"), ("b", "二"))]
+    lanes = [sum(int(h[7 * i:7 * i + 7], 16) for h in digests) for i in range(inc.LANES)]
     exact = dict(rows(inc.content_hash(df), "unit_id", "source_hash"))
-    assert exact["u1"] == want
-    lanes = dict(rows(inc.content_hash(df, limit=1), "unit_id", "source_hash"))
-    assert lanes == dict(rows(inc.content_hash(df.orderBy(F.desc("name")), limit=1), "unit_id", "source_hash"))
-    changed = dict(rows(inc.content_hash(df.withColumn("text", F.concat("text", F.lit("!"))), limit=1), "unit_id", "source_hash"))
-    assert lanes["u1"] != changed["u1"] and lanes["u1"] != want
+    assert exact["u1"] == hashlib.sha256(":".join(map(str, [2, *lanes])).encode()).hexdigest()
+    assert exact == dict(rows(inc.content_hash(df.orderBy(F.desc("name"))), "unit_id", "source_hash"))
+    changed = dict(rows(inc.content_hash(df.withColumn("text", F.concat("text", F.lit("!")))), "unit_id", "source_hash"))
+    assert exact["u1"] != changed["u1"]
     renamed = dict(rows(inc.content_hash(df.withColumn("name", F.concat("name", F.lit("!")))), "unit_id", "source_hash"))
     assert renamed["u1"] != exact["u1"]
 
@@ -264,3 +264,39 @@ def test_update_flow(spark):
     assert [r.line for r in table.orderBy("row_no").collect()] == ["| n0 | n1 | n2 | n3 | n4 |", "| n5 | n6 |  |  |  |"]
     with pytest.raises(ValueError):
         pg.index_rows(table, "g", "o", "t", 0)
+
+
+def test_run_outcome(spark):
+    plan = spark.createDataFrame([("a", "run"), ("b", "run"), ("c", "skip"), ("d", "stale")], "unit_id string, status string")
+    old = spark.createDataFrame([("c",), ("d",), ("e",)], "unit_id string")
+    none, bad = old.limit(0), spark.createDataFrame([("b",)], "unit_id string")
+    base = {"a": "run", "b": "run", "c": "skip"}
+    assert dict(rows(inc.run_outcome(plan, none, old), "unit_id", "status")) == base | {"d": "pruned", "e": "pruned"}
+    kept = {"d": "kept_stale", "e": "kept_stale"}
+    assert dict(rows(inc.run_outcome(plan, none, old, filtered=True), "unit_id", "status")) == base | kept
+    broken = inc.run_outcome(plan, bad, old)
+    assert dict(rows(broken, "unit_id", "status")) == base | {"b": "terminal_error"} | kept
+    assert {r.complete for r in inc.run_report(broken).collect()} == {False}
+    assert {r.complete for r in inc.run_report(plan).collect()} == {True}
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from scriptloom.session import checkpoint_root
+
+    def session(master, conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=SimpleNamespace(
+            master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None))
+
+    with pytest.raises(ValueError):
+        checkpoint_root(session("spark://host:7077", {}))
+    assert checkpoint_root(session("spark://host:7077", {"spark.checkpoint.dir": "hdfs:///x"})) == "hdfs:///x"
+    assert checkpoint_root(session("local[2]", {}))
+
+
+def test_similar_names_with_a_long_name(spark):
+    long = "甲" * 2500 + "林澈" + "乙" * 2500
+    raw = spark.createDataFrame([(long,), ("澈澈",), ("a",)], "name string")
+    canon = spark.createDataFrame([("林澈",), ("小澈澈",), (long,)], "canonical string")
+    assert dict(rows(ca.similar_names(raw, canon), "name", "similar")) == {long: "林澈", "澈澈": "小澈澈"}
