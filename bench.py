@@ -21,7 +21,7 @@ HEADLINE = [
     "q_clean_script", "q_repair_tags", "q_mention_count", "q_participants", "q_summary_edges", "q_edges_union",
     "q_entities", "q_cooccurrence", "q_cooccur_top", "q_cooccur_for", "q_collate_relations", "q_relation_rows",
     "q_grep_literal", "q_grep_regex", "q_resolve_links", "q_content_hash", "q_unit_plan", "q_requests",
-    "q_corpus_stats", "q_related_containers", "q_similar_names", "q_whats_new", "q_build_report",
+    "q_corpus_stats", "q_related_containers", "q_similar_names", "q_whats_new", "q_build_report", "q_container_entities",
 ]
 
 

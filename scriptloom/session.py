@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -40,6 +42,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not (master == "local" or master.startswith("local[")):
             raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="scriptloom-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)  # this process made it and alone uses it
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
