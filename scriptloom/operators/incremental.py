@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from scriptloom.functions import tags as tg
 from scriptloom.functions import text as tx
 
 # Projected sizes of one service answer, in characters.
@@ -160,6 +161,34 @@ def chunk_requests(chunks: DataFrame, totals: DataFrame, template: str) -> DataF
     )
 
 
+def merge_requests(responses: DataFrame, totals: DataFrame, tags, template: str, between: str = "\n\n---\n\n") -> DataFrame:
+    """Request that merges the chunk responses of each container above the multi-pass limits, as ordered parts.
+
+    responses: container_id, stage_idx, response. Each response is rebuilt from its tags; a container with a response
+    that lacks one has no request. Parts (container_id, part_no, part) stay rows, so no container is gathered.
+    """
+    large = totals.filter(tx.multi_pass("total_length", "stage_count")).select("container_id")
+    blocks = responses.join(large, "container_id", "left_semi").select("container_id", "stage_idx", tg.rebuild("response", tags).alias("block"))
+    whole = blocks.groupBy("container_id").agg(F.min("stage_idx").alias("_first"), F.bool_and(F.col("block").isNotNull()).alias("_ok"))
+    whole = whole.filter("_ok").select("container_id", "_first")
+    head, tail = template.split("{stage_summaries}")
+    told = blocks.join(whole, "container_id").select(
+        "container_id", F.col("stage_idx").alias("part_no"),
+        F.concat(F.when(F.col("stage_idx") > F.col("_first"), between).otherwise(""), "block").alias("part"))
+    ends = F.explode(F.array(F.struct(F.lit(-1).cast("bigint").alias("part_no"), F.lit(head).alias("part")),
+                             F.struct(F.lit((1 << 63) - 1).alias("part_no"), F.lit(tail).alias("part"))))
+    return told.unionByName(whole.select("container_id", ends.alias("e")).select("container_id", "e.*"))
+
+
+def selected_units(units: DataFrame, only: DataFrame | None = None, inputs: DataFrame | None = None, key: str = "unit_id") -> DataFrame:
+    """Units with a name, of a list of ids if one is given, less those without an input row."""
+    kept = units.filter(F.col("name") != "")
+    for side in (only, inputs):
+        if side is not None:
+            kept = kept.join(side.select(key).distinct(), key, "left_semi")
+    return kept
+
+
 def section_document(sections: list[tuple[str, Column]]) -> Column:
     """`=== name ===` headed sections in the given order; null sections are left out."""
     parts = [

@@ -703,6 +703,19 @@ def q_requests(c: Corpus) -> DataFrame:
     return one.unionByName(inc.chunk_requests(c.documents(), t, "please read\n{text}\nthank you"))
 
 
+@query
+def q_merge_requests(c: Corpus) -> DataFrame:
+    close = F.when(F.length("body") % 997 == 0, F.lit("")).otherwise(F.lit("</正文>"))
+    told = F.concat(F.lit("<摘要>"), "name", F.lit("</摘要> <正文> "), "tag", close)
+    responses = c.documents().select("container_id", "stage_idx", told.alias("response"))
+    return inc.merge_requests(responses, ch.rollup(c.documents()), ["摘要", "正文"], "merge\n{stage_summaries}\nplease")
+
+
+@query
+def q_selected_units(c: Corpus) -> DataFrame:
+    return inc.selected_units(c.entities(), c.explicit(), c.participants(), "entity_id").select("entity_id", "name")
+
+
 @query
 def q_pending_units(c: Corpus) -> DataFrame:
     related = c.documents().select("container_id", F.col("stage_idx").alias("doc_id"))

@@ -537,3 +537,10 @@ FROM ent WHERE name <> ''
 UNION ALL SELECT entity_id, 1, rank, dossier FROM (SELECT entity_id, alias, row_number() OVER (PARTITION BY entity_id ORDER BY o, alias) - 1 AS rank FROM opal) JOIN kn ON alias = name
 UNION ALL SELECT entity_id, 2, stage_idx, concat('<活动名称>', container_id, '</活动名称>', chr(10), '<相关内容>', chr(10), {FIRST('html', 'title')}, chr(10), '</相关内容>', chr(10), chr(10))
 FROM det JOIN pages ON page_id = stage_idx"""
+ORACLES["q_merge_requests"] = f"""WITH {DOC}, big AS (SELECT container_id, min(stage_idx) AS first FROM doc GROUP BY 1
+  HAVING (sum(length(body)) > 80000 OR count(*) > 10) AND count(*) FILTER (length(body) % 997 = 0) = 0)
+SELECT container_id, CAST(stage_idx AS BIGINT) AS part_no, concat(CASE WHEN stage_idx > first THEN chr(10) || chr(10) || '---' || chr(10) || chr(10) ELSE '' END,
+  {block('摘要', 'name')}, chr(10), {block('正文', 'tag')}) AS part FROM doc JOIN big USING (container_id)
+UNION ALL SELECT container_id, -1, 'merge' || chr(10) FROM big UNION ALL SELECT container_id, 9223372036854775807, chr(10) || 'please' FROM big"""
+ORACLES["q_selected_units"] = f"""WITH {FULL} SELECT entity_id, name FROM ent WHERE name <> ''
+  AND entity_id IN (SELECT entity_id FROM det) AND entity_id IN (SELECT entity_id FROM part1)"""
