@@ -53,7 +53,7 @@ def test_pairs_order_the_weights():
 
 
 def test_cut_is_the_quantile(spark):
-    raw = spark.range(10_000).selectExpr("id, id * 7919 % 10007 / 13.0 - 300 as raw")
+    raw = spark.range(10_000).selectExpr("id", "double(id * 7919 % 10007) / 13 - 300 as raw")
     cut = quality_rank.cut_at(raw, 0.2)
     assert abs(raw.filter(F.col("raw") < cut).count() - 2000) <= 1
     assert quality_rank.cut_at(raw.filter("id < 0"), 0.2) == 0.0
