@@ -132,8 +132,16 @@ class Encoder:
         """Best sums from each state on the left to each on the right of the chunk text[:size].
 
         State k: a piece of the left (right) neighbour reaches k characters in (out). text goes on after the chunk as far
-        as a piece can reach.
+        as a piece can reach. Every path meets at the end of a unit, so from there on one row stands for all.
         """
+        meet = next((m.end() for m in UNITS.finditer(text) if m.end() >= self.longest), size) if self.by_unit else size
+        if meet < size:
+            rest = self.sweep(text[meet:], size - meet, [0.0])[0][size - meet:]
+            return self.wide_matrix(text[:meet], meet)[:, :1] + np.array(rest)[None, :]
+        return self.wide_matrix(text, size)
+
+    def wide_matrix(self, text: str, size: int) -> np.ndarray:
+        """The same, all states side by side."""
         wide = self.longest
         best = np.full((wide, size + wide), -np.inf)
         for k in range(min(wide, size + 1)):
@@ -220,11 +228,11 @@ class Encoder:
         known, found = self.words, UNITS.findall(whole)
         if len(known) > LIMIT:
             known = self.words = {}
-        for w in set(found):
-            if w not in known:
-                known[w] = packed(self.ids_of(w, self.trace(w, len(w), [0.0], 0)))
+        new = {w for w in found if w not in known}
+        for w in new:
+            known[w] = packed(self.ids_of(w, self.trace(w, len(w), [0.0], 0)))
         out = b"".join([known[w] for w in found])
-        for w in [w for w in set(found) if len(w) > 64]:
+        for w in [w for w in new if len(w) > 64]:
             del known[w]
         return out
 
