@@ -7,10 +7,10 @@
    each keeps the best `Params.k`. Lists grow better as neighbours of neighbours meet.
 4. The recall of the links (cosine at or above the threshold) is audited for a bounded sample of nodes against all
    nodes; below `Params.recall`, fresh projections and more rounds follow.
-5. A node whose whole list is links is saturated: it may have more. The lists of a component with such a node are
-   enlarged to the whole component. Members within half the threshold angle of the component's mean all link with
-   each other, which needs no comparison; the others are compared with every member, block by block, and only
-   counts leave the tasks.
+5. A node whose whole list is links is saturated: it may have more, also in another component. All members of the
+   components with such a node are compared, within a component and across: the core of a component (within half the
+   threshold angle of its mean) links wholly, and two pieces whose centres and radii leave no doubt need no
+   comparison; the others are compared block by block. Counts and links that join components leave the tasks.
 
 Cosines are taken in double precision from the vectors as given. Vectors that are null, zero or hold null or
 non-finite components link with nothing; so do vectors of different lengths with each other. Repeated rows are
@@ -171,53 +171,152 @@ def both_ways(links: DataFrame) -> DataFrame:
     return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 
 
-def enlarged(members: DataFrame, kind: str, p: Params) -> DataFrame:
-    """node, links (rows that it links with, its own left out) of all members (component, node, n, vec) of components with saturated nodes."""
+def whole(members: DataFrame, kind: str, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Exact links among all members (part, label, node, dim, n, vec).
+
+    node, links (rows that it links with, its own left out) of every member, and joins (a, b) of labels that are linked.
+    A part is cut into its core, whose members all link, and the rest. By the triangle inequality two pieces link
+    wholly, not at all, or are compared member by member.
+    """
+    wide = 8 * p.block
+
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(c, units(part["vec"], kind).sum(0).tobytes()) for c, part in batch.groupby("component")]
-            yield pd.DataFrame(rows, columns=["component", "total"])
+            rows = [(c, units(part["vec"], kind).sum(0).tobytes()) for c, part in batch.groupby("part")]
+            yield pd.DataFrame(rows, columns=["part", "total"])
 
     def mean(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
         total = np.frombuffer(b"".join(x["total"]), "f8").reshape(len(x), -1).sum(0)
-        return pd.DataFrame({"component": [key[0]], "center": [total.tobytes()]})
+        return pd.DataFrame({"part": [key[0]], "center": [total.tobytes()]})
 
-    centers = members.select("component", "vec").mapInPandas(add_up, "component bigint, total binary") \
-        .groupBy("component").applyInPandas(mean, "component bigint, center binary")
+    centers = written(members.select("part", "vec").mapInPandas(add_up, "part bigint, total binary")
+                      .groupBy("part").applyInPandas(mean, "part bigint, center binary"), "vector-centers")
     half = np.sqrt((1 + p.cosine) / 2) + 1e-9
 
-    @F.pandas_udf("boolean")
-    def inner(vec: pd.Series, center: pd.Series) -> pd.Series:
-        c = units(center, "f8")
-        return pd.Series((units(vec, kind) * c).sum(1) >= half, index=vec.index)
-
-    placed = written(members.join(centers, "component").withColumn("core", inner("vec", "center")).drop("center"), "vector-members")
-    size = placed.groupBy("component").agg(
-        F.sum(F.when(F.col("core"), F.col("n")).otherwise(0)).alias("core_rows"),
-        F.count(F.when(~F.col("core"), 1)).alias("rims"), F.count("*").alias("all"))
-    sized = placed.join(size, "component")
-    of = lambda n: F.expr(f"({n} + {p.block - 1}) div {p.block}")
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, x in batch.groupby("dim"):
+                with np.errstate(invalid="ignore"):  # a centre may be zero
+                    near = np.nan_to_num((units(x["vec"], kind) * units(x["center"], "f8")).sum(1), nan=-1.0)
+                yield x.drop(columns="center").assign(near=near, core=near >= half)
+
+    placed = members.join(centers, "part").select("part", "label", "node", "dim", "n", "vec", "center").mapInPandas(
+        place, "part bigint, label bigint, node bigint, dim int, n bigint, vec binary, near double, core boolean")
+    placed = written(placed.withColumn("piece", F.col("part") * 2 + F.col("core").cast("bigint")), "vector-members")
+    pieces = written(placed.groupBy("piece", "part", "core", "dim").agg(
+        F.min("near").alias("near"), F.sum("n").alias("rows"), F.count("*").alias("size"),
+        F.min("label").alias("first")).join(centers, "part"), "vector-pieces")
+
+    blocks = (pieces.count() + wide - 1) // wide
+    mine = F.pmod(F.xxhash64("piece"), F.lit(blocks))
+    cells = F.transform(F.sequence(F.lit(0), F.lit(max(0, blocks - 1))), lambda j: F.struct(
+        F.least(mine, j.cast("bigint")).alias("i"), F.greatest(mine, j.cast("bigint")).alias("j")))
+    angle = np.arccos(p.cosine)
+
+    def meet(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
+        at = x["mine"].to_numpy()
+        l, r = np.flatnonzero(at == key[1]), np.flatnonzero(at == key[2])
+        ids, own, reach = x["piece"].to_numpy(), x["core"].to_numpy(bool), np.arccos(np.clip(x["near"].to_numpy(), -1, 1))
+        with np.errstate(invalid="ignore"):
+            c = units(x["center"], "f8")
+            apart = np.arccos(np.clip(c[l] @ c[r].T, -1, 1))
+        both = reach[l][:, None] + reach[r]
+        may = ~(apart - both > angle + 1e-7)
+        sure = apart + both <= angle - 1e-7
+        same = ids[l][:, None] == ids[r]
+        sure = np.where(same, own[l][:, None], sure)
+        if key[1] == key[2]:
+            may &= ids[l][:, None] <= ids[r]
+        i, j = np.nonzero(may)
+        return pd.DataFrame({"p": ids[l][i], "q": ids[r][j], "sure": sure[i, j]})
+
+    met = written(pieces.select("dim", "piece", "core", "near", "center", mine.alias("mine"), F.explode(cells).alias("cell"))
+                  .select("dim", "cell.i", "cell.j", "mine", "piece", "core", "near", "center")
+                  .groupBy("dim", "i", "j").applyInPandas(meet, "p bigint, q bigint, sure boolean"), "vector-piece-pairs")
+    surely = met.filter("sure").select(F.col("p").alias("piece"), F.col("q").alias("other"))
+    surely = surely.unionByName(surely.filter("piece <> other").select(F.col("other").alias("piece"), F.col("piece").alias("other")))
+    other = pieces.select(F.col("piece").alias("other"), F.col("rows").alias("_rows"), F.col("first").alias("b"))
+    surely = surely.join(other, "other")
+    known = surely.groupBy("piece").agg(F.sum("_rows").alias("all")).join(pieces.select("piece", "first"), "piece")
+    inside = placed.join(known, "piece").select(
+        "node", (F.col("all") - F.when(F.col("core"), F.col("n")).otherwise(0)).alias("links"))
+    joins = surely.join(pieces.select("piece", F.col("first").alias("a")), "piece").select("a", "b").unionByName(
+        placed.join(known, "piece").select(F.col("first").alias("a"), F.col("label").alias("b")))
+
+    of = lambda n: F.expr(f"({n} + {wide - 1}) div {wide}")
     block = lambda n: F.pmod(F.xxhash64("node"), of(n))
-    upto = lambda n: F.sequence(F.lit(0).cast("bigint"), of(n) - 1)
-    cell = lambda i, j, rim: F.struct(i.cast("bigint").alias("i"), j.cast("bigint").alias("j"), F.lit(rim).alias("rim"))
-    none = F.array().cast("array<struct<i:bigint,j:bigint,rim:boolean>>")
-    as_member = F.when(F.col("rims") > 0, F.transform(upto("rims"), lambda i: cell(i, block("all"), False))).otherwise(none)
-    as_rim = F.when(~F.col("core"), F.transform(upto("all"), lambda j: cell(block("rims"), j, True))).otherwise(none)
-    dealt = sized.withColumn("cell", F.explode(F.concat(as_member, as_rim)))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), of(n) - 1))
+    size = lambda x: pieces.select(F.col("piece").alias(x), F.col("size").alias(f"n_{x}"))
+    open_ = written(met.filter("not sure").drop("sure").join(size("p"), "p").join(size("q"), "q"), "vector-open-pairs")
+    held = ["p", "q", "label", "node", "n", "vec"]
+    left = placed.join(open_, F.col("piece") == F.col("p")).select(
+        *held, block("n_p").alias("i"), upto("n_q").alias("j"), F.lit(True).alias("left"))
+    right = placed.join(open_, F.col("piece") == F.col("q")).select(
+        *held, upto("n_p").alias("i"), block("n_q").alias("j"), F.lit(False).alias("left"))
 
     def compare(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
-        r, m = x[x["rim"]], x[~x["rim"]]
-        if not len(r) or not len(m):
-            return pd.DataFrame({"node": x["node"][:0], "links": x["n"][:0]})
-        link = (units(r["vec"], kind) @ units(m["vec"], kind).T >= p.cosine) & (r["node"].to_numpy()[:, None] != m["node"].to_numpy())
-        core = m["core"].to_numpy(bool)
-        return pd.DataFrame({"node": np.r_[r["node"], m["node"][core]],
-                             "links": np.r_[link @ m["n"].to_numpy(), r["n"].to_numpy() @ link[:, core]]})
-
-    counts = dealt.select("component", "cell.i", "cell.j", "cell.rim", "node", "n", "core", "vec") \
-        .groupBy("component", "i", "j").applyInPandas(compare, "node bigint, links bigint")
-    inside = sized.select("node", F.when(F.col("core"), F.col("core_rows") - F.col("n")).otherwise(0).alias("links"))
-    return counts.unionByName(inside).groupBy("node").agg(F.sum("links").alias("links"))
+        l, r = x[x["left"]], x[~x["left"]]
+        if not len(l) or not len(r):
+            return pd.DataFrame({"node": x["node"][:0], "links": x["n"][:0], "a": x["node"][:0], "b": x["node"][:0]})
+        link = (units(l["vec"], kind) @ units(r["vec"], kind).T >= p.cosine) & (l["node"].to_numpy()[:, None] != r["node"].to_numpy())
+        out = [pd.DataFrame({"node": l["node"], "links": link @ r["n"].to_numpy()})]
+        if key[0] != key[1]:  # else each pair comes both ways
+            out.append(pd.DataFrame({"node": r["node"], "links": l["n"].to_numpy() @ link}))
+        here, there = l["label"].to_numpy(), r["label"].to_numpy()
+        i, j = np.nonzero(link & (here[:, None] != there))
+        out.append(forest(here[i], there[j]))
+        return pd.concat(out).astype({c: "Int64" for c in ("node", "links", "a", "b")})[["node", "links", "a", "b"]]
+
+    compared = written(left.unionByName(right).groupBy("p", "q", "i", "j").applyInPandas(
+        compare, "node bigint, links bigint, a bigint, b bigint"), "vector-compared")
+    counts = compared.filter("node is not null").select("node", "links").unionByName(inside).groupBy("node").agg(F.sum("links").alias("links"))
+    joins = joins.filter("a <> b").unionByName(compared.filter("node is null").select("a", "b"))
+    return counts, joins.distinct()
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """Those of the pairs that join what is not joined yet."""
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := top.get(x, x)) != x:
+            top[x] = x = top.get(y, y)
+        return x
+
+    out = []
+    for x, y in np.unique(np.c_[a, b], axis=0).tolist() if len(a) else []:
+        if (s := find(x)) != (t := find(y)):
+            top[s] = t
+            out.append((x, y))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def relabelled(found: DataFrame, joins: DataFrame) -> DataFrame:
+    """found, with the labels in `component` merged along the joins."""
+    tops = components(joins).select(F.col("id").alias("component"), F.col("component").alias("_top"))
+    return found.join(tops, "component", "left").withColumn("component", F.coalesce("_top", "component")).drop("_top")
+
+
+def finished(graph: DataFrame, nodes: DataFrame, kind: str, p: Params) -> DataFrame:
+    """node, component, links (rows), full (its list was saturated) of every node.
+
+    A link that neither of its two lists holds has two saturated ends, so the components with a saturated node are
+    compared with each other, as wholes.
+    """
+    links = written(both_ways(graph.filter(F.col("sim") >= p.cosine)), "vector-links")
+    labels = components(links)
+    full = written(graph.filter(F.col("sim") >= p.cosine).groupBy("a").count().filter(F.col("count") >= p.k)
+                   .select(F.col("a").alias("node"), F.lit(True).alias("full")), "vector-full")
+    wide = full.join(labels, full.node == labels.id).select("component").distinct()
+    members = written(labels.join(wide, "component").join(nodes, labels.id == nodes.node).select(
+        F.col("component").alias("part"), F.col("component").alias("label"), "node", "dim", "n", "vec"), "vector-saturated")
+    by_list = links.join(nodes.select(F.col("node").alias("b"), "n"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("listed"))
+    counts, joins = whole(members, kind, p)
+    found = (nodes.select("node").join(labels.select(F.col("id").alias("node"), "component"), "node", "left")
+             .join(by_list, "node", "left").join(counts, "node", "left").join(full, "node", "left")
+             .select("node", F.coalesce("component", "node").alias("component"), F.coalesce("links", "listed", F.lit(0)).alias("links"),
+                     F.coalesce("full", F.lit(False)).alias("full")))
+    return written(relabelled(found, joins), "vector-found")
 
 
 def linked(embeddings: DataFrame, p: Params = Params()) -> DataFrame:
@@ -234,20 +333,10 @@ def linked(embeddings: DataFrame, p: Params = Params()) -> DataFrame:
             graph = descend(graph, nodes, kind, p)
         if audited(graph, nodes, kind, p) >= p.recall:
             break
-    links = written(both_ways(graph.filter(F.col("sim") >= p.cosine)), "vector-links")
-    labels = components(links)
-    full = graph.filter(F.col("sim") >= p.cosine).groupBy("a").count().filter(F.col("count") >= p.k)
-    wide = full.join(labels, full.a == labels.id).select("component").distinct()
-    members = written(labels.join(wide, "component").join(nodes, labels.id == nodes.node).select("component", "node", "n", "vec"),
-                      "vector-saturated")
-    by_list = links.join(nodes.select(F.col("node").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("listed"))
-    whole = enlarged(members, kind, p)
-    least = nodes.join(labels, nodes.node == labels.id, "left").select(
-        "node", "embedding", "n", "least_id", F.coalesce("component", "node").alias("component"))
+    found = finished(graph, nodes, kind, p)
+    least = nodes.join(found, "node").select("embedding", "n", "least_id", "component", "links")
     smallest = least.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    known = (least.join(smallest, "component").join(by_list, least.node == by_list.a, "left")
-             .join(whole, "node", "left")
-             .select("embedding", "component_id", (F.col("n") - 1 + F.coalesce("links", "listed", F.lit(0))).alias("n_links")))
+    known = least.join(smallest, "component").select("embedding", "component_id", (F.col("n") - 1 + F.col("links")).alias("n_links"))
     out = rows.join(known, "embedding", "left")
     component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"),

@@ -102,3 +102,25 @@ def test_near_vectors(spark, k):
 def test_vectors_of_an_empty_table(spark):
     assert nn_descent.linked(vectors(spark, [(1, [1.0])]).filter("vec_id < 0")).count() == 0
     assert nn_descent.linked(vectors(spark, [(1, [1.0])])).first().n_links == 0
+
+
+def clouds(rng, centers, n, spread, dim):
+    """n distinct vectors about each centre."""
+    return [np.float32(c + spread * rng.standard_normal(dim) / dim ** 0.5) for c in centers for _ in range(n)]
+
+
+def against_brute_force(got, points):
+    u = np.array([np.asarray(v, "f8") / np.linalg.norm(np.asarray(v, "f8")) for v in points])
+    link = u @ u.T >= 0.9
+    tops, degree = brute.grouped(len(points), lambda i, j: link[i, j])
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (degree[i], tops[i]) for i in range(len(points))}
+    return degree
+
+
+@pytest.mark.parametrize("across", [0.93, 0.89])
+def test_tight_clouds_near_each_other(spark, across):
+    rng = np.random.default_rng(5)
+    e = np.eye(32)
+    points = clouds(rng, [e[0], across * e[0] + (1 - across ** 2) ** 0.5 * e[1], e[2]], 50, 0.05, 32)
+    degree = against_brute_force(nn_descent.linked(vectors(spark, list(enumerate(points)))).collect(), points)
+    assert degree[100] == 49 and (across < 0.9 or degree[0] == 99)
