@@ -5,12 +5,12 @@
    `Params.block` is split by a hash.
 3. Descent: around every node, its neighbours and those it is a neighbour of are compared with each other, and
    each keeps the best `Params.k`. Lists grow better as neighbours of neighbours meet.
-4. The recall of the links (cosine at or above the threshold) is audited for a bounded sample of nodes against all
-   nodes; below `Params.recall`, fresh projections and more rounds follow.
-5. A node whose whole list is links is saturated: it may have more, also in another component. All members of the
+4. A node whose whole list is links is saturated: it may have more, also in another component. All members of the
    components with such a node are compared, within a component and across: the core of a component (within half the
    threshold angle of its mean) links wholly, and two pieces whose centres and radii leave no doubt need no
    comparison; the others are compared block by block. Counts and links that join components leave the tasks.
+5. The links of a bounded sample of nodes, as they are then, are audited against all nodes: the mean recall of nodes
+   with links, apart for saturated and other nodes. Below `Params.recall`, fresh projections and more rounds follow.
 
 Cosines are taken in double precision from the vectors as given. Vectors that are null, zero or hold null or
 non-finite components link with nothing; so do vectors of different lengths with each other. Repeated rows are
@@ -140,30 +140,30 @@ def descend(graph: DataFrame, nodes: DataFrame, kind: str, p: Params) -> DataFra
     return written(lists(graph.unionByName(found), p.k), "vector-graph")
 
 
-def audited(graph: DataFrame, nodes: DataFrame, kind: str, p: Params) -> float:
-    """Share of the links of a bounded sample that the lists hold; links beyond a full list count as held, as step 5 finds them."""
-    sample = nodes.orderBy(F.xxhash64("node")).limit(p.audit).select("node", "dim", "vec").collect()
-    if not sample:
-        return 1.0
-    ids, vecs, dims = [r.node for r in sample], [r.vec for r in sample], np.array([r.dim for r in sample])
+def audited(found: DataFrame, nodes: DataFrame, kind: str, p: Params) -> float:
+    """Mean share of its links (rows) that a node has in found, over a bounded sample against all nodes.
+
+    Nodes with full lists are sampled and averaged apart, nodes without links left out; the lower mean counts.
+    """
+    each = nodes.join(found, "node").select("node", "dim", "vec", "links", "full")
+    sample = [r for full in (False, True)
+              for r in each.filter(F.col("full") == full).orderBy(F.xxhash64("node")).limit(p.audit).collect()]
+    ids, dims = np.array([r.node for r in sample], "int64"), np.array([r.dim for r in sample])
+    vecs = [r.vec for r in sample]
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, part in batch.groupby("dim"):
                 at = np.flatnonzero(dims == dim)
                 if len(at):
-                    s = units([vecs[i] for i in at], kind) @ units(part["vec"], kind).T >= p.cosine
-                    i, j = np.nonzero(s)
-                    a, b = np.array([ids[x] for x in at])[i], part["node"].to_numpy()[j]
-                    yield pd.DataFrame({"a": a[a != b], "b": b[a != b]})
+                    link = units([vecs[i] for i in at], kind) @ units(part["vec"], kind).T >= p.cosine
+                    link &= ids[at][:, None] != part["node"].to_numpy()
+                    yield pd.DataFrame({"node": ids[at], "links": link @ part["n"].to_numpy()}).query("links > 0")
 
-    true = nodes.select("node", "dim", "vec").mapInPandas(compare, "a bigint, b bigint")
-    keys = graph.sparkSession.createDataFrame([(i,) for i in ids], "a bigint")
-    held = both_ways(graph.filter(F.col("sim") >= p.cosine))
-    full = graph.filter(F.col("sim") >= p.cosine).groupBy("a").count().filter(F.col("count") >= p.k).select("a", F.lit(True).alias("full"))
-    row = (true.join(held.withColumn("held", F.lit(True)), ["a", "b"], "left").join(full.join(F.broadcast(keys), "a"), "a", "left")
-           .agg(F.count("*").alias("n"), F.sum(F.when(F.col("held") | F.col("full"), 1).otherwise(0)).alias("held")).first())
-    return row.held / row.n if row.n else 1.0
+    true = nodes.select("node", "dim", "n", "vec").mapInPandas(compare, "node bigint, links bigint").groupBy("node").agg(F.sum("links").alias("links"))
+    true = {r.node: r.links for r in true.collect()}  # a row for each node of the sample
+    shares = [[min(1.0, r.links / true[r.node]) for r in sample if r.full == full and r.node in true] for full in (False, True)]
+    return float(min([np.mean(x) for x in shares if x], default=1.0))
 
 
 def both_ways(links: DataFrame) -> DataFrame:
@@ -331,9 +331,9 @@ def linked(embeddings: DataFrame, p: Params = Params()) -> DataFrame:
         graph = written(lists(fresh if graph is None else graph.unionByName(fresh), p.k), "vector-graph")
         for _ in range(p.rounds):
             graph = descend(graph, nodes, kind, p)
-        if audited(graph, nodes, kind, p) >= p.recall:
+        found = finished(graph, nodes, kind, p)
+        if audited(found, nodes, kind, p) >= p.recall:
             break
-    found = finished(graph, nodes, kind, p)
     least = nodes.join(found, "node").select("embedding", "n", "least_id", "component", "links")
     smallest = least.groupBy("component").agg(F.min("least_id").alias("component_id"))
     known = least.join(smallest, "component").select("embedding", "component_id", (F.col("n") - 1 + F.col("links")).alias("n_links"))

@@ -124,3 +124,18 @@ def test_tight_clouds_near_each_other(spark, across):
     points = clouds(rng, [e[0], across * e[0] + (1 - across ** 2) ** 0.5 * e[1], e[2]], 50, 0.05, 32)
     degree = against_brute_force(nn_descent.linked(vectors(spark, list(enumerate(points)))).collect(), points)
     assert degree[100] == 49 and (across < 0.9 or degree[0] == 99)
+
+
+def test_audit_is_not_blinded_by_a_large_cloud(spark):
+    """A third of all nodes in one cloud, and pairs elsewhere whose links were not found."""
+    rng = np.random.default_rng(6)
+    cloud = clouds(rng, [np.eye(32)[0]], 60, 0.05, 32)
+    pairs = [v for _ in range(60) for v in clouds(rng, [rng.standard_normal(32)], 2, 0.05, 32)]
+    nodes = nn_descent.nodes_of(vectors(spark, list(enumerate(cloud + pairs))), "<f4")
+    p = nn_descent.Params()
+    ids = {r.least_id: r.node for r in nodes.collect()}
+    rows = [(ids[i], 59 if i < 60 else 0, i < 60) for i in range(180)]
+    found = spark.createDataFrame(rows, "node bigint, links bigint, full boolean")
+    assert nn_descent.audited(found, nodes, "<f4", p) == 0.0
+    found = spark.createDataFrame([(n, 10 if full else 1, full) for n, _, full in rows], "node bigint, links bigint, full boolean")
+    assert abs(nn_descent.audited(found, nodes, "<f4", p) - 10 / 59) < 1e-9
