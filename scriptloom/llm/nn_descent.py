@@ -2,7 +2,7 @@
 
 1. Equal vectors form one node with a count; all work below is on nodes.
 2. First neighbours come from blocks of nodes that agree on the signs of random projections; a block larger than
-   `Params.block` is split by a hash.
+   `Params.block` is split by signs about its own mean, and only what is still larger then by a hash.
 3. Descent: around every node, its neighbours and those it is a neighbour of are compared with each other, and
    each keeps the best `Params.k`. Lists grow better as neighbours of neighbours meet.
 4. A node whose whole list is links is saturated: it may have more, also in another component. All members of the
@@ -10,7 +10,8 @@
    threshold angle of its mean) links wholly, and two pieces whose centres and radii leave no doubt need no
    comparison; the others are compared block by block. Counts and links that join components leave the tasks.
 5. The links of a bounded sample of nodes, as they are then, are audited against all nodes: the mean recall of nodes
-   with links, apart for saturated and other nodes. Below `Params.recall`, fresh projections and more rounds follow.
+   with links, apart for saturated and other nodes. Below `Params.recall`, fresh projections, twice as many,
+   and more rounds follow; if the last start does not reach it, all nodes are compared with all, block by block.
 
 Cosines are taken in double precision from the vectors as given. Vectors that are null, zero or hold null or
 non-finite components link with nothing; so do vectors of different lengths with each other. Repeated rows are
@@ -71,29 +72,61 @@ def nodes_of(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def start(nodes: DataFrame, count: int, kind: str, seed: int, p: Params) -> DataFrame:
-    """Best neighbours inside blocks of equal projection signs."""
+    """Best neighbours inside blocks of equal projection signs; a later start (seed) has twice the tables of the one before."""
     bits = max(0, int(np.ceil(np.log2(max(1, count / p.fill)))))
+    tables, deepest = p.tables << seed, 40
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, part in batch.groupby("dim"):
-                planes = np.random.default_rng([seed, int(dim)]).standard_normal((int(dim), p.tables * bits))
-                signs = (units(part["vec"], kind) @ planes > 0).reshape(len(part), p.tables, bits)
-                codes = (signs * (1 << np.arange(bits, dtype="int64"))).sum(2) if bits else np.zeros((len(part), p.tables), "int64")
-                for t in range(p.tables):
-                    yield pd.DataFrame({"node": part["node"], "vec": part["vec"], "dim": dim, "t": t, "code": codes[:, t]})
-
-    coded = nodes.select("node", "dim", "vec").mapInPandas(code, "node bigint, vec binary, dim int, t int, code bigint")
-    coded = written(coded, "vector-codes")
-    full = coded.groupBy("dim", "t", "code").agg(F.count("*").alias("_n"))
-    dealt = coded.join(full, ["dim", "t", "code"]).withColumn(
-        "sub", F.expr(f"pmod(xxhash64(node, t), (_n + {p.block - 1}) div {p.block})"))
+                planes = np.random.default_rng([seed, int(dim)]).standard_normal((int(dim), tables * bits))
+                signs = (units(part["vec"], kind) @ planes > 0).reshape(len(part), tables, bits)
+                codes = (signs * (1 << np.arange(bits, dtype="int64"))).sum(2) if bits else np.zeros((len(part), tables), "int64")
+                for t in range(tables):
+                    yield pd.DataFrame({"node": part["node"], "dim": dim, "t": t, "code": codes[:, t]})
+
+    cell = ["dim", "t", "code"]
+    coded = written(nodes.select("node", "dim", "vec").mapInPandas(code, "node bigint, dim int, t int, code bigint"), "vector-codes")
+    full = written(coded.groupBy(*cell).agg(F.count("*").alias("_n")), "vector-codes")
+    vecs = nodes.select("node", "vec")
+    dealt = coded.join(full.filter(F.col("_n") <= p.block).drop("_n"), cell).withColumns({"sub": F.lit(0).cast("bigint"), "part": F.lit(0).cast("bigint")})
+    crowded = full.filter(F.col("_n") > p.block)
+    if crowded.limit(1).count():
+        hot = coded.join(crowded, cell).join(vecs, "node")
+
+        def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows = [(*key, units(part["vec"], kind).sum(0).tobytes()) for key, part in batch.groupby(cell)]
+                yield pd.DataFrame(rows, columns=[*cell, "total"])
+
+        def total(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
+            whole_ = np.frombuffer(b"".join(x["total"]), "f8").reshape(len(x), -1).sum(0)
+            return pd.DataFrame([(*key, whole_.tobytes())], columns=[*cell, "total"])
+
+        totals = hot.select(*cell, "vec").mapInPandas(add_up, "dim int, t int, code bigint, total binary") \
+            .groupBy(*cell).applyInPandas(total, "dim int, t int, code bigint, total binary")
+
+        def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for (dim, t), x in batch.groupby(["dim", "t"]):
+                    planes = np.random.default_rng([seed, int(dim), int(t), 1]).standard_normal((int(dim), deepest))
+                    n = x["_n"].to_numpy()
+                    mean = np.frombuffer(b"".join(x["total"]), "f8").reshape(len(x), -1) / n[:, None]
+                    used = np.arange(deepest) < np.ceil(np.log2(n / p.fill))[:, None]
+                    sub = ((((units(x["vec"], kind) - mean) @ planes > 0) & used) * (1 << np.arange(deepest, dtype="int64"))).sum(1)
+                    yield x[["node", *cell]].assign(sub=sub)
+
+        fine = written(hot.join(totals, cell).select("node", *cell, "_n", "vec", "total").mapInPandas(
+            split, "node bigint, dim int, t int, code bigint, sub bigint"), "vector-hot-codes")
+        left = fine.groupBy(*cell, "sub").agg(F.count("*").alias("_m"))
+        dealt = dealt.unionByName(fine.join(left, [*cell, "sub"]).withColumn(
+            "part", F.expr(f"pmod(xxhash64(node, t), (_m + {p.block - 1}) div {p.block})")).drop("_m"))
 
     def near(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
         u = units(x["vec"], kind)
         return best(x["node"].to_numpy(), u @ u.T, p.k)
 
-    return dealt.select("dim", "t", "code", "sub", "node", "vec").groupBy("dim", "t", "code", "sub").applyInPandas(near, GRAPH)
+    return dealt.join(vecs, "node").select(*cell, "sub", "part", "node", "vec").groupBy(*cell, "sub", "part").applyInPandas(near, GRAPH)
 
 
 def best(ids: np.ndarray, sims: np.ndarray, k: int, least: np.ndarray | None = None) -> pd.DataFrame:
@@ -319,6 +352,15 @@ def finished(graph: DataFrame, nodes: DataFrame, kind: str, p: Params) -> DataFr
     return written(relabelled(found, joins), "vector-found")
 
 
+def exact(found: DataFrame, nodes: DataFrame, kind: str, p: Params) -> DataFrame:
+    """found, from all nodes against all, block by block."""
+    members = nodes.join(found, "node").select(
+        F.col("dim").cast("bigint").alias("part"), F.col("component").alias("label"), "node", "dim", "n", "vec")
+    counts, joins = whole(members, kind, p)
+    counted = found.drop("links").join(counts, "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+    return written(relabelled(counted, joins), "vector-found")
+
+
 def linked(embeddings: DataFrame, p: Params = Params()) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     kind = "<f4" if "float" in embeddings.schema["embedding"].dataType.simpleString() else "<f8"
@@ -334,6 +376,8 @@ def linked(embeddings: DataFrame, p: Params = Params()) -> DataFrame:
         found = finished(graph, nodes, kind, p)
         if audited(found, nodes, kind, p) >= p.recall:
             break
+    else:
+        found = exact(found, nodes, kind, p)
     least = nodes.join(found, "node").select("embedding", "n", "least_id", "component", "links")
     smallest = least.groupBy("component").agg(F.min("least_id").alias("component_id"))
     known = least.join(smallest, "component").select("embedding", "component_id", (F.col("n") - 1 + F.col("links")).alias("n_links"))

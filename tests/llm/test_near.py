@@ -139,3 +139,16 @@ def test_audit_is_not_blinded_by_a_large_cloud(spark):
     assert nn_descent.audited(found, nodes, "<f4", p) == 0.0
     found = spark.createDataFrame([(n, 10 if full else 1, full) for n, _, full in rows], "node bigint, links bigint, full boolean")
     assert abs(nn_descent.audited(found, nodes, "<f4", p) - 10 / 59) < 1e-9
+
+
+@pytest.mark.parametrize("starts", [1, 0])
+def test_vectors_in_a_cone_are_all_found(spark, monkeypatch, starts):
+    """Pairs in a narrow cone; a search whose recall is not reached ends in the exact comparison."""
+    rng = np.random.default_rng(8)
+    cone = 3 * np.eye(32)[0]
+    points = [v for _ in range(150) for v in clouds(rng, [cone + rng.standard_normal(32) * 0.4], 2, 0.3, 32)]
+    points += clouds(rng, [np.eye(32)[5]], 20, 0.05, 32)
+    if not starts:
+        monkeypatch.setattr(nn_descent, "audited", lambda *a: 0.0)
+    p = nn_descent.Params(block=16, fill=8, tables=1, rounds=0, starts=1)
+    against_brute_force(nn_descent.linked(vectors(spark, list(enumerate(points))), p).collect(), points)
