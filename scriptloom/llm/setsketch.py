@@ -260,7 +260,7 @@ def rest_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docume
 
 
 def linked(documents: DataFrame, p: Params = Params()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, text_hash of every row of documents."""
+    """doc_id, n_shingles, component_id, kept, text_hash, group (its own name of the component; null if empty) of every row of documents."""
     rows = written(sketched(documents, p), "sketches")
     # one row for each set; `first` is where its text is read
     classes = written(rows.filter("key is not null").groupBy("key").agg(
@@ -275,21 +275,33 @@ def linked(documents: DataFrame, p: Params = Params()) -> DataFrame:
     joined = classes.join(labels, classes.key == labels.id, "left").select(
         "key", "least_id", F.coalesce("component", "key").alias("component"))
     smallest = joined.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    by_key = joined.join(smallest, "component").select("key", F.col("component_id").alias("_component"))
+    by_key = joined.join(smallest, "component").select("key", F.col("component_id").alias("_component"), F.col("component").alias("group"))
     # one row for each set, so the hot side can be split
     out = rows.join(by_key, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("_component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash")
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash", "group")
 
 
 def near_duplicates(documents: DataFrame, p: Params = Params()) -> DataFrame:
-    return linked(documents, p).drop("text_hash")
+    return linked(documents, p).drop("text_hash", "group")
 
 
 def kept_documents(documents: DataFrame, p: Params = Params()) -> DataFrame:
-    """One document of each group, with its own columns as they came."""
-    gone = linked(documents, p).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    rows = documents.select(F.struct("*").alias("_doc"), F.col("doc_id").alias("_key"), F.xxhash64("text").alias("_text"))
-    return rows.join(gone, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_anti").select("_doc.*")
+    """One row of each group, with its own columns as it came: the first by doc_id (nulls last) and text hash.
+
+    Of rows equal in both any one stays, so null and repeated doc_ids leave one row too. Rows with an empty set stay.
+    """
+    each = linked(documents, p).filter("group is not null").groupBy("group", "doc_id", "text_hash").agg(F.count("*").alias("_n"))
+    each = written(each.withColumn("_order", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")), "near-rows")
+    first = each.groupBy("group").agg(F.min("_order").alias("_first"))
+    marked = written(each.join(first, "group").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_n", F.col("_order").eqNullSafe(F.col("_first")).alias("_stays"))
+        .filter("not _stays or _n > 1"), "near-marked")
+    rows = documents.select(F.struct("*").alias("_doc"), F.col("doc_id").cast("bigint").alias("_key"), F.xxhash64("text").alias("_text"))
+    same = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
+    repeated = marked.filter("_stays")
+    out = rows.join(marked.select("_id", "_hash"), same, "left_anti")
+    if repeated.limit(1).count():
+        out = out.unionByName(rows.join(repeated.select("_id", "_hash"), same, "left_semi").dropDuplicates(["_key", "_text"]))
+    return out.select("_doc.*")

@@ -152,3 +152,16 @@ def test_vectors_in_a_cone_are_all_found(spark, monkeypatch, starts):
         monkeypatch.setattr(nn_descent, "audited", lambda *a: 0.0)
     p = nn_descent.Params(block=16, fill=8, tables=1, rounds=0, starts=1)
     against_brute_force(nn_descent.linked(vectors(spark, list(enumerate(points))), p).collect(), points)
+
+
+def test_one_row_of_each_group_is_kept(spark):
+    """Null ids, repeated rows and near copies under one doc_id; rows without words all stay."""
+    base = [str(i) for i in range(60)]
+    near = " ".join([*base[:-1], "x"])
+    text = " ".join(base)
+    texts = ["n a b c d", "n a b c d", "n a b c d", text, text, near, near, "q r s t u", "q r s t u", None, " ", " "]
+    ids = [None, None, None, 7, 7, 7, 9, 4, None, None, 3, 3]
+    kept = setsketch.kept_documents(brute.documents(spark, texts, ids)).collect()
+    words = [(r.doc_id, r.text) for r in kept if (r.text or "").strip()]
+    assert sorted((i is None, i or 0, t[:1]) for i, t in words) == [(False, 4, "q"), (False, 7, "0"), (True, 0, "n")]
+    assert len(kept) == 6
