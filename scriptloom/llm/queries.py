@@ -26,7 +26,7 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_rollup.rolled_up(table(spark, folder, "documents"))
+    return token_rollup.rolled_up(table(spark, folder, "documents"), restored=True)
 
 
 def op4_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -124,11 +124,12 @@ class Rollup:
         return [s.getPath().getName() for s in system.listStatus(path)] if system.exists(path) else []
 
 
-def rolled_up(documents: DataFrame) -> DataFrame:
-    """Totals of all documents after four deliveries.
+def rolled_up(documents: DataFrame, restored: bool = False) -> DataFrame:
+    """Totals after four deliveries, or five.
 
     `load` inserts every document with its white-space words as version `words`; `recount` revises every document
-    to the ids of the tokenizer; `withdraw` deletes the documents without an id; `recount` comes once more.
+    to the ids of the tokenizer; `withdraw` deletes the documents without an id; `recount` comes once more. Where
+    restored, `restore` inserts the withdrawn documents again, so the totals cover every document.
     """
     spark = documents.sparkSession
     rows = written(counted(documents), "token-counts")
@@ -136,6 +137,9 @@ def rolled_up(documents: DataFrame) -> DataFrame:
     recount = revisions(rows, ("words", "words"), (TOKENIZER, "tokens"))
     rollup.commit("load", inserts(rows, "words", "words"))
     rollup.commit("recount", recount)
-    rollup.commit("withdraw", deletes(rows.filter("tokens = 0"), TOKENIZER, "tokens"))
+    empty = rows.filter("tokens = 0")
+    rollup.commit("withdraw", deletes(empty, TOKENIZER, "tokens"))
     rollup.commit("recount", recount)
+    if restored:
+        rollup.commit("restore", inserts(empty, TOKENIZER, "tokens"))
     return rollup.totals()

@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import pytest
 
-from scriptloom.llm import packing, token_rollup, token_store, unigram
+from scriptloom.llm import packing, queries, token_rollup, token_store, unigram
 from scriptloom.llm.bpe_words import WordEncoder, tokenizer_path
 
 pytest.importorskip("public_tokenizers")
@@ -125,6 +125,17 @@ def test_rollup(spark, library, tmp_path):
     assert token_rollup.rolled_up(docs.filter("doc_id < 0")).count() == 0
 
 
+def test_rollup_query_counts_every_document(spark, library, tmp_path):
+    rows = [(0, None, "a", "en"), (1, "", "a", "en"), (2, "b c", "a", "en"), (3, " ", "only empty", None), (4, None, "only empty", None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = {}
+    for _, text, source, lang in rows:
+        d, t = want.get((source, lang), (0, 0))
+        want[(source, lang)] = (d + 1, t + len(ids_of(library, text)))
+    got = queries.op3_token_counts(spark, str(tmp_path)).collect()
+    assert {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in got} == want and len(got) == len(want)
+
+
 def test_batches_commit_once(spark, tmp_path):
     rollup = token_rollup.Rollup(spark, str(tmp_path / "rollup"))
     rows = spark.createDataFrame([("a", "en", 3, 5), ("a", "en", 4, 6), (None, None, None, 1)], "source string, lang string, x bigint, y bigint")
