@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scriptloom.llm import (
-    line_dedup, nn_descent, packing, quality_rank, quality_rules, setsketch, token_rollup, token_store, toxicity, unigram,
+    line_dedup, nn_descent, packing, pivot_codes, prefix_trie, quality_rank, quality_rules, setsketch, sharding, token_rollup,
+    token_store, toxicity, unigram,
 )
+from scriptloom.llm.twins import PIVOT_CODES, PREFIX_TRIE, SHARDING
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,9 +59,21 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.rebuilt_nodes(table(spark, folder, "conversations"))
+
+
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.digests(table(spark, folder, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_codes.compressed(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_store, op2_quality_rules, op3_token_counts, op4_embedding_near_dedup, op5_toxicity, op6_line_dedup, op7_best_fit_packing, op8_sentencepiece, op9_quality_classifier,
-    op10_minhash_near_dedup)}
+    op10_minhash_near_dedup, op11_prefix_trie, op12_sharding, op13_vector_codes)}
 
 #: DuckDB SQL for the same rows.
 ORACLES: dict[str, str] = {
@@ -97,4 +111,7 @@ from documents d left join (
     count(*) filter (where regexp_matches(line, '[^\x20\x09-\x0D]')) as n_lines, count(*) filter (where cut) as n_deleted
   from kept group by doc_id) k on k.doc_id = d.doc_id
 """,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op12_sharding": SHARDING,
+    "op13_vector_codes": PIVOT_CODES,
 }
