@@ -1,19 +1,21 @@
 """Matching an alias dictionary against chunk texts, and the tiers that follow from the matches.
 
-The dictionary is never crossed with the texts. Each text is cut, in one pass, into the places where
-an alias can match, those places meet the dictionary in one equi-join, and matches are counted before
-their only shuffle:
+The dictionary is never crossed with the texts. Each text is cut, in one pass, into pages of `PAGE` characters with a
+margin on both sides, and each page into runs of ASCII word characters and single other characters. These
+places carry their position and meet the dictionary in one equi-join:
 
-* aliases of ASCII letters and digits only match whole runs of such characters, so the runs of the
-  text are joined on the run itself;
+* aliases of ASCII letters and digits only match whole runs of such characters, so the runs are
+  joined on the run itself (where only counts are asked for, straight from the text);
 * every other alias holds at least one character outside that class. The first such character
-  (preferring a non-ASCII one) and a neighbour form its anchor. The text yields one fixed window
-  around each such character; the window meets the anchor in the join and then decides the exact
-  match, so the text itself is not carried along;
+  (preferring a non-ASCII one) and a neighbour form its anchor. Its place carries a window of a few characters, which
+  decides the match of an alias of up to `SHORT` characters, so the text itself is not carried along;
+* a longer alias meets its places by the part that such a window shows, and only what has passed there is decided
+  on the text;
 * speakers are joined on the name before the colon of a dialogue line.
 
-Windows would count overlapping hits. Only an alias with a border (a proper prefix that is also a
-suffix) can overlap itself; those are counted on the text instead.
+Mentions of an alias do not overlap: of those found, the leftmost counts and the next one starts after it. Only an alias
+with a border (a proper prefix that is also a suffix) can overlap itself, so only those keep their positions in the
+shuffle; all other matches are counted before it.
 """
 
 from __future__ import annotations
@@ -27,8 +29,9 @@ from scriptloom.session import BROADCAST_BYTES, written
 TIER_RANK = {"speaker": 3, "named": 2, "mentioned": 1}
 # ASCII word characters and their complement.
 WORD, NON_WORD = r"\p{Alnum}", r"\P{Alnum}"
-INLINE = 200  # longest alias list put into a plan as a literal
-RUN, SINGLE, LEFT, RIGHT, WHOLE, SPEECH = range(6)  # kinds of places
+PAGE = 160  # characters of a text that are looked at together
+SHORT = 30  # longest alias that a window decides
+RUN, SINGLE, LEFT, RIGHT, LONG_RUN, SPEECH = range(6)  # kinds of places
 CHUNK = ["container_id", "stage_idx"]
 
 
@@ -66,103 +69,175 @@ def _bordered(alias: Column) -> Column:
 
 
 def dictionary(aliases: DataFrame) -> DataFrame:
-    """Distinct alias texts with the kind and key of the place they meet."""
+    """Distinct alias texts with the kind and key of the place they meet.
+
+    seen, lead: the part of the alias that a window shows at most, and how much of it lies before the anchor.
+    """
     alias, offset = F.col("alias"), _shape(F.col("alias"))
     simple = alias.rlike(rf"\A{WORD}+\z")
-    words = aliases.select("alias").distinct().select(
+    words = aliases.select("alias").filter(alias != "").distinct().select(
         "alias", F.length(alias).alias("size"), tx.alias_mode(alias).alias("mode"), offset.alias("offset"),
         simple.alias("simple"), (~simple & _bordered(alias)).alias("bordered"),
     )
-    at = F.col("offset")
+    at, size = F.col("offset"), F.col("size")
     kind = (
-        F.when(F.col("simple"), RUN).when(F.col("bordered"), WHOLE).when(F.col("size") == 1, SINGLE)
-        .when(at == 0, RIGHT).otherwise(LEFT)
+        F.when(F.col("simple"), F.when(size <= SHORT, RUN).otherwise(LONG_RUN)).when(size == 1, SINGLE)
+        .when(at == size - 1, LEFT).otherwise(RIGHT)
     )
-    pair = F.substring(alias, F.when(at == 0, 1).otherwise(at), F.lit(2))
+    pair = F.substring(alias, F.when(at == size - 1, at).otherwise(at + 1), F.lit(2))
+    lead = F.least(at, F.lit(SHORT - 1))
     return words.select(
-        "alias", "size", "mode", "offset", kind.alias("kind"),
-        F.when(kind.isin(LEFT, RIGHT), pair).otherwise(alias).alias("key"),
+        "alias", "size", "mode", "offset", "bordered", kind.alias("kind"), (size > SHORT).alias("long"),
+        F.when(kind.isin(LEFT, RIGHT), pair).otherwise(F.substring(alias, 1, SHORT)).alias("key"), lead.alias("lead"),
+        F.substring(alias, at - lead + 1, lead + SHORT).alias("seen"),
     )
 
 
-def _places(kinds: set[int], reach: int, spaces: bool, inline: list[str]) -> Column:
-    """Array, by kind, of the texts in which an alias can be found."""
-    none = F.array().cast("array<string>")
-    parts = [none] * (SPEECH + 1)
-    if RUN in kinds:
-        parts[RUN] = F.split("body", NON_WORD + "+", -1)
-    if kinds & {SINGLE, LEFT, RIGHT}:
-        pad = F.lit(" " * reach)
-        start = rf"(?={NON_WORD})" if spaces else rf"(?={NON_WORD})(?=\S)"
-        window = rf"(?s){start}(?<=(?=(.{{{2 * reach + 1}}})).{{{reach}}})"
-        around = F.regexp_extract_all(F.concat(pad, "body", pad), F.lit(window), F.lit(1))
-        for kind in kinds & {SINGLE, LEFT, RIGHT}:
-            parts[kind] = around
-    if WHOLE in kinds and inline:
-        present = F.filter(F.array(*[F.lit(a) for a in inline]), lambda a: F.contains(F.col("body"), a))
-        times = lambda a: F.array_repeat(a, tx.mention_count("body", a).cast("int"))
-        parts[WHOLE] = F.flatten(F.transform(present, times))
-    if SPEECH in kinds:
-        told = F.filter(tx.lines("body"), lambda x: x.contains(":") | x.contains("："))
-        parts[SPEECH] = F.filter(F.transform(told, lambda x: tx.speaker(x)), lambda x: x.isNotNull())
-    return F.array(*parts)
-
-
-def _far_bordered(chunks: DataFrame, bordered: DataFrame) -> DataFrame:
-    """Self-overlapping aliases, when too many to list: find their texts by anchor, join those back."""
-    grams = F.array_distinct(F.regexp_extract_all("body", F.lit(rf"(?s)(?=({NON_WORD}))"), F.lit(1)))
-    anchored = bordered.select("alias", F.substring("alias", F.col("offset") + 1, F.lit(1)).alias("g"))
-    pairs = chunks.select(*CHUNK, F.explode(grams).alias("g")).join(anchored, "g").select(*CHUNK, "alias")
-    counted = chunks.select(*CHUNK, "body").join(pairs, CHUNK)
-    counted = counted.select(*CHUNK, "alias", tx.mention_count("body", "alias").alias("n"))
-    return counted.filter("n > 0").select(*CHUNK, "alias", F.lit(0).cast("bigint").alias("spoke"), "n")
+def _pages(left: int) -> Column:
+    """Pages of the body: `left` characters before and SHORT + 1 after it belong to the neighbours or lie outside."""
+    padded = F.concat(F.lit(" " * left), "body", F.lit(" " * (SHORT + 1)))
+    page = rf"(?s)(?=(.{{1,{left + PAGE + SHORT + 1}}})).{{1,{PAGE}}}"
+    return F.regexp_extract_all(padded, F.lit(page), F.lit(1))
 
 
-def alias_hits(chunks: DataFrame, aliases: DataFrame, speech: bool = True) -> DataFrame:
-    """Spoken lines and exact non-overlapping mentions per (chunk, alias), rows without either left out.
+def found(chunks: DataFrame, words: DataFrame, speech: bool, placed: bool) -> DataFrame:
+    """alias, spoke (1 for a speaker line, else 0), start (in the text), long (still to be decided on the text), bordered
+    of every place that an alias of the dictionary `words` meets. Mentions of an alias may overlap here.
 
-    `chunks` must hold one row per (container_id, stage_idx).
+    Without `placed`, aliases that are runs are compared with the runs of the whole text, which tells no start.
     """
-    words = written(dictionary(aliases), "dictionary")
     facts = words.agg(
         F.collect_set("kind").alias("kinds"),
-        F.coalesce(F.sum(2 * (F.octet_length("alias") + F.octet_length("key") + 32)), F.lit(0)).alias("bytes"),
-        F.max(F.when(F.col("kind").isin(SINGLE, LEFT, RIGHT), F.col("size"))).alias("size"),
-        F.count_if(F.col("kind") == WHOLE).alias("bordered"),
+        F.coalesce(F.sum(2 * (F.octet_length("alias") + F.octet_length("key") + F.octet_length("seen") + 48)), F.lit(0)).alias("bytes"),
+        F.max("lead").alias("lead"),
         F.bool_or(F.substring("alias", F.col("offset") + 1, F.lit(1)).rlike(r"\s")).alias("spaces"),
     ).first()
-    reach, near = (facts["size"] or 0) + 1, facts["bordered"] <= INLINE
-    kinds = set(facts["kinds"]) | ({SPEECH} if speech else set())
-    bordered = words.filter(F.col("kind") == WHOLE)
-    inline = []
-    if near and facts["bordered"]:
-        inline = [r["alias"] for r in bordered.select("alias").limit(INLINE).collect()]
-    cut = chunks.select(*CHUNK, F.posexplode(_places(kinds, reach, bool(facts["spaces"]), inline)).alias("kind", "texts"))
-    cut = cut.select(*CHUNK, "kind", F.explode("texts").alias("place"))
-    keyed = cut.withColumn(
-        "key",
-        F.when(F.col("kind") == SINGLE, F.substring("place", reach + 1, 1))
-        .when(F.col("kind") == LEFT, F.substring("place", reach, 2))
-        .when(F.col("kind") == RIGHT, F.substring("place", reach + 1, 2))
-        .otherwise(F.col("place")),
-    )
-    known = words
+    left, kinds = (facts["lead"] or 0) + 1, set(facts["kinds"])
+    signs, runs = sorted(kinds & {SINGLE, LEFT, RIGHT}), bool(kinds & {RUN, LONG_RUN})
+    sign = rf"(?={NON_WORD})" if facts["spaces"] else rf"(?={NON_WORD})(?=\S)"
+    begin = rf"(?<!{WORD})(?={WORD})"
+    at_places = [*([sign] if signs else []), *([begin] if runs and placed else [])]
+    none = F.array().cast("array<string>")
+    told = F.filter(tx.lines("body"), lambda x: x.contains(":") | x.contains("："))
+    # pages, whole runs and speakers of a text, in one pass
+    parts = [
+        _pages(left) if at_places else none,
+        F.split("body", NON_WORD + "+", -1) if runs and not placed else none,
+        F.filter(F.transform(told, lambda x: tx.speaker(x)), lambda x: x.isNotNull()) if speech else none,
+    ]
+    cut = chunks.select(*CHUNK, F.length("body").alias("_length"), F.posexplode(F.array(*parts)).alias("_part", "_texts"))
+    cut = cut.select(*CHUNK, "_length", "_part", F.posexplode("_texts").alias("page", "text"))
+    # a place of a page is what the page holds from there on
+    rest = F.regexp_extract_all("text", F.lit(rf"(?s)(?:{'|'.join(at_places)})(?=(.*))"), F.lit(1))
+    places = F.when(F.col("_part") == 0, rest).otherwise(F.array("text")) if at_places else F.array("text")
+    cut = cut.select(*CHUNK, "_length", "_part", "page", "text", F.explode(places).alias("rest"))
+    at = F.length("text") - F.length("rest")
+    cut = cut.select("*", F.when(F.col("_part") == 0, at).alias("at")).filter((F.col("_part") > 0) | (F.col("at") >= left) & (F.col("at") < left + PAGE))
+    meets = lambda kind, key: F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+    keys = {SINGLE: F.substring("rest", 1, 1), LEFT: F.substring("text", F.col("at"), F.lit(2)), RIGHT: F.substring("rest", 1, 2)}
+    run = F.regexp_extract("rest", rf"\A{WORD}+", 0)
+    of_run = F.array(F.when(F.length(run) <= SHORT, meets(RUN, run)).otherwise(meets(LONG_RUN, F.substring(run, 1, SHORT))))
+    of_sign = F.array(*[meets(k, keys[k]) for k in signs])
+    met = of_sign if signs else of_run
+    if signs and runs and placed:
+        met = F.when(F.col("rest").rlike(rf"\A{WORD}"), of_run).otherwise(of_sign)
+    whole = F.array(meets(RUN, F.col("rest")))
+    met = F.when(F.col("_part") == 0, met).when(F.col("_part") == 1, whole).otherwise(F.array(meets(SPEECH, F.col("rest"))))
+    cut = cut.select(*CHUNK, "_length", "page", "at", "text", F.explode(met).alias("_m")).select("*", "_m.*").drop("_m")
+    known = words if placed else words.withColumns({  # a whole run is met by its own text
+        "key": F.when(F.col("kind") == LONG_RUN, F.col("alias")).otherwise(F.col("key")),
+        "long": F.col("long") & (F.col("kind") != LONG_RUN),
+        "kind": F.when(F.col("kind") == LONG_RUN, RUN).otherwise(F.col("kind"))})
     if speech:
-        spoken = words.withColumns({"kind": F.lit(SPEECH), "key": F.col("alias")})
-        known = words.unionByName(spoken)
+        known = known.unionByName(known.withColumns({"kind": F.lit(SPEECH), "key": F.col("alias")}))
     side = F.broadcast(known) if facts["bytes"] <= BROADCAST_BYTES else known
-    met = keyed.join(side, ["kind", "key"])
-    first = F.lit(reach + 1) - F.col("offset")
-    before = F.substring(F.col("place"), first - 1, F.lit(1))
-    after = F.substring(F.col("place"), first + F.col("size"), F.lit(1))
-    bounded = (F.col("mode") != "ascii") | (before.rlike(NON_WORD) & after.rlike(NON_WORD))
-    exact = F.substring(F.col("place"), first, F.col("size")) == F.col("alias")
+    met = cut.join(side, ["kind", "key"])
     windowed = F.col("kind").isin(SINGLE, LEFT, RIGHT)
+    first = F.col("at") + 1 - F.col("lead")
+    before = F.substring(F.col("text"), first - 1, F.lit(1))
+    after = F.substring(F.col("text"), first + F.col("size"), F.lit(1))
+    bounded = (F.col("mode") != "ascii") | F.col("long") | (before.rlike(NON_WORD) & after.rlike(NON_WORD))
+    exact = F.substring(F.col("text"), first, F.length("seen")) == F.col("seen")
+    start = F.col("page") * PAGE + F.col("at") - left - F.when(windowed, F.col("offset")).otherwise(0)
+    inside = (start >= 0) & (start + F.col("size") <= F.col("_length"))
     said = F.when(F.col("kind") == SPEECH, 1).otherwise(0).cast("bigint")
-    hits = met.filter(~windowed | (exact & bounded)).select(*CHUNK, "alias", said.alias("spoke"), (1 - said).alias("n"))
-    if not near:
-        hits = hits.unionByName(_far_bordered(chunks, bordered))
-    return hits.groupBy(*CHUNK, "alias").agg(F.sum("spoke").alias("spoke"), F.sum("n").alias("n"))
+    return met.filter(F.when(windowed, inside & exact & bounded).otherwise(True)).select(
+        *CHUNK, "alias", "size", "mode", "bordered", "long", said.alias("spoke"), F.when(F.col("kind") != SPEECH, start).alias("start"))
+
+
+def _apart(starts: Column, size: Column) -> Column:
+    """Sorted starts without those that lie inside the one kept before."""
+    none = F.array().cast("array<int>")
+    done = F.aggregate(
+        F.array_sort(starts), F.struct(none.alias("kept"), F.lit(0).alias("upto")),
+        lambda acc, x: F.when(x < acc["upto"], acc).otherwise(
+            F.struct(F.concat(acc["kept"], F.array(x)).alias("kept"), (x + size).alias("upto"))))
+    return done["kept"]
+
+
+def _count_apart(starts: Column, size: Column) -> Column:
+    done = F.aggregate(
+        F.array_sort(starts), F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("upto")),
+        lambda acc, x: F.when(x < acc["upto"], acc).otherwise(F.struct((acc["n"] + 1).alias("n"), (x + size).alias("upto"))))
+    return done["n"]
+
+
+def _decided(rows: DataFrame, chunks: DataFrame) -> DataFrame:
+    """The starts of long aliases at which the text holds them: rows of CHUNK, alias, size, mode, starts, spoke."""
+    literal = lambda p: F.substring(F.col("body"), p + 1, F.col("size")) == F.col("alias")
+    edge = lambda p: F.coalesce(F.substring(F.col("body"), p, F.lit(1)).rlike(rf"\A{WORD}"), F.lit(False))
+    free = lambda p: ~(((p > 0) & edge(p)) | edge(p + F.col("size") + 1))
+    texts = rows.join(chunks.select(*CHUNK, "body"), CHUNK)
+    fits = F.filter("starts", lambda p: literal(p) & ((F.col("mode") != "ascii") | free(p)))
+    return texts.select(*CHUNK, "alias", "size", "mode", fits.alias("starts"), "spoke")
+
+
+def _settled(rows: DataFrame, chunks: DataFrame, any_long: bool) -> DataFrame:
+    """CHUNK, alias, size, starts, spoke: places that may overlap or were to be decided on the text, where the alias stands."""
+    each = rows.groupBy(*CHUNK, "alias", "size", "mode", "long").agg(F.collect_list("start").alias("starts"), F.sum("spoke").alias("spoke"))
+    sure = each.filter("not long").drop("long")
+    if any_long:
+        sure = sure.unionByName(_decided(each.filter("long").drop("long"), chunks))
+    return sure.select(*CHUNK, "alias", "size", "starts", "spoke")
+
+
+def _open(words: DataFrame) -> tuple[bool, bool]:
+    """Whether any alias may overlap itself or is long; whether any is long."""
+    facts = words.agg(F.bool_or(F.col("bordered") | F.col("long")), F.bool_or("long")).first()
+    return bool(facts[0]), bool(facts[1])
+
+
+def spans(chunks: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Mentions as (chunk, alias, start, size), not overlapping for each alias; start from 0."""
+    words = written(dictionary(aliases), "dictionary")
+    columns = [*CHUNK, "alias", "size", "mode", "bordered", "long", "start", "spoke"]
+    rows = written(found(chunks, words, speech=False, placed=True).select(*columns), "places")
+    simple = rows.filter("not bordered and not long").select(*CHUNK, "alias", "start", "size")
+    any_open, any_long = _open(words)
+    if not any_open:
+        return simple
+    kept = F.explode(_apart(F.col("starts"), F.col("size"))).alias("start")
+    return simple.unionByName(_settled(rows.filter("bordered or long"), chunks, any_long).select(*CHUNK, "alias", kept, "size"))
+
+
+def alias_hits(chunks: DataFrame, aliases: DataFrame, speech: bool = True) -> DataFrame:
+    """Spoken lines and exact non-overlapping mentions per (chunk, alias), rows without either left out.
+
+    `chunks` must hold one row per (container_id, stage_idx).
+    """
+    words = written(dictionary(aliases), "dictionary")
+    any_open, any_long = _open(words)
+    rows = found(chunks, words, speech, placed=False)
+    counts = F.sum("spoke").alias("spoke"), F.sum(1 - F.col("spoke")).alias("n")
+    if not any_open:
+        return rows.groupBy(*CHUNK, "alias").agg(*counts)
+    # counted at once, but for aliases whose places may overlap or are still to be decided: those keep their places
+    single = F.col("bordered") | F.col("long")
+    rows = rows.groupBy(*CHUNK, "alias", "size", "mode", "bordered", "long", F.when(single, F.col("start")).alias("start")).agg(*counts)
+    rows = written(rows, "alias-hits")
+    n = _count_apart(F.col("starts"), F.col("size")).alias("n")
+    settled = _settled(rows.filter("bordered or long"), chunks, any_long).select(*CHUNK, "alias", "spoke", n)
+    return rows.filter("not bordered and not long").select(*CHUNK, "alias", "spoke", "n").unionByName(settled.filter("spoke > 0 or n > 0"))
 
 
 def mention_counts(chunks: DataFrame, aliases: DataFrame) -> DataFrame:

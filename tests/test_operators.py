@@ -21,7 +21,6 @@ from scriptloom.operators import relations as rel
 from scriptloom.operators import search as se
 from scriptloom.operators import stats as st
 
-CONF = {"spark.sql.autoBroadcastJoinThreshold": "10485760"}
 CHUNK = "container_id string, stage_idx bigint, body string"
 ENTITY = "entity_id string, name string, appellation string"
 
@@ -64,26 +63,45 @@ def expected_count(body, alias):
     return body.count(alias)
 
 
-@pytest.mark.parametrize("inline", [200, 0])
-def test_matcher_against_brute_force(spark, monkeypatch, inline):
-    """Random texts over a tiny alphabet: boundaries, punctuation, overlaps, text ends."""
-    monkeypatch.setattr(pa, "INLINE", inline)
-    if not inline:  # also take the way of a dictionary too large to broadcast
+def brute_spans(body, alias):
+    if all(ord(c) < 128 for c in alias):
+        return [m.start() for m in re.finditer(f"(?<![A-Za-z0-9]){re.escape(alias)}(?![A-Za-z0-9])", body)]
+    out, at = [], body.find(alias)
+    while at >= 0:
+        out.append(at)
+        at = body.find(alias, at + len(alias))
+    return out
+
+
+@pytest.mark.parametrize("case", ["short", "shuffled", "long", "overlapping"])
+def test_matcher_against_brute_force(spark, monkeypatch, case):
+    """Random texts over a tiny alphabet: boundaries, punctuation, overlaps, text ends, pages, aliases longer than a page."""
+    if case == "shuffled":  # the way of a dictionary too large to broadcast
         monkeypatch.setattr(pa, "BROADCAST_BYTES", -1)
-        monkeypatch.setitem(CONF, "spark.sql.autoBroadcastJoinThreshold", "-1")
-    for key, value in CONF.items():
-        spark.conf.set(key, value)
-    rng = random.Random(7 + inline)
-    letters = "ab1é年哈-. "
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rng = random.Random(case)
+    letters = "ab1é年哈-. " if case != "overlapping" else "年哈-a"
     text = lambda n: "".join(rng.choice(letters) for _ in range(n))
-    aliases = sorted({t for t in (text(rng.randint(1, 4)).strip() for _ in range(160)) if t})
-    bodies = [text(rng.randint(0, 60)) for _ in range(120)]
+    aliases = {t for t in (text(rng.randint(1, 4)).strip() for _ in range(160)) if t}
+    bodies = [text(rng.randint(0, 60)) for _ in range(100)] + [text(rng.randint(100, 900)) for _ in range(20)] + [None, "", "年" * 500]
+    if case == "long":
+        for size in (15, 29, 30, 31, 32, 60, 200, 300):
+            aliases |= {text(size).strip() for _ in range(6)} | {"a" * size, "é" * size, "a-" * (size // 2), "x" * (size - 1) + "年"}
+        for a in sorted(aliases, key=len)[-40:]:
+            bodies += [a, f"{text(120)}{a}", f"{a}b{a}-{a}", f"{text(7)} {a} {a}{a}" * 3, a[:-1], f"b{a}"]
+    if case == "overlapping":
+        aliases |= {t for t in ("".join(rng.choice("年哈") for _ in range(rng.randint(2, 9))) for _ in range(900)) if t[0] == t[-1]}
+        bodies += ["".join(rng.choice("年哈") for _ in range(400)) for _ in range(20)]
+        assert sum(len(a) > 1 and a[0] == a[-1] for a in aliases) >= 200
+    aliases = sorted(aliases)
     adf = spark.createDataFrame([("e", a, "canonical", "ascii") for a in aliases], "entity_id string, alias string, match_class string, mode string")
-    cdf = spark.createDataFrame([("c", i, b) for i, b in enumerate(bodies)], CHUNK)
+    cdf = spark.createDataFrame([("c", i, b) for i, b in enumerate(bodies)], CHUNK).repartition(4)
     got = {(r.stage_idx, r.alias): r.n for r in pa.mention_counts(cdf, adf).collect()}
-    want = {(i, a): n for i, b in enumerate(bodies) for a in aliases if (n := expected_count(b, a))}
+    want = {(i, a): n for i, b in enumerate(bodies) for a in aliases if (n := expected_count(b or "", a))}
+    places = sorted((r.stage_idx, r.alias, r.start) for r in pa.spans(cdf, adf).collect())
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == want
+    assert places == sorted((i, a, at) for i, b in enumerate(bodies) for a in aliases for at in brute_spans(b or "", a))
 
 
 def test_alias_policies(spark):
