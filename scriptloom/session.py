@@ -57,7 +57,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._folder = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables of `written` that nothing will read any more."""
+    for table in tables:
+        folder = getattr(table, "_folder", None)
+        if folder:
+            sc = table.sparkSession.sparkContext
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
