@@ -5,15 +5,16 @@ after lower-casing A-Z. Register i of a sketch is the whole part of 1 - log_b of
 that hash i gives an element: exponentially spaced, truncated minima. Sketches of parts merge by the larger
 register, and equal registers tell of a shared least element, so bands of registers are a locality-sensitive key.
 
-1. Documents with the same set form a class; everything below runs on classes, so exact copies cost nothing.
-2. Classes that agree on a band of registers share a bucket. In every bucket each class is compared with the
-   bucket's first class only, so a bucket of any size yields one pair for each member.
+1. Documents with the same set form a class with a number; everything below runs on these, so exact copies cost nothing.
+2. Classes that agree on a band of registers share a bucket. Buckets are counted first, and only the rows of those with two or
+   more members go on. In every bucket each class is compared with the bucket's first class only, so a bucket of any
+   size yields one pair for each member.
 3. A pair's similarity is estimated from the counts of larger, smaller and equal registers and the two set sizes
    together, by the likeliest value; pairs clearly below the threshold go. The rest is verified on the full sets.
 4. Buckets that still span more than one component get all their other pairs across components compared, in
    blocks inside tasks: a pair is met in the first band it agrees on, estimated and verified there, and only links
-   that join components leave the task, fewer than it has rows. So no link between different components of a
-   bucket is lost, however large it is, and no pairs are listed within a group.
+   that join components leave the task, fewer than it has rows. Of buckets with the same members only that of the first band is compared. So
+   no link between different components of a bucket is lost, however large it is, and no pairs are listed within a group.
 5. Components of the verified links give each document the smallest doc_id it reaches.
 
 A pair at the threshold shares no bucket with a probability of (1 - 0.8^5)^25 = 5e-5, and is dropped by the
@@ -34,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from scriptloom.llm.graph import components
-from scriptloom.session import written
+from scriptloom.session import dropped, written
 
 BROADCAST_ROWS = 200_000  # keys joined by broadcast; beyond, Spark chooses
 BLOCK = 128
@@ -127,26 +128,37 @@ def sketched(documents: DataFrame, p: Params) -> DataFrame:
             rows = []
             for text in batch["text"]:
                 s = shingles(text, p.words)
-                rows.append((len(s), xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None,
+                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None,
                              sketch(s, p).tobytes() if len(s) else None))
             frame = pd.DataFrame(rows, columns=["n_shingles", "key", "registers"], index=batch.index)
             yield pd.concat([batch[["doc_id", "text_hash"]], frame], axis=1)
 
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text") \
-        .mapInPandas(run, "doc_id bigint, text_hash bigint, n_shingles bigint, key string, registers binary")
+        .mapInPandas(run, "doc_id bigint, text_hash bigint, n_shingles bigint, key binary, registers binary")
 
 
 def buckets(classes: DataFrame, p: Params) -> DataFrame:
-    """bucket, band, key: one row for each band of each class."""
+    """bucket, band, node: one row for each band of each class."""
     width = 2 * p.band
-    return classes.select("key", F.posexplode(F.transform(
+    return classes.select("node", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(p.registers // p.band - 1)),
         lambda k: F.xxhash64(k, F.substring(F.col("registers"), k * width + 1, F.lit(width))))).alias("band", "bucket"))
 
 
+def shared_members(rows: DataFrame) -> DataFrame:
+    """bucket, band, node, first (least node of the bucket) of the rows of buckets with two or more members. Written."""
+    shared = rows.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    shared = written(shared, "near-buckets")
+    out = written(rows.join(shared, "bucket"), "near-members")
+    dropped(shared)
+    return out
+
+
 def plausible(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
-    """The pairs (a, b) of keys whose estimate may reach the threshold."""
-    side = lambda x: classes.select(F.col("key").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}"))
+    """The pairs (a, b) of nodes whose estimate may reach the threshold. pairs: written."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    held = written(classes.join(nodes, "node", "left_semi").select("node", "n_shingles", "registers"), "near-registers")
+    side = lambda x: held.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("registers").alias(f"r_{x}"))
     rows = pairs.join(side("a"), "a").join(side("b"), "b")
     rows = rows.filter(100 * F.least("n_a", "n_b") >= p.percent * F.greatest("n_a", "n_b"))
 
@@ -157,24 +169,27 @@ def plausible(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
                 keep = likely(regs(x["r_a"]), regs(x["r_b"]), x["n_a"].to_numpy(), x["n_b"].to_numpy(), p)
                 yield x.loc[keep, ["a", "b"]]
 
-    return rows.mapInPandas(run, "a string, b string")
+    out = written(rows.mapInPandas(run, "a bigint, b bigint"), "near-pairs")
+    dropped(held)
+    return out
 
 
-def texts_of(keys: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
-    """key, text of the classes with these keys, each read from its first row."""
-    needed = written(classes.join(keys, "key", "left_semi").select("key", "first"), "near-keys")
-    if needed.count() <= BROADCAST_ROWS:
-        needed = F.broadcast(needed)
+def texts_of(nodes: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """node, text of the classes with these nodes, each read from its first row. Written."""
+    needed = written(classes.join(nodes, "node", "left_semi").select("node", "first"), "near-nodes")
+    side = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
     rows = documents.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
-    found = rows.join(needed, rows["doc_id"].eqNullSafe(needed["first"]["doc_id"]) & (rows["_hash"] == needed["first"]["text_hash"]))
-    return written(found.select("key", "text").dropDuplicates(["key"]), "near-texts")
+    found = rows.join(side, rows["doc_id"].eqNullSafe(side["first"]["doc_id"]) & (rows["_hash"] == side["first"]["text_hash"]))
+    out = written(found.select("node", "text").dropDuplicates(["node"]), "near-texts")
+    dropped(needed)
+    return out
 
 
 def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, p: Params) -> DataFrame:
     """The pairs whose full sets reach the threshold. pairs: written."""
-    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    texts = texts_of(keys, classes, documents)
-    side = lambda x: texts.select(F.col("key").alias(x), F.col("text").alias(f"t_{x}"))
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = texts_of(nodes, classes, documents)
+    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"t_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,35 +204,49 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, p: Para
                 keep.append(100 * common >= p.percent * (len(known) + len(other) - common))
             yield x.loc[keep, ["a", "b"]]
 
-    return written(both.mapInPandas(run, "a string, b string"), "near-links")
+    out = written(both.mapInPandas(run, "a bigint, b bigint"), "near-links")
+    dropped(texts)
+    return out
 
 
 def first_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): each bucket's least key with every other key of the bucket."""
-    first = members.groupBy("bucket").agg(F.min("key").alias("a"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    return members.join(first, "bucket").filter("a <> key").select("a", F.col("key").alias("b")).distinct()
+    """(a, b): each bucket's least node with every other node of the bucket. Written."""
+    return written(members.filter("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "near-first")
+
+
+def mixed_buckets(rows: DataFrame) -> DataFrame:
+    """bucket, main (its largest component), blocks of main and of the other members, for each set of members that spans components.
+
+    rows: bucket, band, node, component. The least band stands for all buckets with the same members.
+    """
+    marks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    each = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("band").alias("band"), *marks)
+    mixed = each.groupBy("bucket").agg(
+        F.count("*").alias("parts"), F.sum("n").alias("n"), F.max("n").alias("most"), F.min("band").alias("band"),
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2"))
+    mixed = mixed.filter("parts > 1 and n > 2").groupBy("n", "x1", "x2").agg(
+        F.min(F.struct("band", "bucket", "most", "main")).alias("b")).select("b.*", "n")
+    return mixed.select("bucket", "main", F.expr(f"(most + {BLOCK - 1}) div {BLOCK}").alias("main_blocks"),
+                        F.expr(f"(n - most + {BLOCK - 1}) div {BLOCK}").alias("other_blocks"))
 
 
 def rest_links(members: DataFrame, labels: DataFrame, classes: DataFrame, documents: DataFrame, p: Params) -> DataFrame | None:
-    """Links (a, b) across components that share a bucket; none where no bucket spans two components.
+    """Links (a, b) across components that share a bucket; none where no bucket spans two components. Written.
 
     The members of a bucket's largest component (left) meet the others block by block, and the others meet among
     themselves.
     """
-    rows = members.join(labels, members.key == labels.id, "left").select(
-        "bucket", "band", "key", F.coalesce("component", "key").alias("component"))
-    each = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = each.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max("n").alias("most"),
-                                       F.max_by("component", F.struct("n", "component")).alias("main"))
-    mixed = written(mixed.filter("parts > 1 and n > 2").select(
-        "bucket", "main", F.expr(f"(most + {BLOCK - 1}) div {BLOCK}").alias("main_blocks"),
-        F.expr(f"(n - most + {BLOCK - 1}) div {BLOCK}").alias("other_blocks")), "near-mixed")
-    if not mixed.limit(1).count():
+    rows = members.join(labels, members.node == labels.id, "left").select(
+        "bucket", "band", "node", F.coalesce("component", "node").alias("component"))
+    mixed = written(mixed_buckets(rows), "near-mixed")
+    if mixed.isEmpty():
+        dropped(mixed)
         return None
     own = written(rows.join(mixed, "bucket"), "near-mixed-members")
-    texts = texts_of(own.select("key").distinct(), classes, documents)
-    own = own.join(classes.select("key", "n_shingles", "registers"), "key").join(texts, "key")
-    block = lambda n: F.pmod(F.xxhash64("key", F.lit(7)), F.col(n))
+    texts = texts_of(own.select("node").distinct(), classes, documents)
+    held = written(classes.join(texts, "node").select("node", "n_shingles", "registers", "text"), "near-held")
+    dropped(texts)
+    block = lambda n: F.pmod(F.xxhash64("node", F.lit(7)), F.col(n))
     cell = lambda i, j, left: F.struct(i.cast("bigint").alias("i"), j.cast("bigint").alias("j"), F.lit(left).alias("left"))
     upto = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
     mine = block("other_blocks")
@@ -226,14 +255,14 @@ def rest_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docume
     as_other = F.concat(
         F.transform(upto("main_blocks"), lambda i: cell(-1 - i, mine, False)),
         F.transform(upto("other_blocks"), lambda j: cell(F.least(mine, j), F.greatest(mine, j), False)))
-    dealt = own.withColumn("cell", F.explode(F.when(F.col("component") == F.col("main"), as_main).otherwise(as_other)))
+    dealt = own.join(held, "node").withColumn("cell", F.explode(F.when(F.col("component") == F.col("main"), as_main).otherwise(as_other)))
 
     def compare(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
-        x = x.sort_values("key")
+        x = x.sort_values("node")
         regs = np.frombuffer(b"".join(x["registers"]), "<u2").reshape(len(x), -1)
         bands = regs.reshape(len(x), -1, p.band)
         n, parts = x["n_shingles"].to_numpy(), pd.factorize(x["component"])[0]
-        keys, left, texts_, band = x["key"].to_numpy(), x["left"].to_numpy(bool), x["text"].to_numpy(), int(x["band"].iloc[0])
+        nodes, left, texts_, band = x["node"].to_numpy(), x["left"].to_numpy(bool), x["text"].to_numpy(), int(x["band"].iloc[0])
         sets: dict[int, np.ndarray] = {}
         out = []
         for k in np.flatnonzero(left) if int(key[1]) < 0 else range(len(x)):
@@ -251,12 +280,14 @@ def rest_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docume
                         sets[y] = shingles(texts_[y], p.words)
                 common = len(np.intersect1d(sets[k], sets[o], assume_unique=True))
                 if 100 * common >= p.percent * (len(sets[k]) + len(sets[o]) - common):
-                    out.append((keys[k], keys[o]))
+                    out.append((nodes[k], nodes[o]))
                     parts[parts == parts[o]] = parts[k]
         return pd.DataFrame(out, columns=["a", "b"])
 
-    found = dealt.select("bucket", "cell.i", "cell.j", "cell.left", "band", "key", "component", "n_shingles", "registers", "text")
-    return written(found.groupBy("bucket", "i", "j").applyInPandas(compare, "a string, b string"), "near-rest")
+    found = dealt.select("bucket", "cell.i", "cell.j", "cell.left", "band", "node", "component", "n_shingles", "registers", "text")
+    out = written(found.groupBy("bucket", "i", "j").applyInPandas(compare, "a bigint, b bigint"), "near-rest")
+    dropped(mixed, own, held)
+    return out
 
 
 def linked(documents: DataFrame, p: Params = Params()) -> DataFrame:
@@ -265,17 +296,26 @@ def linked(documents: DataFrame, p: Params = Params()) -> DataFrame:
     # one row for each set; `first` is where its text is read
     classes = written(rows.filter("key is not null").groupBy("key").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("doc_id").alias("least_id"),
-        F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "near-classes")
-    members = written(buckets(classes, p), "near-buckets")
-    links = verified(written(plausible(first_pairs(members), classes, p), "near-pairs"), classes, documents, p)
+        F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
+        .withColumn("node", F.monotonically_increasing_id()), "near-classes")
+    members = shared_members(buckets(classes, p))
+    first = first_pairs(members)
+    pairs = plausible(first, classes, p)
+    links = verified(pairs, classes, documents, p)
+    dropped(first, pairs)
     labels = components(links)
     rest = rest_links(members, labels, classes, documents, p)
     if rest is not None:
         labels = components(links.unionByName(rest))
-    joined = classes.join(labels, classes.key == labels.id, "left").select(
-        "key", "least_id", F.coalesce("component", "key").alias("component"))
-    smallest = joined.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    by_key = joined.join(smallest, "component").select("key", F.col("component_id").alias("_component"), F.col("component").alias("group"))
+        dropped(rest)
+    dropped(members, links)
+    # classes that link with none are components of their own
+    named = classes.select("node", "least_id").join(labels, F.col("node") == F.col("id"))
+    smallest = named.groupBy("component").agg(F.min("least_id").alias("_least"))
+    by_node = labels.join(smallest, "component")
+    by_key = classes.join(by_node, classes.node == by_node.id, "left").select(
+        "key", F.when(F.col("id").isNull(), F.col("least_id")).otherwise(F.col("_least")).alias("_component"),
+        F.coalesce("component", "node").alias("group"))
     # one row for each set, so the hot side can be split
     out = rows.join(by_key, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("_component"))
