@@ -12,13 +12,16 @@ from scriptloom.operators import chunks as ch
 from scriptloom.operators import cooccurrence as co
 from scriptloom.operators import edges as ed
 from scriptloom.operators import entities as en
+from scriptloom.operators import grounding as gr
 from scriptloom.operators import incremental as inc
+from scriptloom.operators import network as net
 from scriptloom.operators import pages as pg
 from scriptloom.operators import participants as pa
 from scriptloom.operators import relations as rel
 from scriptloom.operators import search as se
 from scriptloom.operators import stats as st
 from scriptloom.plans.bind import Corpus
+from scriptloom.session import written
 from scriptloom.sources import lines as ln
 
 QUERIES: dict = {}
@@ -836,3 +839,46 @@ def q_whats_new(c: Corpus) -> DataFrame:
     links = o.filter("o_orderpriority = '1-URGENT'").join(k, F.col("o_custkey") == F.col("c_custkey")).select(
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("link_name"), F.col("c_name").alias("owner"), F.col("o_orderkey").alias("seq"))
     return pg.whats_new(ids, items, files, pg.story_owners(links))
+
+
+# ---- audits ---------------------------------------------------------------------------------------
+
+
+def summary_names(c: Corpus) -> DataFrame:
+    """Key names of page summaries, and of container summaries (without a stage)."""
+    whole = c.container_names().select("container_id", F.lit(None).cast("bigint").alias("stage_idx"), "name")
+    return c.stage_names().select("container_id", "stage_idx", "name").unionByName(whole)
+
+
+@query
+def q_grounding(c: Corpus) -> DataFrame:
+    names = summary_names(c)
+    rows = gr.audit(names, gr.name_forms(names, c.owners(), c.alias_index()), c.chunks())
+    return rows.select("container_id", "stage_idx", "name", "status", "entity_id", "n_chunks", "n_mentions", "first_stage", "first_start")
+
+
+@query
+def q_entity_coverage(c: Corpus) -> DataFrame:
+    return gr.coverage(c.participants(), summary_names(c), c.alias_index())
+
+
+# ---- relation network ------------------------------------------------------------------------------
+
+
+@query
+def q_relation_components(c: Corpus) -> DataFrame:
+    return net.components(written(net.links(c.relations()), "relation-links"))
+
+
+@query
+def q_relation_path(c: Corpus) -> DataFrame:
+    """From the first customer of each nation to the first supplier of another of its region, and from each brand to the largest size."""
+    r = written(net.links(c.relations()), "relation-links")
+    home = c.table("nation").select(F.col("n_name").alias("b"), "n_nationkey")
+    first = lambda prefix: r.filter(F.col("a").startswith(prefix)).join(home, "b").groupBy("n_nationkey").agg(F.min("a").alias("e"))
+    sources, targets = first("Customer"), first("Supplier")
+    pairs = sources.select(F.col("e").alias("source"), ((F.col("n_nationkey") + 5) % 25).alias("n_nationkey")).join(
+        targets.select("n_nationkey", F.col("e").alias("target")), "n_nationkey").select("source", "target")
+    last = c.table("part").agg(F.concat(F.lit("size "), F.max("p_size").cast("string")).alias("target"))  # one row
+    pairs = pairs.unionByName(c.table("part").select(F.col("p_brand").alias("source")).distinct().join(F.broadcast(last), F.lit(True)))
+    return net.paths(r, pairs, most=6)

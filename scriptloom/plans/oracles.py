@@ -544,3 +544,80 @@ SELECT container_id, CAST(stage_idx AS BIGINT) AS part_no, concat(CASE WHEN stag
 UNION ALL SELECT container_id, -1, 'merge' || chr(10) FROM big UNION ALL SELECT container_id, 9223372036854775807, chr(10) || 'please' FROM big"""
 ORACLES["q_selected_units"] = f"""WITH {FULL} SELECT entity_id, name FROM ent WHERE name <> ''
   AND entity_id IN (SELECT entity_id FROM det) AND entity_id IN (SELECT entity_id FROM part1)"""
+
+# ---- audits ----
+GNAMES = """gname AS (
+  SELECT DISTINCT container_id, stage_idx, name FROM sname UNION SELECT DISTINCT container_id, CAST(NULL AS BIGINT), name FROM ename),
+gknown AS (SELECT name, sole_id AS entity_id FROM (SELECT DISTINCT name FROM gname WHERE name <> '') LEFT JOIN idx ON alias = name),
+gform AS (SELECT name, name AS form FROM gknown UNION SELECT name, alias FROM gknown JOIN own USING (entity_id) WHERE alias <> ''),
+gmat AS (SELECT DISTINCT form AS alias, CASE WHEN regexp_full_match(form, '[\\x00-\\x7F]*') THEN 'ascii' ELSE 'other' END AS mode FROM gform)"""
+ESCAPED = "regexp_replace(form, '([^A-Za-z0-9])', '\\\\\\1', 'g')"
+ORACLES["q_grounding"] = f"""WITH {BASE}, {DOC}, {PAGE}, {CONV}, {CHUNK}, {LINK}, {KEYS}, {GNAMES},
+{hits("chunk").replace("FROM mat", "FROM gmat")},
+gev AS (
+  SELECT container_id, stage_idx, name, alias AS form, n FROM hit JOIN gform ON form = alias
+  WHERE n > 0 AND (container_id, name) IN (SELECT container_id, name FROM gname)),
+gat AS (
+  SELECT container_id, stage_idx, name, n, CASE WHEN regexp_full_match(form, '[\\x00-\\x7F]*')
+    THEN length(regexp_extract(body, '(?s)^(.*?(?:^|[^A-Za-z0-9]))' || {ESCAPED} || '(?:[^A-Za-z0-9]|$)', 1)) ELSE instr(body, form) - 1 END AS start
+  FROM gev JOIN chunk USING (container_id, stage_idx)),
+gchunk AS (SELECT container_id, stage_idx, name, sum(n) AS n, min(start) AS start FROM gat GROUP BY ALL),
+gall AS (
+  SELECT container_id, stage_idx, name, 1 AS n_chunks, n, stage_idx AS first_stage, start FROM gchunk
+  UNION ALL SELECT container_id, NULL, name, count(*), sum(n), min(stage_idx), arg_min(start, stage_idx) FROM gchunk GROUP BY container_id, name)
+SELECT g.container_id, g.stage_idx, g.name, CASE WHEN n > 0 THEN 'OK' ELSE 'MISS' END AS status, entity_id, CAST(coalesce(n_chunks, 0) AS BIGINT) AS n_chunks,
+  CAST(coalesce(n, 0) AS BIGINT) AS n_mentions, first_stage, CAST(start AS BIGINT) AS first_start
+FROM gname g LEFT JOIN gall a ON a.container_id = g.container_id AND a.name = g.name AND a.stage_idx IS NOT DISTINCT FROM g.stage_idx
+LEFT JOIN gknown k ON k.name = g.name"""
+ORACLES["q_entity_coverage"] = f"""WITH {FULL}
+SELECT container_id, entity_id, count(DISTINCT stage_idx) AS n_chunks FROM part1 WHERE tier IN ('speaker', 'named')
+  AND (container_id, entity_id) NOT IN (
+    SELECT container_id, sole_id FROM (SELECT container_id, name FROM sname UNION SELECT container_id, name FROM ename) JOIN idx ON alias = name WHERE n_ids = 1)
+GROUP BY ALL"""
+
+# ---- relation network ----
+RNET = f"""{REL},
+rlink AS (
+  SELECT DISTINCT head AS a, coalesce(tail, tail_name) AS b, type FROM rel
+  WHERE head <> '' AND coalesce(tail, tail_name) <> '' AND head <> coalesce(tail, tail_name)),
+rboth AS MATERIALIZED (SELECT a, b FROM rlink UNION SELECT b, a FROM rlink)"""
+ROUNDS = 12  # more than the longest distance in these tables
+ORACLES["q_relation_components"] = f"WITH {RNET}, c0 AS (SELECT DISTINCT a AS node, a AS component FROM rboth)" + "".join(
+    f""",
+c{k + 1} AS MATERIALIZED (
+  SELECT c.node, least(c.component, min(o.component)) AS component FROM c{k} c JOIN rboth ON a = c.node JOIN c{k} o ON o.node = b GROUP BY c.node, c.component)"""
+    for k in range(ROUNDS)) + f"\nSELECT node, component FROM c{ROUNDS}"
+
+
+def _levels(name: str, start: str, most: int) -> str:
+    """Distance of every node from one end of each pair, level by level."""
+    steps = [f"{name}0 AS MATERIALIZED (SELECT source, target, {start} AS node, 0 AS d FROM rpair)"]
+    for k in range(most):
+        steps.append(f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT * FROM {name}{k} UNION ALL
+  SELECT DISTINCT source, target, b AS node, {k + 1} AS d FROM {name}{k} f JOIN rboth ON a = node
+  WHERE d = {k} AND NOT EXISTS (SELECT 1 FROM {name}{k} o WHERE o.source = f.source AND o.target = f.target AND o.node = b))""")
+    return ",\n".join(steps)
+
+
+MOST = 6
+WALK = ",\n".join(f"""w{k + 1} AS MATERIALIZED (
+  SELECT w.source, w.target, {k + 1} AS hop, w.via AS prior, min(b) AS via FROM w{k} w JOIN rboth ON a = w.via
+  JOIN ron o ON o.source = w.source AND o.target = w.target AND o.node = b AND o.d = {k + 1} GROUP BY ALL)""" for k in range(MOST))
+ORACLES["q_relation_path"] = f"""WITH {RNET},
+rhome AS (SELECT a, n_nationkey FROM rlink JOIN nation ON n_name = b),
+rfrom AS (SELECT n_nationkey, min(a) AS e FROM rhome WHERE starts_with(a, 'Customer') GROUP BY 1),
+rto AS (SELECT n_nationkey, min(a) AS e FROM rhome WHERE starts_with(a, 'Supplier') GROUP BY 1),
+rpair AS (
+  SELECT f.e AS source, t.e AS target FROM rfrom f JOIN rto t ON t.n_nationkey = (f.n_nationkey + 5) % 25
+  UNION SELECT DISTINCT p_brand, (SELECT 'size ' || max(p_size) FROM part) FROM part),
+{_levels("fwd", "source", MOST)},
+{_levels("bwd", "target", MOST)},
+ron AS MATERIALIZED (
+  SELECT f.source, f.target, f.node, f.d FROM fwd{MOST} f JOIN bwd{MOST} b USING (source, target, node)
+  JOIN (SELECT source, target, min(f.d + b.d) AS best FROM fwd{MOST} f JOIN bwd{MOST} b USING (source, target, node) GROUP BY ALL) m USING (source, target)
+  WHERE f.d + b.d = best AND best <= {MOST}),
+w0 AS (SELECT source, target, 0 AS hop, CAST(NULL AS VARCHAR) AS prior, source AS via FROM rpair),
+{WALK}
+SELECT source, target, CAST(hop AS BIGINT) AS hop, via, (SELECT min(type) FROM rlink WHERE (a = prior AND b = via) OR (a = via AND b = prior)) AS type
+FROM ({" UNION ALL ".join(f"SELECT * FROM w{k + 1}" for k in range(MOST))})"""
