@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from scriptloom.functions import tags as tg
@@ -12,8 +14,10 @@ from scriptloom.operators import chunks as ch
 from scriptloom.operators import cooccurrence as co
 from scriptloom.operators import edges as ed
 from scriptloom.operators import entities as en
+from scriptloom.operators import gram_index as gi
 from scriptloom.operators import grounding as gr
 from scriptloom.operators import incremental as inc
+from scriptloom.operators import mining as mi
 from scriptloom.operators import network as net
 from scriptloom.operators import pages as pg
 from scriptloom.operators import participants as pa
@@ -21,7 +25,7 @@ from scriptloom.operators import relations as rel
 from scriptloom.operators import search as se
 from scriptloom.operators import stats as st
 from scriptloom.plans.bind import Corpus
-from scriptloom.session import written
+from scriptloom.session import checkpoint_root, written
 from scriptloom.sources import lines as ln
 
 QUERIES: dict = {}
@@ -882,3 +886,23 @@ def q_relation_path(c: Corpus) -> DataFrame:
     last = c.table("part").agg(F.concat(F.lit("size "), F.max("p_size").cast("string")).alias("target"))  # one row
     pairs = pairs.unionByName(c.table("part").select(F.col("p_brand").alias("source")).distinct().join(F.broadcast(last), F.lit(True)))
     return net.paths(r, pairs, most=6)
+
+
+# ---- indexed search, mined names ---------------------------------------------------------------------
+
+
+@query
+def q_grep_scoped(c: Corpus) -> DataFrame:
+    """Lines with an equals sign in the chunks of one container."""
+    return gi.grep_scoped(c.chunks(), " = ", "src7-en")
+
+
+@query
+def q_grep_indexed(c: Corpus) -> DataFrame:
+    index = gi.GramIndex.write(c.chunks(), f"{checkpoint_root(c.spark).rstrip('/')}/grams-{uuid.uuid4().hex}")
+    return index.grep("token = ")
+
+
+@query
+def q_mined_names(c: Corpus) -> DataFrame:
+    return mi.mined_names(c.chunks(), c.match_aliases(), least=2, most=4, words=True)

@@ -621,3 +621,26 @@ w0 AS (SELECT source, target, 0 AS hop, CAST(NULL AS VARCHAR) AS prior, source A
 {WALK}
 SELECT source, target, CAST(hop AS BIGINT) AS hop, via, (SELECT min(type) FROM rlink WHERE (a = prior AND b = via) OR (a = via AND b = prior)) AS type
 FROM ({" UNION ALL ".join(f"SELECT * FROM w{k + 1}" for k in range(MOST))})"""
+
+
+# ---- indexed search, mined names ----
+LINES_OF = lambda where: f"""WITH {NAV}, {DOC}, {PAGE}, {CONV}, {CHUNK},
+cl AS (SELECT container_id, stage_idx, unnest({lines('body')}) AS line, generate_subscripts({lines('body')}, 1) AS line_no FROM chunk)
+SELECT container_id, stage_idx, line, CAST(line_no AS BIGINT) AS line_no, substr(line, 1, 200) AS snippet FROM cl WHERE {where}"""
+ORACLES["q_grep_scoped"] = LINES_OF("container_id = 'src7-en' AND contains(line, ' = ')")
+ORACLES["q_grep_indexed"] = LINES_OF("contains(line, 'token = ')")
+ORACLES["q_mined_names"] = rf"""WITH {BASE}, {DOC}, {PAGE}, {CONV}, {CHUNK},
+run AS (SELECT container_id, stage_idx, string_split(unnest(regexp_extract_all(body, '(\p{{L}}+(?: \p{{L}}+)*)', 1)), ' ') AS u FROM chunk),
+gram AS (
+  SELECT container_id, stage_idx, array_to_string(u[k:k + n - 1], ' ') AS phrase FROM (
+    SELECT container_id, stage_idx, u, n, unnest(range(1, len(u) - n + 2)) AS k FROM run, (SELECT unnest([2, 3, 4]) AS n) WHERE len(u) >= n)),
+freq AS MATERIALIZED (
+  SELECT container_id, phrase, count(*) AS n, count(DISTINCT stage_idx) AS spread FROM gram GROUP BY ALL HAVING count(*) >= 3 AND count(DISTINCT stage_idx) >= 2),
+part AS (
+  SELECT container_id, regexp_extract(phrase, '^(.*) [^ ]+$', 1) AS phrase, n FROM freq UNION SELECT container_id, regexp_extract(phrase, '^[^ ]+ (.*)$', 1), n FROM freq),
+kept AS (
+  SELECT * FROM freq WHERE (container_id, phrase, n) NOT IN (SELECT container_id, phrase, n FROM part)
+    AND phrase NOT IN (SELECT alias FROM mat) AND phrase NOT IN ({BLOCKED})),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY container_id ORDER BY n * spread DESC, length(phrase) DESC, phrase) AS rank FROM kept)
+SELECT container_id, phrase, n, spread, rank FROM ranked WHERE rank <= 20"""
