@@ -1,7 +1,11 @@
 """Whole build: source folder -> written tables -> report.
 
 Every step writes its table and reads it back. The tables are the product, they cut the lineage, and
-their known sizes let Spark choose each join.
+their known sizes let Spark choose each join. Readers see the build when its manifest is written (see `store`).
+
+A build on top of an earlier one matches only what can have changed: containers with another mark over their texts, explicit
+edges and summary people, and containers that hold an alias that was added, dropped or reclassified. Edges of all other
+containers are taken over, and parts of the large tables without a change keep their files.
 """
 
 from __future__ import annotations
@@ -21,9 +25,11 @@ from scriptloom.operators import entities as en
 from scriptloom.operators import participants as pa
 from scriptloom.operators import relations as rel
 from scriptloom.operators import stats as st
+from scriptloom.session import written
 from scriptloom.sources import game
 from scriptloom.sources import lines as ln
 from scriptloom.sources import sinks
+from scriptloom.sources.store import Build, part_of
 
 
 @dataclass
@@ -48,8 +54,8 @@ def key_name_rows(docs: DataFrame, keys: list[str]) -> DataFrame:
 def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
     """Run the build and return its report (counter, value)."""
 
-    def put(df: DataFrame, name: str, partition_by: str | None = None, order: list[str] | None = None) -> DataFrame:
-        return sinks.table(df, out, name, partition_by, order)
+    store = Build(spark, out)
+    put = store.put
 
     # chunks and containers
     head = put(game.containers(spark, inputs.game_data), "containers")
@@ -58,13 +64,16 @@ def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
     chunks = raw.withColumns({"body": wrapped, "file": tx.chunk_file("stage_idx", "name", "tag")})
     chunks = chunks.join(head.select("container_id", "source_family"), "container_id")
     chunks = chunks.withColumn("length", F.length("body").cast("bigint")).drop("raw", "entry_type")
-    chunks = put(chunks, "chunks", order=["container_id", "stage_idx"])
+    fresh = written(chunks, "chunks")
+    texts = container_marks(fresh.select("container_id", F.to_json(F.struct(*sorted(fresh.columns))).alias("row")))
+    texts = put(texts, "text_marks")
+    chunks = store.put_parts(fresh, "chunks", "container_id", ["container_id", "stage_idx"], _parts(_changed(store, "text_marks", texts)))
 
     # entities, sections, links, cards
     merged = put(game.merged_entities(spark, inputs.game_data), "entities_raw")
     named = sinks.named(merged)
     curated = put(ln.alias_rows(ln.file_lines(spark, inputs.aliases)) if inputs.aliases else _no_aliases(spark), "curated_aliases")
-    put(cd.section_texts(named), "sections", order=["entity_id"])
+    sections = put(cd.section_texts(named), "sections", order=["entity_id"])
     links = named.select("entity_id", F.posexplode("storysets").alias("seq", "s")).select("entity_id", "seq", "s.link_name", "s.link_key")
     index = chunks.select(F.col("path").alias("link_key"), "container_id", "stage_idx")
     resolved = put(ch.resolve_links(links, index), "links", order=["entity_id"])
@@ -93,9 +102,10 @@ def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
     stage_names = put(key_name_rows(stage_docs, ["container_id", "stage_idx"]), "stage_names")
     container_names = put(key_name_rows(docs, ["container_id"]), "container_names")
     summary = put(ed.summary_edges(stage_names, container_names, alias_index, explicit), "summary_edges")
-    people = put(pa.participants(chunks, matchable, explicit, ed.key_ids(summary)), "participant_edges")
-    edges = put(ed.union_edges(explicit, people, summary), "edges", order=["container_id", "entity_id"])
-    put(edges, "edges_by_entity", order=["entity_id", "container_id"])
+    flags = ed.key_ids(summary)
+    people, _ = matched(store, chunks, matchable, explicit, flags, texts)
+    edges = store.put_parts(ed.union_edges(explicit, people, summary), "edges", "container_id", ["container_id", "entity_id"])
+    store.put_parts(edges, "edges_by_entity", "entity_id", ["entity_id", "container_id"])
     names = stage_names.select("container_id", "name").unionByName(container_names.select("container_id", "name"))
     unresolved = put(ed.unresolved(ed.resolved_names(names, alias_index)), "unresolved_names")
 
@@ -127,7 +137,7 @@ def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
 
     # manifests and report
     flagged = people.select("entity_id").distinct().withColumn("has_participant_appearances", F.lit(True))
-    sections = sinks.read(spark, out, "sections").groupBy("entity_id").agg(F.collect_set("section").alias("_s"))
+    sections = sections.groupBy("entity_id").agg(F.collect_set("section").alias("_s"))
     order = F.array(*[F.lit(s) for s in tx.SECTIONS])
     chars = ids.join(sections, "entity_id", "left").join(linked.select("entity_id", F.size("links").alias("_n")), "entity_id", "left")
     chars = chars.join(flagged, "entity_id", "left").select(
@@ -155,7 +165,52 @@ def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
         "skipped_nameless": count(merged.filter(F.coalesce("name", F.lit("")) == "")),
         "storyset_warnings": count(resolved, "status <> 'linked'"),
     })
-    return put(report, "report")
+    report = put(report, "report")
+    store.commit()
+    return report
+
+
+def container_marks(rows: DataFrame) -> DataFrame:
+    """container_id, mark: the same for the same rows (container_id, row) in any order."""
+    each = rows.select("container_id", F.sha2("row", 256).alias("h"))
+    lane = lambda k: F.sum(F.conv(F.substring("h", 9 * k + 1, 9), 16, 10).cast("decimal(38,0)"))
+    return each.groupBy("container_id").agg(F.concat_ws(":", F.count(F.lit(1)), *[lane(k).cast("string") for k in range(4)]).alias("mark"))
+
+
+def _changed(store: Build, name: str, now: DataFrame) -> DataFrame | None:
+    """container_id of the containers that are new, gone or have another mark than in the last build; None before the first."""
+    if not store.before.has(name):
+        return None
+    old = store.before.read(name).withColumnRenamed("mark", "_old")
+    both = now.join(old, "container_id", "full_outer")
+    return written(both.filter(~F.col("mark").eqNullSafe(F.col("_old"))).select("container_id"), "changed")
+
+
+def _parts(changed: DataFrame | None) -> set[int] | None:
+    return None if changed is None else {r[0] for r in changed.select(part_of("container_id")).distinct().collect()}
+
+
+def matched(store: Build, chunks: DataFrame, aliases: DataFrame, explicit: DataFrame, flags: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Participant edges, and the containers that were matched for them (None: all)."""
+    around = explicit.select("container_id", F.to_json(F.struct("entity_id", "stage_idx")).alias("row")).unionByName(
+        flags.select("container_id", F.concat(F.lit("flag "), "entity_id").alias("row")))
+    sides = store.put(texts.select("container_id", F.col("mark").alias("row")).unionByName(around).transform(container_marks), "match_marks")
+    changed = _changed(store, "match_marks", sides)
+    before = store.before
+    if changed is None or not before.has("participant_edges") or not before.has("match_aliases"):
+        return store.put_parts(pa.participants(chunks, aliases, explicit, flags), "participant_edges", "container_id", ["container_id", "entity_id"]), None
+    old_aliases, old_edges = before.read("match_aliases"), before.read("participant_edges")
+    columns = ["entity_id", "alias", "match_class", "mode"]
+    moved = aliases.select(columns).exceptAll(old_aliases.select(columns)).unionByName(old_aliases.select(columns).exceptAll(aliases.select(columns)))
+    moved = written(moved, "moved-aliases")
+    if not moved.isEmpty():
+        held = pa.alias_hits(chunks, moved).select("container_id")  # whatever holds one of them now
+        had = old_edges.select("container_id", F.explode("matched_aliases").alias("alias")).join(moved.select("alias").distinct(), "alias", "left_semi")
+        changed = written(changed.unionByName(held).unionByName(had.select("container_id")).distinct(), "changed")
+    stay = old_edges.join(changed, "container_id", "left_anti")
+    again = pa.participants(chunks.join(changed, "container_id", "left_semi"), aliases, explicit, flags)
+    people = written(stay.unionByName(again), "participants")
+    return store.put_parts(people, "participant_edges", "container_id", ["container_id", "entity_id"], _parts(changed)), changed
 
 
 def _no_aliases(spark: SparkSession) -> DataFrame:

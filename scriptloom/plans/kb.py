@@ -11,7 +11,7 @@ from scriptloom.operators import edges as ed
 from scriptloom.operators import entities as en
 from scriptloom.operators import relations as rel
 from scriptloom.operators import search as se
-from scriptloom.sources import sinks
+from scriptloom.sources.store import Snapshot
 
 # Order of the hand-kept dossier sections.
 ENTITY_SECTIONS = ("profile", "archive", "voice_about")
@@ -20,9 +20,10 @@ ENTITY_SECTIONS = ("profile", "archive", "voice_about")
 class KnowledgeBase:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        self.build = Snapshot(spark, root)  # a later build does not show in the answers of this object
 
     def table(self, name: str) -> DataFrame:
-        return sinks.read(self.spark, self.root, name)
+        return self.build.read(name)
 
     # ---- containers and chunks
     def list_events(self, family: str | None = None) -> DataFrame:
