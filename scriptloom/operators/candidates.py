@@ -34,17 +34,24 @@ def candidates(raw: DataFrame, alias_map: DataFrame, pages: DataFrame) -> DataFr
     )
 
 
+def _pieces(text: str) -> Column:
+    """Distinct two-character pieces."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substring(F.col(text), i, F.lit(2))))
+
+
 def _inside(long: DataFrame, text: str, short: DataFrame, out: str) -> DataFrame:
     """(text, out): each value of `long` with every value of `short` that it contains.
 
-    Both sides meet on the first two characters of the short value; the two-character pieces of a text are as many
-    as its characters, whatever the lengths on the other side, and the whole value is compared after the join.
+    Both sides meet on one two-character piece of the short value: of its pieces the one that the fewest long values hold, as
+    counted. A start or an ending that most names share is therefore no key, unless a name has nothing else, and a short
+    value with a piece that no long value holds meets none.
     """
-    at = F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.struct(i.alias("at"), F.substring(text, i, F.lit(2)).alias("start")))
-    pieces = long.filter(F.length(text) >= 2).select(text, F.explode(at).alias("p")).select(text, "p.at", "p.start")
-    keyed = short.filter(F.length(out) >= 2).select(out, F.substring(out, 1, 2).alias("start"))
-    met = pieces.join(keyed, "start")
-    return met.filter(F.substring(F.col(text), F.col("at"), F.length(out)) == F.col(out)).select(text, out).distinct()
+    held = written(long.filter(F.length(text) >= 2).select(text, F.explode(_pieces(text)).alias("piece")), "pieces")
+    often = held.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    each = short.filter(F.length(out) >= 2).select(out).distinct().select(out, F.explode(_pieces(out)).alias("piece")).join(often, "piece", "left")
+    keyed = each.groupBy(out).agg(F.min(F.struct("n", "piece")).alias("k"), F.bool_and(F.col("n").isNotNull()).alias("all_held"))
+    met = held.join(keyed.filter("all_held").select(out, F.col("k.piece").alias("piece")), "piece")
+    return met.filter(F.contains(F.col(text), F.col(out))).select(text, out)
 
 
 def similar_names(raw: DataFrame, canonicals: DataFrame) -> DataFrame:

@@ -157,8 +157,8 @@ class Corpus:
         return self.documents().unionByName(self.page_chunks()).unionByName(self.script_chunks())
 
     def units(self) -> DataFrame:
-        """Document texts per container as (unit_id, name, text) for the hash gate."""
-        return self.documents().select(
+        """Texts of all chunks per container as (unit_id, name, text) for the hash gate."""
+        return self.chunks().select(
             F.col("container_id").alias("unit_id"), F.format_string("%012d", "stage_idx").alias("name"),
             F.col("body").alias("text"),
         )
@@ -231,6 +231,20 @@ class Corpus:
     def edges(self) -> DataFrame:
         return ed.union_edges(self.explicit(), self.participants(), self.summary())
 
+    def edges_near(self, container_id: str | None = None, stage_idx: int | None = None, entity_id: str | None = None) -> DataFrame:
+        """The edges of one container, chunk or entity: only its texts are read, only its aliases are matched."""
+        def near(df: DataFrame) -> DataFrame:
+            for name, value in (("container_id", container_id), ("stage_idx", stage_idx), ("entity_id", entity_id)):
+                if value is not None and name in df.columns:
+                    df = df.filter(F.col(name) == value)
+            return df
+
+        explicit, summary = near(self.explicit()), near(self.summary())
+        flags = ed.key_ids(self.summary())
+        flags = flags if container_id is None else flags.filter(F.col("container_id") == container_id)
+        people = pa.participants(near(self.chunks()), near(self.match_aliases()), explicit, flags)
+        return ed.union_edges(explicit, people, summary)
+
     # ---- entities -----------------------------------------------------------------------
 
     def curated_entries(self) -> DataFrame:
@@ -357,7 +371,7 @@ class Corpus:
     # ---- unit state ---------------------------------------------------------------------
 
     def unit_totals(self) -> DataFrame:
-        return ch.rollup(self.documents()).withColumnRenamed("container_id", "unit_id")
+        return ch.rollup(self.chunks()).withColumnRenamed("container_id", "unit_id")
 
     def prior_state(self) -> DataFrame:
         """State of an earlier run: English units have other content, Spanish ones are unknown,

@@ -101,8 +101,8 @@ def q_safe_slug(c: Corpus) -> DataFrame:
 
 @query
 def q_path(c: Corpus) -> DataFrame:
-    return c.documents().select(
-        F.col("stage_idx").alias("doc_id"), tx.normal_path("path").alias("norm"), tx.path_prefix("path").alias("prefix")
+    return c.chunks().select(
+        "container_id", "stage_idx", tx.normal_path("path").alias("norm"), tx.path_prefix("path").alias("prefix")
     )
 
 
@@ -211,7 +211,7 @@ def q_entity_requests(c: Corpus) -> DataFrame:
 
 @query
 def q_mention_count(c: Corpus) -> DataFrame:
-    hits = pa.mention_counts(c.documents(), c.match_aliases())
+    hits = pa.mention_counts(c.chunks(), c.match_aliases())
     return hits.groupBy("alias").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("n").alias("n_mentions"))
 
 
@@ -261,7 +261,7 @@ def q_zip_tags(c: Corpus) -> DataFrame:
 
 @query
 def q_positions(c: Corpus) -> DataFrame:
-    d = c.documents().select("container_id", F.col("stage_idx").alias("doc_id"))
+    d = c.chunks().select("container_id", F.col("stage_idx").alias("doc_id"))
     return ch.positions(d, "container_id", "doc_id", width=128)
 
 
@@ -344,7 +344,7 @@ def q_explicit_edges(c: Corpus) -> DataFrame:
 
 @query
 def q_speaker_counts(c: Corpus) -> DataFrame:
-    return pa.speaker_counts(c.script_chunks())
+    return pa.speaker_counts(c.chunks())
 
 
 @query
@@ -354,7 +354,7 @@ def q_participants(c: Corpus) -> DataFrame:
 
 @query
 def q_subtract_explicit(c: Corpus) -> DataFrame:
-    hits = pa.participants(c.page_chunks(), c.match_aliases())
+    hits = pa.participants(c.chunks(), c.match_aliases())
     left = hits.join(c.explicit(), ["entity_id", "container_id", "stage_idx"], "left_anti")
     return left.select("entity_id", "container_id", "stage_idx", "tier")
 
@@ -384,23 +384,20 @@ def q_edges_min_tier(c: Corpus) -> DataFrame:
 
 @query
 def q_appearances(c: Corpus) -> DataFrame:
-    busiest = c.explicit().agg(F.min("entity_id").alias("e"))
-    rows = c.edges().filter(ed.passes("speaker"))
-    return rows.join(F.broadcast(busiest), rows["entity_id"] == busiest["e"], "left_semi").select(
-        "entity_id", "container_id", "stage_idx", "source", "tier"
-    )
+    first = c.explicit().agg(F.min("entity_id")).first()[0]
+    return c.edges_near(entity_id=first).filter(ed.passes("speaker")).select("entity_id", "container_id", "stage_idx", "source", "tier")
 
 
 @query
 def q_container_entities(c: Corpus) -> DataFrame:
-    return ed.of_container(c.edges(), "src7-en", "participant", "named").select(
+    return ed.of_container(c.edges_near("src7-en"), "src7-en", "participant", "named").select(
         "entity_id", "container_id", "stage_idx", "tier", "mention_count"
     )
 
 
 @query
 def q_chunk_entities(c: Corpus) -> DataFrame:
-    return ed.of_chunk(c.edges(), "conv0", 0, "all", "mentioned").select(
+    return ed.of_chunk(c.edges_near("conv0", 0), "conv0", 0, "all", "mentioned").select(
         "entity_id", "container_id", "stage_idx", "source", "tier", "spoke_lines", "mention_count"
     )
 
@@ -447,7 +444,7 @@ def q_stage_table(c: Corpus) -> DataFrame:
 
 
 def container_families(c: Corpus) -> DataFrame:
-    first = c.documents().groupBy("container_id").agg(
+    first = c.chunks().groupBy("container_id").agg(
         F.min_by(F.struct("path", "entry_type"), "stage_idx").alias("f")
     )
     return first.withColumn("source_family", tx.source_family("f.path", "f.entry_type"))
@@ -472,7 +469,7 @@ def q_family_counts(c: Corpus) -> DataFrame:
 
 @query
 def q_corpus_stats(c: Corpus) -> DataFrame:
-    d = c.documents().withColumn("n", F.length("body"))
+    d = c.chunks().withColumn("n", F.length("body"))
     sizes = st.percentiles(d, "n", {"median": 0.5, "p90": 0.9, "p95": 0.95})
     plain = d.agg(*st.totals(d, "n")).select(
         F.explode(F.array(F.struct(F.lit("count").alias("stat"), F.col("n").alias("value")),
@@ -698,16 +695,16 @@ def q_cost_estimate(c: Corpus) -> DataFrame:
 
 @query
 def q_chunk_cost(c: Corpus) -> DataFrame:
-    units = c.documents().select("container_id", "stage_idx", big(F.length("body")).alias("total_length"))
+    units = c.chunks().select("container_id", "stage_idx", big(F.length("body")).alias("total_length"))
     return inc.single_cost(units, 800, inc.STAGE_SUMMARY_OUT)
 
 
 @query
 def q_requests(c: Corpus) -> DataFrame:
-    t = ch.rollup(c.documents())
-    one = inc.single_pass_requests(c.documents(), t, "please read\n{text}\nthank you")
+    t = ch.rollup(c.chunks())
+    one = inc.single_pass_requests(c.chunks(), t, "please read\n{text}\nthank you")
     one = one.withColumn("stage_idx", F.lit(None).cast("bigint"))
-    return one.unionByName(inc.chunk_requests(c.documents(), t, "please read\n{text}\nthank you"))
+    return one.unionByName(inc.chunk_requests(c.chunks(), t, "please read\n{text}\nthank you"))
 
 
 @query
@@ -789,7 +786,7 @@ def q_similar_names(c: Corpus) -> DataFrame:
 @query
 def q_related_containers(c: Corpus) -> DataFrame:
     names = c.entities().filter(F.col("name") != "").select("entity_id", F.explode(F.array("name", "appellation")).alias("alias"))
-    return ca.related_containers(c.script_chunks(), c.container_names(), names)
+    return ca.related_containers(c.chunks(), c.container_names(), names)
 
 
 @query

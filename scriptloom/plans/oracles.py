@@ -237,8 +237,10 @@ SELECT doc_id, CASE length(text) % 6
   CASE length(text) % 6 WHEN 4 THEN '正文' ELSE '' END AS missing FROM documents"""
 ORACLES["q_safe_slug"] = f"""WITH {NAV} SELECT page_id, ord, term,
   CASE WHEN regexp_full_match(term, '[a-zA-Z0-9_.]+') THEN term ELSE substr(sha256(term), 1, 6) END AS slug FROM nav"""
-ORACLES["q_path"] = f"""WITH {DOC} SELECT stage_idx AS doc_id, norm,
-  array_to_string(string_split(norm, '/')[1:2], '/') AS prefix FROM (SELECT stage_idx, ltrim(replace(path, chr(92), '/'), '/') AS norm FROM doc)"""
+PATHS = """a AS (SELECT container_id, stage_idx, entry_type, ltrim(replace(path, chr(92), '/'), '/') AS norm FROM doc
+  UNION ALL SELECT container_id, stage_idx, entry_type, ltrim(replace(path, chr(92), '/'), '/') FROM page
+  UNION ALL SELECT 'conv' || conv_id, turn, 'MAINLINE', '' FROM conversations)"""
+ORACLES["q_path"] = f"""WITH {DOC}, {PAGE}, {PATHS} SELECT container_id, stage_idx, norm, array_to_string(string_split(norm, '/')[1:2], '/') AS prefix FROM a"""
 FAMILY = """CASE WHEN entry_type = 'MAINLINE' OR norm LIKE 'obt/main/%' THEN 'mainline' WHEN norm LIKE 'obt/memory/%' THEN 'operator_record'
   WHEN norm LIKE 'activities/%' AND entry_type = 'ACTIVITY' THEN 'activity' WHEN norm LIKE 'activities/%' AND entry_type = 'MINI_ACTIVITY' THEN 'mini_activity'
   ELSE 'other' END"""
@@ -268,7 +270,7 @@ UNION ALL SELECT entity_id, 'voice', concat('<干员语音>', nl, p_type, nl, p_
 UNION ALL SELECT entity_id, 'archive', concat('<干员档案>', nl, p_type, ':', nl, p_name, nl, '</干员档案>', nl) FROM p
 UNION ALL SELECT entity_id, 'skins', concat('<干员皮肤>', nl, '名称:', p_type, chr(9), '描述:None', chr(9), '用途:', p_brand, chr(9), '旁白:', p_name, nl, '</干员皮肤>', nl) FROM p WHERE p_size > 30
 UNION ALL SELECT entity_id, 'modules', concat('<干员模组>', nl, '<模组名称>', p_brand, '</模组名称>', nl, '<模组描述>', nl, p_type, nl, '</模组描述>', nl, '</干员模组>', nl) FROM p WHERE p_size > 40"""
-ORACLES["q_mention_count"] = f"WITH {BASE}, {DOC}, {hits('doc')} SELECT alias, count(*) AS n_chunks, CAST(sum(n) AS BIGINT) AS n_mentions FROM hit GROUP BY alias"
+ORACLES["q_mention_count"] = f"WITH {BASE}, {DOC}, {PAGE}, {CONV}, {CHUNK}, {hits('chunk')} SELECT alias, count(*) AS n_chunks, CAST(sum(n) AS BIGINT) AS n_mentions FROM hit GROUP BY alias"
 ORACLES["q_alias_mode"] = f"WITH {BASE} SELECT mode, count(*) AS n_aliases FROM mat GROUP BY mode"
 ORACLES["q_key_names"] = f"WITH {KEYS} SELECT container_id, stage_idx, ord, name FROM sname"
 ORACLES["q_entity_id"] = f"WITH {NAV}, {ENT} SELECT term, 'ent_' || substr(sha256(term), 1, 6) AS synthetic_id FROM ent"
@@ -288,16 +290,18 @@ rparsed AS (
 ORACLES["q_parse_relations"] = f"WITH {NAV}, {RESP} SELECT unit_id, line_no, type, tail_name, notes, reason FROM rparsed"
 
 LANES = ", ".join(f"CAST(sum(CAST('0x' || substr(h, {7 * i + 1}, 7) AS BIGINT)) AS VARCHAR)" for i in range(9))
-HASH = f"""piece AS (SELECT source || '-' || lang AS unit_id, format('{{:012d}}', doc_id) AS name, text, format('{{:012d}}', doc_id) || chr(0) || text || chr(0) AS p FROM documents),
+ALL = f"{NAV}, {DOC}, {PAGE}, {CONV}, {CHUNK}"
+HASH = f"""{ALL},
+piece AS (SELECT container_id AS unit_id, format('{{:012d}}', stage_idx) || chr(0) || body || chr(0) AS p FROM chunk),
 hashed AS (SELECT unit_id, sha256(concat_ws(':', CAST(count(*) AS VARCHAR), {LANES})) AS source_hash FROM (SELECT unit_id, sha256(p) AS h FROM piece) GROUP BY unit_id)"""
-UNIT = "unit AS (SELECT source || '-' || lang AS unit_id, CAST(sum(length(text)) AS BIGINT) AS total_length, count(*) AS stage_count FROM documents GROUP BY 1)"
+UNIT = "unit AS (SELECT container_id AS unit_id, CAST(sum(length(body)) AS BIGINT) AS total_length, count(*) AS stage_count FROM chunk GROUP BY 1)"
 ORACLES["q_content_hash"] = f"WITH {HASH} SELECT unit_id, source_hash FROM hashed"
-ORACLES["q_multi_pass"] = f"WITH {UNIT} SELECT unit_id, total_length, stage_count, total_length > 80000 OR stage_count > 10 AS multi FROM unit"
+ORACLES["q_multi_pass"] = f"WITH {ALL}, {UNIT} SELECT unit_id, total_length, stage_count, total_length > 80000 OR stage_count > 10 AS multi FROM unit"
 ORACLES["q_zip_tags"] = """
 SELECT doc_id, CAST(0 AS BIGINT) AS pos, source AS name, text AS content FROM documents WHERE length(text) % 7 <> 0
 UNION ALL SELECT doc_id, 1, lang, source FROM documents WHERE length(text) % 7 <> 0
 UNION ALL SELECT doc_id, NULL, NULL, NULL FROM documents WHERE length(text) % 7 = 0"""
-ORACLES["q_positions"] = """SELECT source || '-' || lang AS container_id, doc_id, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) - 1 AS stage_idx FROM documents"""
+ORACLES["q_positions"] = f"""WITH {ALL} SELECT container_id, stage_idx AS doc_id, row_number() OVER (PARTITION BY container_id ORDER BY stage_idx) - 1 AS stage_idx FROM chunk"""
 ORACLES["q_container_text"] = f"""WITH {DOC} SELECT DISTINCT container_id, CAST(-1 AS BIGINT) AS stage_idx, '<活动名称>' || container_name || '</活动名称>' AS part FROM doc
 UNION ALL SELECT container_id, stage_idx, concat('<章节>', chr(10), '<章节名称>', name, '（', tag, '）</章节名称>', chr(10), '<章节简介></章节简介>', chr(10), '<正文>', chr(10), body, chr(10), '</正文>', chr(10), '</章节>', chr(10)) FROM doc"""
 
@@ -321,9 +325,9 @@ ORACLES["q_resolve_links"] = f"WITH {TEXTLINK} SELECT owner, rs.link_key, status
 ORACLES["q_link_candidates"] = f"WITH {TEXTLINK} SELECT link_key, container_id, stage_idx FROM ix WHERE link_key IN (SELECT link_key FROM rs WHERE status = 'ambiguous')"
 ORACLES["q_link_stats"] = f"WITH {TEXTLINK} SELECT status, count(*) AS n_links FROM rs GROUP BY status"
 ORACLES["q_explicit_edges"] = f"WITH {NAV}, {ENT}, {LINK} SELECT * FROM det"
-ORACLES["q_speaker_counts"] = f"WITH {NAV}, {CONV}, sc AS (SELECT 'conv' || conv_id AS container_id, turn AS stage_idx, body FROM script), {SPEECH('sc')} SELECT * FROM spoken"
+ORACLES["q_speaker_counts"] = f"WITH {ALL}, {SPEECH('chunk')} SELECT * FROM spoken"
 ORACLES["q_participants"] = f"WITH {FULL} SELECT * FROM part1"
-ORACLES["q_subtract_explicit"] = f"""WITH {BASE}, {PAGE}, {LINK}, summ AS (SELECT '' AS entity_id, '' AS container_id), {hits('page')}, {SPEECH('page')}, {PART}
+ORACLES["q_subtract_explicit"] = f"""WITH {BASE}, {DOC}, {PAGE}, {CONV}, {CHUNK}, {LINK}, summ AS (SELECT '' AS entity_id, '' AS container_id), {hits('chunk')}, {SPEECH('chunk')}, {PART}
 SELECT entity_id, container_id, stage_idx, tier FROM part1"""
 ORACLES["q_summary_edges"] = f"WITH {BASE}, {LINK}, {KEYS}, {SUMM} SELECT entity_id, container_id, stage_idx, source, tier, matched_aliases FROM summ"
 ORACLES["q_unresolved_names"] = f"""WITH {NAMED} SELECT name, count(*) AS n_containers, array_to_string(list_sort(list(container_id))[1:5], ';') AS first_container_ids FROM unres GROUP BY name"""
@@ -347,14 +351,14 @@ SELECT DISTINCT container_id, array_to_string(string_split(norm, '/')[1:2], '/')
 NORM = "(SELECT *, ltrim(replace(path, chr(92), '/'), '/') AS norm FROM doc)"
 ORACLES["q_stage_table"] = f"""WITH {DOC} SELECT container_id, stage_idx, name, tag, {FAMILY} AS source_family, array_to_string(string_split(norm, '/')[1:2], '/') AS path_prefix,
   {FILE} AS file, length(body) AS length FROM {NORM}"""
-ORACLES["q_family_ids"] = f"""WITH {DOC} SELECT arg_min({FAMILY}, stage_idx) AS source_family, container_id FROM {NORM} GROUP BY container_id"""
-ORACLES["q_family_counts"] = f"""WITH {DOC}, f AS (SELECT container_id, arg_min({FAMILY}, stage_idx) AS fam FROM {NORM} GROUP BY 1)
+ORACLES["q_family_ids"] = f"""WITH {DOC}, {PAGE}, {PATHS} SELECT arg_min({FAMILY}, stage_idx) AS source_family, container_id FROM a GROUP BY container_id"""
+ORACLES["q_family_counts"] = f"""WITH {DOC}, {PAGE}, {PATHS}, f AS (SELECT container_id, arg_min({FAMILY}, stage_idx) AS fam FROM a GROUP BY 1)
 SELECT source_family, count(fam) AS n_containers FROM (SELECT unnest(['mainline','activity','mini_activity','operator_record','other']) AS source_family) LEFT JOIN f ON fam = source_family GROUP BY 1"""
-ORACLES["q_corpus_stats"] = """
-WITH s AS (SELECT list_sort(list(length(text))) AS a FROM documents)
+ORACLES["q_corpus_stats"] = f"""
+WITH {ALL}, s AS (SELECT list_sort(list(length(body))) AS a FROM chunk)
 SELECT 'count' AS stat, CAST(len(a) AS BIGINT) AS value FROM s UNION ALL SELECT 'max', a[len(a)] FROM s UNION ALL SELECT 'median', a[CAST(floor(len(a) * CAST(0.5 AS DOUBLE)) AS BIGINT) + 1] FROM s
 UNION ALL SELECT 'p90', a[CAST(floor(len(a) * CAST(0.9 AS DOUBLE)) AS BIGINT) + 1] FROM s UNION ALL SELECT 'p95', a[CAST(floor(len(a) * CAST(0.95 AS DOUBLE)) AS BIGINT) + 1] FROM s"""
-ORACLES["q_size_limits"] = f"WITH {UNIT} SELECT size_limit, (SELECT count(*) FROM unit WHERE total_length > size_limit) AS n FROM (SELECT CAST(unnest([50000, 80000, 100000, 150000, 200000]) AS BIGINT) AS size_limit)"
+ORACLES["q_size_limits"] = f"WITH {ALL}, {UNIT} SELECT size_limit, (SELECT count(*) FROM unit WHERE total_length > size_limit) AS n FROM (SELECT CAST(unnest([50000, 80000, 100000, 150000, 200000]) AS BIGINT) AS size_limit)"
 
 # ---- entities ----
 ORACLES["q_operator_entities"] = f"""WITH {ENTITIES} SELECT entity_id, name, entity_type, entity_id AS char_id, appellation, aliases,
@@ -465,12 +469,12 @@ m AS (SELECT would_run, multi, CASE WHEN multi THEN stage_count + 1 ELSE 1 END A
   CASE WHEN multi THEN 400 * stage_count + 900 ELSE 900 END AS o FROM k)
 SELECT would_run, count(*) AS n_units, count(*) FILTER (NOT multi) AS n_single, count(*) FILTER (multi) AS n_multi, CAST(sum(calls) AS BIGINT) AS llm_calls,
   CAST(sum(i) AS BIGINT) AS in_chars, CAST(sum(o) AS BIGINT) AS out_chars, CAST(sum(i) AS BIGINT) AS in_tokens, CAST(sum(o) AS BIGINT) AS out_tokens FROM m GROUP BY would_run"""
-ORACLES["q_chunk_cost"] = """SELECT source || '-' || lang AS container_id, doc_id AS stage_idx, length(text) AS total_length, 'single' AS passes, CAST(1 AS BIGINT) AS llm_calls,
-  length(text) + 800 AS in_chars, CAST(500 AS BIGINT) AS out_chars FROM documents"""
-ORACLES["q_requests"] = f"""WITH {DOC}, {UNIT}, big AS (SELECT unit_id FROM unit WHERE total_length > 80000 OR stage_count > 10)
+ORACLES["q_chunk_cost"] = f"""WITH {ALL} SELECT container_id, stage_idx, length(body) AS total_length, 'single' AS passes, CAST(1 AS BIGINT) AS llm_calls,
+  length(body) + 800 AS in_chars, CAST(500 AS BIGINT) AS out_chars FROM chunk"""
+ORACLES["q_requests"] = f"""WITH {ALL}, {UNIT}, big AS (SELECT unit_id FROM unit WHERE total_length > 80000 OR stage_count > 10)
 SELECT container_id, concat('please read', chr(10), string_agg(body, chr(10) || chr(10) ORDER BY stage_idx), chr(10), 'thank you') AS request, CAST(NULL AS BIGINT) AS stage_idx
-FROM doc WHERE container_id NOT IN (SELECT unit_id FROM big) GROUP BY container_id
-UNION ALL SELECT container_id, concat('please read', chr(10), body, chr(10), 'thank you'), stage_idx FROM doc WHERE container_id IN (SELECT unit_id FROM big)"""
+FROM chunk WHERE container_id NOT IN (SELECT unit_id FROM big) GROUP BY container_id
+UNION ALL SELECT container_id, concat('please read', chr(10), body, chr(10), 'thank you'), stage_idx FROM chunk WHERE container_id IN (SELECT unit_id FROM big)"""
 ORACLES["q_pending_units"] = "SELECT doc_id, source || '-' || lang AS container_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
 ORACLES["q_summary_document"] = f"""WITH {DOC} SELECT stage_idx AS doc_id, concat('---', chr(10), 'event_id: ', container_id, chr(10), 'stage_idx: ', stage_idx, chr(10), 'avg_tag: ', tag, chr(10),
   'total_length: ', length(body), chr(10), 'note: ', chr(10), '---', chr(10), chr(10), '<正文>', chr(10), {strip('body')}, chr(10), '</正文>', chr(10)) AS document FROM doc"""
@@ -491,9 +495,9 @@ FROM cn LEFT JOIN pg USING (canonical) GROUP BY canonical"""
 ORACLES["q_similar_names"] = f"""WITH {BASE}, {KEYS},
 r AS (SELECT DISTINCT name FROM ename WHERE name NOT IN (SELECT alias FROM aliasmap) AND length(name) >= 2), k AS (SELECT DISTINCT canonical FROM cur WHERE length(canonical) >= 2)
 SELECT name, min(canonical) AS similar FROM r JOIN k ON name <> canonical AND (contains(name, canonical) OR contains(canonical, name)) GROUP BY name"""
-ORACLES["q_related_containers"] = f"""WITH {BASE}, {KEYS}, {CONV},
+ORACLES["q_related_containers"] = f"""WITH {BASE}, {KEYS}, {DOC}, {PAGE}, {CONV}, {CHUNK},
 n AS (SELECT entity_id, name AS alias FROM ent WHERE name <> '' UNION SELECT entity_id, appellation FROM ent WHERE name <> '')
-SELECT entity_id, 'conv' || conv_id AS container_id FROM n JOIN script ON contains(body, alias || ':')
+SELECT entity_id, container_id FROM n JOIN chunk ON contains(body, alias || ':')
 UNION SELECT entity_id, container_id FROM n JOIN ename e ON e.name = alias OR (length(alias) >= 3 AND contains(e.name, alias))"""
 ORACLES["q_link_lines"] = """
 SELECT p_partkey, CAST(0 AS BIGINT) AS ord, '-   **[' || p_brand || '](brands/' || p_brand || '.md)**: ' || p_name AS bullet FROM part

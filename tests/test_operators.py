@@ -318,3 +318,20 @@ def test_similar_names_with_a_long_name(spark):
     raw = spark.createDataFrame([(long,), ("澈澈",), ("a",)], "name string")
     canon = spark.createDataFrame([("林澈",), ("小澈澈",), (long,)], "canonical string")
     assert dict(rows(ca.similar_names(raw, canon), "name", "similar")) == {long: "林澈", "澈澈": "小澈澈"}
+
+
+def test_containment_with_one_common_start(spark):
+    """Names that all start with the same two characters meet on what sets them apart."""
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("甲乙丙丁戊己庚辛壬癸abcdefgh") for _ in range(n))
+    long = sorted({"老王" + word(rng.randint(2, 7)) for _ in range(400)} | {"老王", "x"})
+    short = sorted({"老王" + word(rng.randint(0, 2)) for _ in range(200)} | {"老王", "王", "zz", "甲乙"})
+    left, right = spark.createDataFrame([(x,) for x in long], "t string"), spark.createDataFrame([(x,) for x in short], "s string")
+    met = ca._inside(left, "t", right, "s")
+    assert sorted(map(tuple, met.collect())) == sorted((t, s) for t in long for s in short if len(s) >= 2 and s in t)
+    held = left.select("t", F.explode(ca._pieces("t")).alias("piece"))
+    often = {r.piece: r["count"] for r in held.groupBy("piece").count().collect()}
+    pieces = lambda s: {s[k:k + 2] for k in range(len(s) - 1)}
+    keys = [min((often.get(p, 0), p) for p in pieces(s)) for s in short if len(s) >= 2 and s != "老王" and all(p in often for p in pieces(s))]
+    # rows that meet stay near the number of names
+    assert sum(n for n, _ in keys) < 20 * len(short) < len(long) * len(short) / 10

@@ -6,6 +6,8 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry
+from scriptloom.plans.bind import Corpus
+from scriptloom.plans.catalog import QUERIES
 from tools.check import TABLES, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
@@ -21,6 +23,12 @@ def db():
     return con
 
 
+@pytest.fixture(scope="module")
+def corpus(spark):
+    """One corpus for all queries: layers that several read are built once."""
+    return Corpus(spark, FOLDER)
+
+
 OWN = sorted(name for name in entry.queries() if name.startswith("q_"))
 
 
@@ -29,8 +37,8 @@ def test_every_query_has_a_twin():
 
 
 @pytest.mark.parametrize("name", OWN)
-def test_query(spark, db, name):
-    df = entry.queries()[name](spark, FOLDER)
+def test_query(corpus, db, name):
+    df = QUERIES[name](corpus)
     cur = db.execute(entry.oracle_sql()[name])
     cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(cols)
