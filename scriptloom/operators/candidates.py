@@ -18,22 +18,34 @@ def new_items(source: DataFrame, outputs: list[DataFrame], key: str) -> DataFram
     return source
 
 
-def candidates(raw: DataFrame, alias_map: DataFrame, pages: DataFrame) -> DataFrame:
-    """Partition raw names (name, container_id) into names with a page and new ones.
+def candidates(raw: DataFrame, alias_map: DataFrame, playable: DataFrame, pages: DataFrame, prefix: str = "extended_char_") -> DataFrame:
+    """Partition raw names (name, container_id) into names with a page and new ones: canonical, raw_name, page_id, kind, status.
 
-    alias_map: alias, canonical (one row per alias). pages: canonical, page_id of existing pages.
-    A canonical is reported once, through its smallest raw name.
+    alias_map: alias, canonical (one row per alias). playable: name, char_id (one row per name). pages: page_id of what
+    exists. A canonical is reported once, through its smallest raw name. Its page is that of the playable character of
+    that name if it exists, else the extended page named after the canonical; kind tells which.
     """
-    names = raw.groupBy("name").agg(F.count_distinct("container_id").alias("n_containers"))
-    mapped = names.join(alias_map.withColumnRenamed("alias", "name"), "name", "left")
-    canon = mapped.withColumn("canonical", F.coalesce("canonical", "name"))
-    first = canon.groupBy("canonical").agg(F.min(F.struct("name", "n_containers")).alias("r"))
-    return first.join(pages, "canonical", "left").select(
-        "canonical", F.col("r.name").alias("raw_name"), F.col("r.n_containers").alias("n_containers"),
-        "page_id", F.when(F.col("page_id").isNotNull(), "existing").otherwise("new").alias("status"),
+    names = raw.select("name").distinct().join(alias_map.withColumnRenamed("alias", "name"), "name", "left")
+    first = names.groupBy(F.coalesce("canonical", "name").alias("canonical")).agg(F.min("name").alias("raw_name"))
+    known = pages.select("page_id").distinct()
+    own = playable.join(known, F.col("char_id") == F.col("page_id"), "left_semi").select(F.col("name").alias("canonical"), "char_id")
+    extra = known.select(F.col("page_id").alias("extended"))
+    both = first.join(own, "canonical", "left").withColumn("_extended", F.concat(F.lit(prefix), tx.safe_slug("canonical")))
+    both = both.join(extra, F.col("_extended") == F.col("extended"), "left")
+    page = F.coalesce("char_id", "extended")
+    return both.select(
+        "canonical", "raw_name", page.alias("page_id"),
+        F.when(F.col("char_id").isNotNull(), "playable").when(F.col("extended").isNotNull(), "extended").alias("kind"),
+        F.when(page.isNotNull(), "existing").otherwise("new").alias("status"),
     )
 
 
+def candidate_containers(found: DataFrame, raw: DataFrame) -> DataFrame:
+    """(canonical, container_id): where the reported raw name of each canonical stands."""
+    return raw.select(F.col("name").alias("raw_name"), "container_id").distinct().join(
+        found.select("canonical", "raw_name"), "raw_name").select("canonical", "container_id")
+
+
 def _pieces(text: str) -> Column:
     """Distinct two-character pieces."""
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substring(F.col(text), i, F.lit(2))))

@@ -768,11 +768,24 @@ def q_new_items(c: Corpus) -> DataFrame:
     return ca.new_items(d, [lab.filter("quality = 1"), lab.filter("toxic = 1")], "doc_id")
 
 
+def candidate_flow(c: Corpus) -> tuple[DataFrame, DataFrame]:
+    """Candidates of the advert words as they stand, and those words. Terms of even length have pages, as have words of a length
+    that three divides."""
+    raw = c.summary_docs().select("container_id", F.explode(tg.raw_key_names("container_doc")).alias("name"))
+    playable = c.entities().filter(F.col("name") != "").groupBy("name").agg(F.min("entity_id").alias("char_id"))
+    extended = raw.filter(F.length("name") % 3 == 0).select(F.concat(F.lit("extended_char_"), tx.safe_slug("name")).alias("page_id"))
+    pages = c.entities().filter(F.length("term") % 2 == 0).select(F.col("entity_id").alias("page_id")).unionByName(extended)
+    return ca.candidates(raw, ln.alias_map(c.alias_lines()), playable, pages), raw
+
+
 @query
 def q_candidates(c: Corpus) -> DataFrame:
-    pages = c.entities().filter(F.col("name") != "").groupBy(F.col("name").alias("canonical")).agg(F.min("entity_id").alias("page_id"))
-    raw = c.container_names().select("name", "container_id")
-    return ca.candidates(raw, ln.alias_map(c.alias_lines()), pages)
+    return candidate_flow(c)[0]
+
+
+@query
+def q_candidate_containers(c: Corpus) -> DataFrame:
+    return ca.candidate_containers(*candidate_flow(c))
 
 
 @query

@@ -486,12 +486,20 @@ UNION ALL SELECT 'unresolved_names', count(*) FROM unres UNION ALL SELECT 'namel
 
 # ---- update flow and pages ----
 ORACLES["q_new_items"] = "SELECT doc_id, source, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1 OR toxic = 1)"
-ORACLES["q_candidates"] = f"""WITH {BASE}, {KEYS},
-pg AS (SELECT name AS canonical, min(entity_id) AS page_id FROM ent WHERE name <> '' GROUP BY name),
-nm AS (SELECT name, count(DISTINCT container_id) AS n_containers FROM ename GROUP BY name),
-cn AS (SELECT coalesce(canonical, name) AS canonical, name, n_containers FROM nm LEFT JOIN aliasmap ON alias = name)
-SELECT canonical, min(name) AS raw_name, arg_min(n_containers, name) AS n_containers, any_value(page_id) AS page_id, CASE WHEN any_value(page_id) IS NULL THEN 'new' ELSE 'existing' END AS status
-FROM cn LEFT JOIN pg USING (canonical) GROUP BY canonical"""
+SLUG = lambda x: f"'extended_char_' || CASE WHEN regexp_full_match({x}, '[a-zA-Z0-9_.]+') THEN {x} ELSE substr(sha256({x}), 1, 6) END"
+FLOW = f"""{BASE},
+rk AS (
+  SELECT DISTINCT container_id, unnest(list_filter(list_transform(regexp_split_to_array(x, '[;；]'), lambda x: {strip('x')}), lambda x: x <> '')) AS name
+  FROM (SELECT {HOST} AS container_id, replace(regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1), ' ', ';') AS x FROM pages)),
+pl AS (SELECT name AS canonical, min(entity_id) AS char_id FROM ent WHERE name <> '' GROUP BY name),
+pg AS (SELECT entity_id AS page_id FROM ent WHERE length(term) % 2 = 0 UNION SELECT {SLUG('name')} FROM rk WHERE length(name) % 3 = 0),
+cn AS (SELECT coalesce(canonical, name) AS canonical, min(name) AS raw_name FROM (SELECT DISTINCT name FROM rk) LEFT JOIN aliasmap ON alias = name GROUP BY 1),
+found AS (
+  SELECT cn.canonical, raw_name, CASE WHEN char_id IN (SELECT page_id FROM pg) THEN char_id WHEN {SLUG('cn.canonical')} IN (SELECT page_id FROM pg) THEN {SLUG('cn.canonical')} END AS page_id,
+    CASE WHEN char_id IN (SELECT page_id FROM pg) THEN 'playable' WHEN {SLUG('cn.canonical')} IN (SELECT page_id FROM pg) THEN 'extended' END AS kind
+  FROM cn LEFT JOIN pl ON pl.canonical = cn.canonical)"""
+ORACLES["q_candidates"] = f"WITH {FLOW} SELECT canonical, raw_name, page_id, kind, CASE WHEN page_id IS NULL THEN 'new' ELSE 'existing' END AS status FROM found"
+ORACLES["q_candidate_containers"] = f"WITH {FLOW} SELECT canonical, container_id FROM found JOIN rk ON rk.name = raw_name"
 ORACLES["q_similar_names"] = f"""WITH {BASE}, {KEYS},
 r AS (SELECT DISTINCT name FROM ename WHERE name NOT IN (SELECT alias FROM aliasmap) AND length(name) >= 2), k AS (SELECT DISTINCT canonical FROM cur WHERE length(canonical) >= 2)
 SELECT name, min(canonical) AS similar FROM r JOIN k ON name <> canonical AND (contains(name, canonical) OR contains(canonical, name)) GROUP BY name"""

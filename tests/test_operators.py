@@ -335,3 +335,17 @@ def test_containment_with_one_common_start(spark):
     keys = [min((often.get(p, 0), p) for p in pieces(s)) for s in short if len(s) >= 2 and s != "老王" and all(p in often for p in pieces(s))]
     # rows that meet stay near the number of names
     assert sum(n for n, _ in keys) < 20 * len(short) < len(long) * len(short) / 10
+
+
+def test_candidates_list_their_containers(spark):
+    raw = spark.createDataFrame([("小林", "c1"), ("小林", "c2"), ("林澈", "c3"), ("河伯", "c1"), ("Bo.b", "c9"), ("新人", "c4")], "name string, container_id string")
+    amap = spark.createDataFrame([("小林", "林澈"), ("林澈", "林澈")], "alias string, canonical string")
+    playable = spark.createDataFrame([("林澈", "char_1"), ("河伯", "char_2")], "name string, char_id string")
+    slug = hashlib.sha256("河伯".encode()).hexdigest()[:6]
+    pages = spark.createDataFrame([("char_1",), (f"extended_char_{slug}",), ("extended_char_Bo.b",)], "page_id string")
+    found = ca.candidates(raw, amap, playable, pages)
+    assert rows(found, "canonical", "raw_name", "page_id", "kind", "status") == sorted([
+        ("林澈", "小林", "char_1", "playable", "existing"), ("河伯", "河伯", f"extended_char_{slug}", "extended", "existing"),
+        ("Bo.b", "Bo.b", "extended_char_Bo.b", "extended", "existing"), ("新人", "新人", None, None, "new")])
+    assert rows(ca.candidate_containers(found, raw), "canonical", "container_id") == sorted(
+        [("林澈", "c1"), ("林澈", "c2"), ("河伯", "c1"), ("Bo.b", "c9"), ("新人", "c4")])
