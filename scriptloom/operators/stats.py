@@ -61,3 +61,10 @@ def counters(parts: dict[str, DataFrame]) -> DataFrame:
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("value"))
+
+
+def of_table(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Long table (counter, value) of several counters of one table, in one scan."""
+    row = df.agg(*[F.coalesce(v, F.lit(0)).cast("bigint").alias(k) for k, v in values.items()])
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("counter"), F.col(k).alias("value")) for k in values])).alias("x")
+    return row.select(each).select("x.*")

@@ -11,6 +11,7 @@ containers are taken over, and parts of the large tables without a change keep t
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,6 +23,7 @@ from scriptloom.operators import chunks as ch
 from scriptloom.operators import cooccurrence as co
 from scriptloom.operators import edges as ed
 from scriptloom.operators import entities as en
+from scriptloom.operators import incremental as inc
 from scriptloom.operators import participants as pa
 from scriptloom.operators import relations as rel
 from scriptloom.operators import stats as st
@@ -114,8 +116,8 @@ def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
     if entries is None:
         entries, errors = ln.curated_entity_rows(spark.createDataFrame([], ln.LINE_SCHEMA))
     entries = put(entries, "curated_entries")
-    put(errors, "curated_entity_errors")
-    put(en.curated_conflicts(entries, owners), "curated_entity_warnings")
+    errors = put(errors, "curated_entity_errors")
+    conflicts = put(en.curated_conflicts(entries, owners), "curated_entity_warnings")
     everyone = en.all_entities(en.operator_entities(ids, curated), en.curated_entities(entries, owners), unresolved)
     everyone = put(everyone, "entities")
     entity_owners = put(en.alias_owners(everyone), "entity_alias_owners")
@@ -133,7 +135,7 @@ def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
     )
     over = over.withColumn("seq", F.struct(F.lit("").alias("file"), F.col("seq").cast("int").alias("pos")))
     relations = put(rel.collate(baked, over), "relations")
-    put(bad, "curated_relation_errors")
+    bad = put(bad, "curated_relation_errors")
 
     # manifests and report
     flagged = people.select("entity_id").distinct().withColumn("has_participant_appearances", F.lit(True))
@@ -146,30 +148,59 @@ def build(spark: SparkSession, inputs: Inputs, out: str) -> DataFrame:
         F.coalesce("_n", F.lit(0)).alias("storyset_count"),
         F.coalesce("has_participant_appearances", F.lit(False)).alias("has_participant_appearances"),
     )
-    put(chars, "chars")
-    count = lambda df, where=None: st.row_count(df if where is None else df.filter(where))
-    report = st.counters({
-        "events": count(head), "chars": count(ids), "stages": count(chunks),
-        "deterministic_link_count": count(explicit), "deterministic_chars_with_edges": count(explicit.select("entity_id").distinct()),
-        "participant_edge_count": count(people), "participant_chars_with_edges": count(people.select("entity_id").distinct()),
-        "summary_edge_count": count(summary), "summary_chars_with_edges": count(summary.select("entity_id").distinct()),
-        "unresolved_summary_names": count(unresolved), "ambiguous_canonicals": count(ambiguous),
-        "curated_alias_canonicals": count(curated.select("canonical").distinct()),
-        "entity_count": count(everyone), "entity_operator_count": count(everyone, "entity_type = 'operator'"),
-        "entity_auto_seeded_count": count(everyone, "first_container_ids is not null"),
-        "entity_curated_count": count(everyone, "entity_type <> 'operator' and first_container_ids is null"),
-        "entity_curated_errors": count(errors), "cooccurrence_pair_count": count(pairs),
-        "cooccurrence_stage_total": pairs.agg(F.coalesce(F.sum("co_stage_count"), F.lit(0)).alias("value")),
-        "relation_count": count(relations), "relation_bake_count": count(relations, "source = 'bake'"),
-        "relation_curated_count": count(relations, "source = 'curated'"),
-        "skipped_nameless": count(merged.filter(F.coalesce("name", F.lit("")) == "")),
-        "storyset_warnings": count(resolved, "status <> 'linked'"),
-    })
+    chars = put(chars, "chars")
+    number, when = F.count(F.lit(1)), F.count_if
+    ids_of = F.count_distinct("entity_id")
+    families = {f"events_{f}": when(F.col("source_family") == f) for f in tx.FAMILIES}
+    curated_row = (F.col("entity_type") != "operator") & F.col("first_container_ids").isNull()
+    # one scan of each table, whatever the number of its counters
+    parts = [
+        (head, {"events": number, **families}), (chunks, {"stages": number}),
+        (merged, {"chars": when(F.col("name") != ""), "skipped_nameless": when(F.coalesce("name", F.lit("")) == "")}),
+        (explicit, {"deterministic_link_count": number, "deterministic_chars_with_edges": ids_of}),
+        (people, {"participant_edge_count": number, "participant_chars_with_edges": ids_of}),
+        (summary, {"summary_edge_count": number, "summary_chars_with_edges": ids_of}),
+        (unresolved, {"unresolved_summary_names": number}), (ambiguous, {"ambiguous_canonicals": number}),
+        (curated, {"curated_alias_canonicals": F.count_distinct("canonical")}),
+        (everyone, {"entity_count": number, "entity_operator_count": when(F.col("entity_type") == "operator"),
+                    "entity_auto_seeded_count": when(F.col("first_container_ids").isNotNull()), "entity_curated_count": when(curated_row)}),
+        (errors, {"entity_curated_errors": number}), (conflicts, {"entity_curated_warnings": number}),
+        (pairs, {"cooccurrence_pair_count": number, "cooccurrence_stage_total": F.sum("co_stage_count")}),
+        (relations, {"relation_count": number, "relation_bake_count": when(F.col("source") == "bake"), "relation_curated_count": when(F.col("source") == "curated")}),
+        (bad, {"relation_curated_errors": number}), (resolved, {"storyset_warnings": when(F.col("status") != "linked")}),
+        (_gone(store, "containers", head, "container_id"), {"pruned_events": number}),
+        (_gone(store, "chars", chars, "entity_id"), {"pruned_chars": number}),
+    ]
+    report = reduce(lambda x, y: x.unionByName(y), [st.of_table(df, values) for df, values in parts])
+    put(_warnings(merged, unresolved, ambiguous, errors, conflicts, bad, resolved), "warnings")
     report = put(report, "report")
     store.commit()
     return report
 
 
+def _gone(store: Build, name: str, now: DataFrame, key: str) -> DataFrame:
+    """Keys of the last build's table that this build does not have."""
+    before = store.before.read(name).select(key) if store.before.has(name) else now.select(key).limit(0)
+    return inc.stale_keys(before, now, key)
+
+
+def _warnings(merged, unresolved, ambiguous, errors, conflicts, bad, resolved) -> DataFrame:
+    """Everything a build has to say, as rows (kind, subject, detail)."""
+    def rows(df: DataFrame, kind: str, subject, detail) -> DataFrame:
+        text = lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
+        return df.select(F.lit(kind).alias("kind"), text(subject).alias("subject"), text(detail).alias("detail"))
+
+    found = [
+        rows(merged.filter(F.coalesce("name", F.lit("")) == ""), "nameless character", "entity_id", F.lit(None)),
+        rows(unresolved, "unresolved summary name", "name", "container_id"),
+        rows(ambiguous, "ambiguous name", "name", "n_ids"),
+        rows(errors, "curated entity row", "line_no", "reason"), rows(conflicts, "curated entity", "name", "reason"),
+        rows(bad, "curated relation row", "line_no", "reason"),
+        rows(resolved.filter("status <> 'linked'"), "link", F.concat_ws(" ", "entity_id", "link_key"), "status"),
+    ]
+    return reduce(lambda x, y: x.unionByName(y), found)
+
+
 def container_marks(rows: DataFrame) -> DataFrame:
     """container_id, mark: the same for the same rows (container_id, row) in any order."""
     each = rows.select("container_id", F.sha2("row", 256).alias("h"))

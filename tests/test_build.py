@@ -23,6 +23,17 @@ def test_report(kb):
     assert (r["entity_operator_count"], r["entity_curated_count"], r["entity_auto_seeded_count"], r["entity_curated_errors"]) == (2, 1, 1, 4)
 
 
+def test_report_has_families_and_warnings(kb):
+    k, r = kb
+    assert (r["events_mainline"], r["events_activity"], r["events_other"], r["pruned_events"], r["relation_curated_errors"], r["entity_curated_warnings"]) == (1, 1, 0, 0, 2, 1)
+    kinds = {}
+    for w in k.table("warnings").collect():
+        kinds.setdefault(w.kind, []).append((w.subject, w.detail))
+    assert kinds["nameless character"] == [("char_003_none", None)] and kinds["link"] == [("char_001_lin nowhere", "missing")]
+    assert ("河伯", "act_one") in kinds["unresolved summary name"] and len(kinds["curated entity row"]) == 4
+    assert kinds["curated entity"] == [("林澈", "matches an operator alias")] and len(kinds["curated relation row"]) == 2
+
+
 def test_containers(kb):
     k, _ = kb
     fam = {r.source_family: r.n_containers for r in k.list_families().collect()}
