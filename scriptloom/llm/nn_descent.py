@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scriptloom.llm.graph import components
 from scriptloom.session import written
@@ -49,7 +49,9 @@ GRAPH = "a bigint, b bigint, sim double"
 
 
 def units(vectors, kind: str) -> np.ndarray:
+    """Vectors of length one; a power of two is taken out first, so that no square is beyond a double."""
     x = np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1).astype("float64")
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -143,9 +145,13 @@ def best(ids: np.ndarray, sims: np.ndarray, k: int, least: np.ndarray | None = N
 
 
 def lists(graph: DataFrame, k: int) -> DataFrame:
-    """The k best distinct neighbours of each node."""
-    top = graph.groupBy("a").agg(F.slice(F.sort_array(F.collect_set(F.struct("sim", "b")), asc=False), 1, k).alias("l"))
-    return top.select("a", F.explode("l").alias("e")).select("a", "e.b", "e.sim")
+    """The k best distinct neighbours of each node.
+
+    The rank limit is applied before the shuffle as well, so a hub that a third of all rows name is never gathered.
+    """
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), F.desc("b")))
+    once = graph.groupBy("a", "b").agg(F.max("sim").alias("sim"))
+    return once.withColumn("_rn", rank).filter(F.col("_rn") <= k).select("a", "b", "sim")
 
 
 def descend(graph: DataFrame, nodes: DataFrame, kind: str, p: Params) -> DataFrame:

@@ -104,6 +104,16 @@ def test_vectors_of_an_empty_table(spark):
     assert nn_descent.linked(vectors(spark, [(1, [1.0])])).first().n_links == 0
 
 
+def test_huge_and_tiny_vectors_and_a_hub(spark):
+    """Lengths whose squares leave the doubles; one node that all others name."""
+    rows = [(0, [3e200, 4e200]), (1, [3e-200, 4e-200]), (2, [3.0, 4.0]), (3, [-3e200, 4e200]), (4, [1e-320, 1e200])]
+    got = nn_descent.linked(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (0, 3), 4: (0, 4)}
+    named = spark.range(5000).selectExpr("0L as a", "id + 1 as b", "cast(id % 977 as double) as sim")
+    top = nn_descent.lists(named.unionAll(named), 10).collect()
+    assert sorted((r.sim, r.b) for r in top) == sorted(((i % 977) * 1.0, i + 1) for i in range(5000))[-10:]
+
+
 def clouds(rng, centers, n, spread, dim):
     """n distinct vectors about each centre."""
     return [np.float32(c + spread * rng.standard_normal(dim) / dim ** 0.5) for c in centers for _ in range(n)]
