@@ -6,8 +6,10 @@ most 1/16 of the value beyond). Such counts add up in any order, so partial sket
 of languages merge without loss and the thresholds do not depend on how the rows were dealt. Outer fences
 around the quartiles replace fixed cut-offs; documents meet the fences of their group in a join.
 
-Groups below `min_docs` documents take the merged sketch of their language, languages below it that of all
-rows. DataFrame functions only.
+A group leans on its parent by one rule for every size: the sketch of all rows, scaled down to `prior` documents,
+is added to that of a language, and the sketch of the language so made, scaled down likewise, to that of its sources. A
+source of three documents so follows its language, one of a million itself, with no step between. DataFrame functions
+only.
 
 Edge cases: a null or white-space text has no words, fails the base rule and is not kept. Null language or
 source is a group of its own. Repeated rows are judged one by one. An empty table gives an empty result.
@@ -48,7 +50,7 @@ FENCES = (
     Fence("capital_rate", 3, 60),
     Fence("shout_rate", 3, 60),
 )
-MIN_DOCS = 100
+PRIOR = 100  # documents that the parent of a group counts for
 
 
 def facts(text: Column) -> Column:
@@ -107,45 +109,59 @@ def merge(parts: DataFrame, keys: list[str]) -> DataFrame:
     return parts.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"), F.max("value").alias("value"))
 
 
+def cells(sk: DataFrame, keys: list[str]) -> DataFrame:
+    """n_docs and cells (bucket, value, n) by keys and measure: a sketch as one row. It has few buckets whatever its rows."""
+    return sk.groupBy(*keys, "measure").agg(
+        F.sum("n").alias("n_docs"), F.sum("n").cast("double").alias("weight"),
+        F.collect_list(F.struct("bucket", F.col("value").cast("bigint").alias("value"), F.col("n").cast("double").alias("n"))).alias("cells"))
+
+
+def leaning(groups: DataFrame, parents: DataFrame, keys: list[str], prior: int) -> DataFrame:
+    """groups (see `cells`) with the cells of their parent (by keys) added, scaled to `prior` documents."""
+    up = parents.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("measure").alias("_measure"),
+                        F.col("cells").alias("_cells"), F.col("weight").alias("_weight"))
+    same = F.col("measure") == F.col("_measure")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    scaled = F.transform("_cells", lambda c: F.struct(
+        c["bucket"].alias("bucket"), c["value"].alias("value"), (c["n"] * prior / F.col("_weight")).alias("n")))
+    return groups.join(up, same).withColumns(
+        {"cells": F.concat("cells", scaled), "weight": F.col("weight") + prior}).select(*groups.columns)
+
+
+def cut(part: int) -> Column:
+    """Value up to which `part` quarters of the weight lie."""
+    empty = F.struct(F.lit(0.0).alias("upto"), F.lit(None).cast("bigint").alias("at"))
+
+    def step(acc: Column, c: Column) -> Column:
+        upto = acc["upto"] + c["n"]
+        return F.struct(upto.alias("upto"), F.coalesce(
+            acc["at"], F.when(4 * upto >= part * F.col("weight"), c["value"])).alias("at"))
+
+    return F.aggregate(F.sort_array("cells"), empty, step)["at"]
+
+
 def quartiles(sk: DataFrame, keys: list[str]) -> DataFrame:
-    """n_docs, q1 and q3 by keys and measure. A group has few buckets whatever its rows."""
-    by = [*keys, "measure"]
-    upto = F.sum("n").over(Window.partitionBy(*by).orderBy("bucket"))
-    total = F.sum("n").over(Window.partitionBy(*by))
-    at = sk.select(*by, "value", upto.alias("_upto"), total.alias("_total"))
-    return at.groupBy(*by).agg(
-        F.max("_total").alias("n_docs"),
-        F.min(F.when(4 * F.col("_upto") >= F.col("_total"), F.col("value"))).alias("q1"),
-        F.min(F.when(4 * F.col("_upto") >= 3 * F.col("_total"), F.col("value"))).alias("q3"))
-
-
-def fences(rows: DataFrame, rules=FENCES, min_docs: int = MIN_DOCS) -> DataFrame:
-    """One row for each (lang, source) of rows: array of limits (measure, low, high) by rule."""
-    names = [r.measure for r in rules]
-    fine = written(sketch(rows.filter(~F.col("base_failed")).select("lang", "source", *names), ["lang", "source"], names),
-                   "quality-sketch")
-    levels = [
-        quartiles(fine, ["lang", "source"]),
-        quartiles(merge(fine, ["lang"]), ["lang"]),
-        quartiles(merge(fine, []), []),
-    ]
-    cols = [f"{r.measure}_max" for r in rules] + [f"{r.measure}_min" for r in rules if r.low]
-
-    def limits(q: DataFrame, keys: list[str], least: int) -> DataFrame:
-        spread = {r.measure: r.reach * F.greatest(F.col("q3") - F.col("q1"), F.lit(r.least)) for r in rules}
-        of = lambda r, value: F.max(F.when(F.col("measure") == r.measure, value))
-        wide = q.groupBy(*keys).agg(
-            F.max("n_docs").alias("n_docs"),
-            *[of(r, F.col("q3") + spread[r.measure]).alias(f"{r.measure}_max") for r in rules],
-            *[of(r, F.col("q1") - spread[r.measure]).alias(f"{r.measure}_min") for r in rules if r.low])
-        return wide.select(*keys, F.when(F.col("n_docs") >= least, F.struct(*cols)).alias(f"_l{len(keys)}"))
-
-    by_source, by_lang, over_all = (
-        limits(levels[0], ["lang", "source"], min_docs), limits(levels[1], ["lang"], min_docs), limits(levels[2], [], 0))
-    by_lang = by_lang.withColumnRenamed("lang", "_lang")
-    return (by_source.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left")
-            .join(F.broadcast(over_all), F.lit(True), "left")  # one row
-            .select("lang", "source", F.coalesce("_l2", "_l1", "_l0").alias("limits")))
+    """n_docs, q1 and q3 by keys and measure of a sketch that leans on no other."""
+    return of_cells(cells(sk, keys), keys)
+
+
+def of_cells(groups: DataFrame, keys: list[str]) -> DataFrame:
+    return groups.select(*keys, "measure", "n_docs", cut(1).alias("q1"), cut(3).alias("q3"))
+
+
+def fences(rows: DataFrame, rules=FENCES, prior: int = PRIOR) -> DataFrame:
+    """One row for each (lang, source) of rows: struct of limits by rule."""
+    names, group = [r.measure for r in rules], ["lang", "source"]
+    fine = written(sketch(rows.filter(~F.col("base_failed")).select(*group, *names), group, names), "quality-sketch")
+    langs = leaning(cells(merge(fine, ["lang"]), ["lang"]), cells(merge(fine, []), []), [], prior)
+    q = of_cells(leaning(cells(fine, group), langs, ["lang"], prior), group)
+    reach = {r.measure: r.reach * F.greatest(F.col("q3") - F.col("q1"), F.lit(r.least)) for r in rules}
+    of = lambda r, value: F.max(F.when(F.col("measure") == r.measure, value))
+    wide = q.groupBy(*group).agg(
+        *[of(r, F.col("q3") + reach[r.measure]).alias(f"{r.measure}_max") for r in rules],
+        *[of(r, F.col("q1") - reach[r.measure]).alias(f"{r.measure}_min") for r in rules if r.low])
+    return wide.select(*group, F.struct(*[c for c in wide.columns if c not in group]).alias("limits"))
 
 
 def verdict(rows: DataFrame, limits: DataFrame, rules=FENCES) -> DataFrame:

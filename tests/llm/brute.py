@@ -24,6 +24,55 @@ def base(text):
     return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered))
 
 
+def quality_kept(rows, prior):
+    """kept of (text, lang, source) rows: fences from sketches that lean on their parent by `prior` documents."""
+    limits = {"word_length": (5, 40, True), "symbol_rate": (3, 20, False), "dup_line_rate": (3, 150, False),
+              "repeat_rate": (3, 60, False), "capital_rate": (3, 60, False), "shout_rate": (3, 60, False)}
+    measures, failed = [], []
+    for text, _, _ in rows:
+        words, chars, symbols, dup, repeat = base(text)
+        n_lines = sum(1 for x in (text or "").split("\n") if WORD.search(x))
+        capitals, shouts = sum(c.isupper() for c in text or ""), sum(c in "!?" for c in text or "")
+        per = lambda a, b, by=1000: by * a // max(b, 1)
+        measures.append({"word_length": per(chars, words, 100), "symbol_rate": per(symbols, words), "dup_line_rate": per(dup, n_lines),
+                         "repeat_rate": per(repeat, words), "capital_rate": per(capitals, chars), "shout_rate": per(shouts, words)})
+        failed.append(words < 10 or 100 * repeat > 20 * words)
+
+    def bucket(v):
+        return v if v < 32 else 16 * (v.bit_length() - 5) + (v >> (v.bit_length() - 5))
+
+    def cells(measure, member):
+        met = defaultdict(list)
+        for m, bad, row in zip(measures, failed, rows, strict=True):
+            if not bad and member(row):
+                met[bucket(m[measure])].append(m[measure])
+        return [(b, max(vs), float(len(vs))) for b, vs in met.items()]
+
+    def lean(child, parent):
+        total = sum(n for *_, n in parent)
+        return child + [(b, v, n * prior / total) for b, v, n in parent]
+
+    def cut(sketch, part):
+        upto, total = 0.0, sum(n for *_, n in sketch)
+        for _, v, n in sorted(sketch):
+            upto += n
+            if 4 * upto >= part * total - 1e-9:
+                return v
+        return None
+
+    out = []
+    for m, bad, (_, lang, source) in zip(measures, failed, rows, strict=True):
+        ok = not bad
+        for name, (reach, least, low) in limits.items() if ok else ():
+            langs = lean(cells(name, lambda r: r[1] == lang), cells(name, lambda r: True))
+            sketch = lean(cells(name, lambda r: r[1:] == (lang, source)), langs)
+            q1, q3 = cut(sketch, 1), cut(sketch, 3)
+            wide = reach * max(q3 - q1, least)
+            ok = ok and m[name] <= q3 + wide and not (low and m[name] < q1 - wide)
+        out.append(ok)
+    return out
+
+
 def line_dedup(rows, least=50):
     """{(doc_id, text): text without later copies} of (doc_id, text) rows, distinct."""
     rows = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0))

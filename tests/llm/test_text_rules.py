@@ -38,6 +38,24 @@ def test_fences_follow_the_group(spark):
     assert quality_rules.kept_documents(docs).count() == 300
 
 
+def test_kept_against_brute_force(spark):
+    """Groups of 1 to 150 documents, each with its own share of symbols and capitals."""
+    rng = random.Random(8)
+    rows = []
+    for lang, source, n, loud in (("en", "a", 150, 0.02), ("en", "b", 99, 0.3), ("en", None, 1, 0.9), ("de", "a", 12, 0.5), (None, "c", 40, 0.0)):
+        for _ in range(n):
+            share = loud if rng.random() < 0.8 else rng.random()
+            words = [("# " if rng.random() < share / 2 else "") + (str.upper if rng.random() < share else str)(
+                "w" * rng.randint(1, 9) + str(rng.randint(0, 999))) for _ in range(rng.randint(8, 60))]
+            rows.append((" ".join(words) + "!" * rng.choice([0, 0, 1, 20]), lang, source))
+    rows += [(None, "en", "a"), ("", None, "c"), rows[0], rows[0]]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, text string, lang string, source string").repartition(4)
+    want = brute.quality_kept(rows, quality_rules.PRIOR)
+    assert {r.doc_id: r.kept for r in quality_rules.judged(docs).collect()} == dict(enumerate(want))
+    assert sorted(r.doc_id for r in quality_rules.kept_documents(docs).collect()) == [i for i, k in enumerate(want) if k]
+    assert 0 < sum(want) < len(rows) - 20
+
+
 def test_sketches_merge(spark):
     rows = spark.range(5000).selectExpr("id % 3 as lang", "id % 7 as source", "id * id % 9973 as m")
     fine = quality_rules.sketch(rows, ["lang", "source"], ["m"])
