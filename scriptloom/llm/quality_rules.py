@@ -191,8 +191,8 @@ def judged(documents: DataFrame) -> DataFrame:
 def kept_documents(documents: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns as they came.
 
-    The counts are taken twice, for the sketches and for the verdict: cheaper than a second copy of the texts.
+    The counts are taken once and written beside the documents, so the texts are not shuffled to meet their verdict.
     """
-    rows = measured(documents.select(F.struct("*").alias("_doc"), "lang", "source", "text"))
-    limits = written(fences(rows), "quality-limits")
-    return verdict(rows, limits).filter("kept").select("_doc.*")
+    rows = written(measured(documents.select(F.struct("*").alias("_doc"), "lang", "source", "text")).drop("text"),
+                   "quality-documents")
+    return verdict(rows, written(fences(rows), "quality-limits")).filter("kept").select("_doc.*")
