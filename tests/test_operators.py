@@ -179,6 +179,28 @@ def test_pairs_with_a_hot_container(spark, block):
     assert co.between(edges, "e00", "nobody").count() == 0
 
 
+def test_best_pairs_of_flat_degrees_meet_few(spark, monkeypatch):
+    """Every entity is in about 30 chunks, ten of them hot; twelve pairs share most of theirs."""
+    draw, data = random.Random(5), set()
+    for e in range(240):
+        own = [f"s{e // 2}_{i}" for i in range(16)] if e < 24 else []
+        own += [f"r{draw.randrange(600)}" for _ in range(20 - len(own))] + [f"hot{i}" for i in range(10)]
+        data |= {(f"e{e:03}", c, 1, "participant", "named") for c in own}
+    edges, want = edge_rows(spark, sorted(data)), brute_pairs(data)
+    made, full = [], co.pairs
+
+    def counting(members, block):
+        met = full(members, block)
+        made.append(met.count())
+        return met
+
+    monkeypatch.setattr(co, "pairs", counting)
+    got = [(r.a, r.b, r.co_stage_count) for r in co.top(edges, 12).collect()]
+    assert got == sorted(((*p, v[0]) for p, v in want.items()), key=lambda r: (-r[2], r[:2]))[:12]
+    assert {(a, b) for a, b, _ in got} == {(f"e{e:03}", f"e{e + 1:03}") for e in range(0, 24, 2)}
+    assert sum(made) < sum(v[0] for v in want.values()) / 10
+
+
 def test_edge_order_and_filters(spark):
     e = edge_rows(spark, [("e", "c", None, "summary", "named"), ("e", "c", 1, "participant", "mentioned"), ("e", "c", 0, "deterministic", None)])
     assert [r.stage_idx for r in ed.of_entity(e, "e").collect()] == [0, None]
