@@ -26,9 +26,16 @@ def name_forms(names: DataFrame, owner_rows: DataFrame, alias_index: DataFrame)
     return known.select("name", "entity_id", F.col("name").alias("form")).unionByName(others).distinct()
 
 
-def postings(chunks: DataFrame, forms: DataFrame) -> DataFrame:
-    """container_id, stage_idx, form, start, end of every mention of a form. Mentions of one form do not overlap."""
-    found = spans(chunks, forms.select(F.col("form").alias("alias")).distinct())
+def postings(chunks: DataFrame, forms: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """container_id, stage_idx, form, start, end of every mention of a form. Mentions of one form do not overlap.
+
+    names: container_id, name of the summaries; only mentions of the forms of a container's own names are kept then.
+    """
+    scope = None
+    if names is not None:
+        asked = names.select("container_id", "name").join(forms.select("name", F.col("form").alias("alias")), "name")
+        scope = written(asked.select("container_id", "alias").distinct(), "name-scope")
+    found = spans(chunks, forms.select(F.col("form").alias("alias")).distinct(), scope)
     return found.select(*CHUNK, F.col("alias").alias("form"), "start", (F.col("start") + F.col("size")).alias("end"))
 
 
@@ -57,7 +64,7 @@ def audit(names: DataFrame, forms: DataFrame, chunks: DataFrame) -> DataFrame:
     status OK or MISS, and its evidence. chunks: one row per (container_id, stage_idx)."""
     names = names.select("container_id", F.col("stage_idx").cast("bigint").alias("stage_idx"), "name").distinct()
     forms = written(forms, "name-forms")
-    by_chunk = written(evidence(postings(chunks, forms), forms, names), "evidence")
+    by_chunk = written(evidence(postings(chunks, forms, names), forms, names), "evidence")
     of_chunk = by_chunk.select(
         *CHUNK, "name", F.lit(1).cast("bigint").alias("n_chunks"), "n_mentions", "n_places",
         F.struct(F.col("stage_idx").alias("stage"), "first").alias("at"))

@@ -207,11 +207,20 @@ def _open(words: DataFrame) -> tuple[bool, bool]:
     return bool(facts[0]), bool(facts[1])
 
 
-def spans(chunks: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Mentions as (chunk, alias, start, size), not overlapping for each alias; start from 0."""
+def spans(chunks: DataFrame, aliases: DataFrame, scope: DataFrame | None = None) -> DataFrame:
+    """Mentions as (chunk, alias, start, size), not overlapping for each alias; start from 0.
+
+    scope: distinct (container_id, alias), a written table; other containers are not cut, and mentions outside of it are not kept.
+    """
     words = written(dictionary(aliases), "dictionary")
     columns = [*CHUNK, "alias", "size", "mode", "bordered", "long", "start", "spoke"]
-    rows = written(found(chunks, words, speech=False, placed=True).select(*columns), "places")
+    if scope is not None:
+        # written, so that its size is known: texts are not dealt by container while the list of containers is short
+        chunks = chunks.join(written(scope.select("container_id").distinct(), "scope-containers"), "container_id", "left_semi")
+    rows = found(chunks, words, speech=False, placed=True).select(*columns)
+    if scope is not None:
+        rows = rows.join(scope, ["container_id", "alias"], "left_semi").select(*columns)
+    rows = written(rows, "places")
     simple = rows.filter("not bordered and not long").select(*CHUNK, "alias", "start", "size")
     any_open, any_long = _open(words)
     if not any_open:

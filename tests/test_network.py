@@ -159,3 +159,23 @@ def test_entities_that_a_summary_lacks(spark):
     names = spark.createDataFrame([("c", 0, "三")], "container_id string, stage_idx bigint, name string")
     index = spark.createDataFrame([("三", 1, "e3")], "alias string, n_ids bigint, sole_id string")
     assert [tuple(r) for r in gr.coverage(edges, names, index).collect()] == [("c", "e1", 2)]
+
+
+def test_only_mentions_inside_a_names_sources_are_written(spark, monkeypatch):
+    chunks = spark.createDataFrame([("c0", 0, "Lin and Mu, 暮暮暮"), ("c1", 1, "Lin Mu 暮"), ("far", 2, "Lin Mu 暮 " * 50), ("c0", 3, None)], CHUNK)
+    names = spark.createDataFrame([("c0", None, "Lin"), ("c0", 0, "暮"), ("c1", None, "Mu"), (None, None, "Lin")],
+                                  "container_id string, stage_idx bigint, name string")
+    owners = spark.createDataFrame([], "alias string, entity_id string")
+    kept = []
+
+    def seen(df, name):
+        table = written(df, name)
+        if name == "places":
+            kept.extend((r.container_id, r.alias) for r in table.collect())
+        return table
+
+    monkeypatch.setattr("scriptloom.operators.participants.written", seen)
+    rows = gr.audit(names, gr.name_forms(names, owners, al.index(owners)), chunks)
+    got = {(r.container_id, r.stage_idx, r.name): r.n_mentions for r in rows.collect()}
+    assert got == {("c0", None, "Lin"): 1, ("c0", 0, "暮"): 3, ("c1", None, "Mu"): 1, (None, None, "Lin"): 0}
+    assert sorted(kept) == sorted([("c0", "Lin"), *[("c0", "暮")] * 3, ("c1", "Mu")])
