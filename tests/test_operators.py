@@ -201,6 +201,20 @@ def test_best_pairs_of_flat_degrees_meet_few(spark, monkeypatch):
     assert sum(made) < sum(v[0] for v in want.values()) / 10
 
 
+def test_pairs_are_counted_without_a_shuffle_of_pairs(spark, monkeypatch):
+    """Behind the deal of member lists no exchange follows, whatever the number of blocks; nulls meet nobody."""
+    data = [(f"e{e:02}", f"c{c}", c % 2, "participant", "named") for e in range(30) for c in range(5)]
+    edges = edge_rows(spark, [*data, (None, "c0", 0, "participant", "named"), ("e00", None, 0, "participant", "named")])
+    monkeypatch.setattr(co, "PAIRS", 40)
+    found = co.table(edges, block=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    behind = plan[:plan.index("Exchange hashpartitioning(_task")]
+    assert "Exchange" not in behind and "Join" not in behind
+    assert {(r.a, r.b): (r.co_stage_count, r.co_container_count, r.sample_containers) for r in found.collect()} == brute_pairs(data)
+    monkeypatch.setattr(co, "FULL", 12)
+    assert [(r.a, r.b) for r in co.top(edges, 3, block=4).collect()] == [("e00", "e01"), ("e00", "e02"), ("e00", "e03")]
+
+
 def test_edge_order_and_filters(spark):
     e = edge_rows(spark, [("e", "c", None, "summary", "named"), ("e", "c", 1, "participant", "mentioned"), ("e", "c", 0, "deterministic", None)])
     assert [r.stage_idx for r in ed.of_entity(e, "e").collect()] == [0, None]
