@@ -104,3 +104,14 @@ def test_mined_names(spark, monkeypatch, words):
     assert sorted(tuple(r) for r in got.collect()) == brute(data, 2, 4, words, 3, 2, 8, {"霜星"})
     found = {r.phrase for r in got.collect()}
     assert words or ("特蕾西娅" in found and "蕾西娅" not in found)
+
+
+@pytest.mark.parametrize("words", [False, True])
+def test_places_of_phrases_are_shuffled_once(spark, words):
+    """One exchange, in front of which each place is one row."""
+    chunks = spark.createDataFrame([("c", i, "山高水长流" if not words else "on the high hill") for i in range(3)], CHUNK)
+    found = mi.counted(chunks, 2, 4, words)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan[plan.index("Exchange "):].count("HashAggregate") == 0
+    rows = {r.phrase: (r.n, r.spread) for r in found.collect()}
+    assert len(rows) == (6 if words else 9) and set(rows.values()) == {(3, 3)}
