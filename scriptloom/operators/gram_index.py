@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from scriptloom.operators.search import grep
 
 GRAM = 3
+PARTS = 8  # parts of a folder of postings, by block
 KEYS = ["container_id", "stage_idx"]
 
 
@@ -56,8 +57,9 @@ class GramIndex:
         held = spark.read.parquet(f"{path}/texts")
         each = F.array_distinct(F.regexp_extract_all("body", F.lit(rf"(?s)(?=(.{{{GRAM}}}))"), F.lit(1)))
         rows = held.select(*KEYS, "block", F.explode(each).alias("gram")).withColumn("folder", _folder(F.col("gram"), folders))
-        # ranges of (folder, gram, chunk): a frequent gram lies in as many files as it fills
-        rows.repartitionByRange("folder", "gram", "block").sortWithinPartitions("folder", "gram", "block") \
+        # a frequent gram lies in PARTS files; dealt by hash, as ranges would need a pass over all grams to sample their bounds
+        part = F.pmod(F.col("block"), F.lit(PARTS))
+        rows.repartition(folders * PARTS, "folder", part).sortWithinPartitions("folder", "gram", "block") \
             .write.partitionBy("folder").parquet(f"{path}/postings")
         counts = spark.read.parquet(f"{path}/postings").groupBy("folder", "gram").agg(F.count(F.lit(1)).alias("n_chunks"))
         counts.repartition("folder").sortWithinPartitions("folder", "gram").write.partitionBy("folder").parquet(f"{path}/grams")
