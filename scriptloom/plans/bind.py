@@ -23,6 +23,7 @@ TERM = r'<li><a href="/[^"]*">([^<]*)</a>'
 
 TABLE_KEYS = {
     "documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"], "events": ["event_id"],
+    "part": ["p_partkey"],
 }
 
 
@@ -49,7 +50,7 @@ class Corpus:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def texts(self, name: str) -> DataFrame:
-        """A text or event table, spread over the cores where its files give too few scan tasks."""
+        """A table with much work for each row, spread over the cores where its files give too few scan tasks."""
         if name not in self._shared:
             self._shared[name] = spread(self.table(name), *TABLE_KEYS[name])
         return self._shared[name]
