@@ -215,6 +215,29 @@ def test_pairs_are_counted_without_a_shuffle_of_pairs(spark, monkeypatch):
     assert [(r.a, r.b) for r in co.top(edges, 3, block=4).collect()] == [("e00", "e01"), ("e00", "e02"), ("e00", "e03")]
 
 
+def test_best_pairs_write_only_what_reaches_the_bound(spark, monkeypatch):
+    """Flat degrees, all pairs counted: a few entities give a bound, and pairs below it are not written."""
+    draw, data = random.Random(9), set()
+    for e in range(60):
+        own = [f"s{e // 2}_{i}" for i in range(5)] if e < 12 else []
+        own += draw.sample([f"r{k}" for k in range(30)], 7 - len(own))
+        data |= {(f"e{e:02}", c, 1, "participant", "named") for c in own}
+    edges, want = edge_rows(spark, sorted(data)), brute_pairs(data)
+    kept, plain = [], co.written
+
+    def counting(df, name):
+        out = plain(df, name)
+        if name == "pair-counts":
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(co, "written", counting)
+    monkeypatch.setattr(co, "FULL", 12)
+    got = [(r.a, r.b, r.co_stage_count) for r in co.top(edges, 5).collect()]
+    assert got == sorted(((*p, v[0]) for p, v in want.items()), key=lambda r: (-r[2], r[:2]))[:5]
+    assert kept and sum(kept) < len(want) / 20
+
+
 def test_edge_order_and_filters(spark):
     e = edge_rows(spark, [("e", "c", None, "summary", "named"), ("e", "c", 1, "participant", "mentioned"), ("e", "c", 0, "deterministic", None)])
     assert [r.stage_idx for r in ed.of_entity(e, "e").collect()] == [0, None]
