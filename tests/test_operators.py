@@ -104,6 +104,34 @@ def test_matcher_against_brute_force(spark, monkeypatch, case):
     assert places == sorted((i, a, at) for i, b in enumerate(bodies) for a in aliases for at in brute_spans(b or "", a))
 
 
+def test_aliases_are_sought_in_distinct_words(spark, monkeypatch):
+    """Texts of few different words: what is searched is these words, long ones and texts for aliases with blanks."""
+    searched, plain = [], pa.found
+    monkeypatch.setattr(pa, "found", lambda chunks, words, *rest, **named: (searched.append(chunks), plain(chunks, words, *rest, **named))[1])
+    aliases = ["Lin", "é年", "年年", "ab cd", "x." * 3, "z" * 40]
+    long_word = "年" * 71 + "é年"
+    bodies = ["Lin: Lin,Lin 年年年 xé年é年\nab cd x.x.x.x. Lins", f"{'z' * 40} ab cd\tab {long_word}\n{long_word}", "Lin 年年 " * 300, "a", None, ""]
+    adf = spark.createDataFrame([("e", a, "canonical", "ascii") for a in aliases], "entity_id string, alias string, match_class string, mode string")
+    chunks = spark.createDataFrame([("c", i, b) for i, b in enumerate(bodies)], CHUNK)
+    got = {(r.stage_idx, r.alias): (r.spoke, r.n) for r in pa.alias_hits(chunks, adf).collect()}
+    want = {(i, a): (int(i == 0 and a == "Lin"), expected_count(b or "", a)) for i, b in enumerate(bodies) for a in aliases}
+    assert got == {k: v for k, v in want.items() if any(v)}
+    assert searched[0].count() == len({w for b in bodies for w in re.split("[ \n]", b or "") if 0 < len(w) < 65})
+    # a text that comes twice counts twice, but once for aliases that may overlap themselves
+    twice = {(r.stage_idx, r.alias): r.n for r in pa.alias_hits(chunks.unionAll(chunks), adf.filter("alias in ('Lin', '年年')")).collect()}
+    assert twice == {(0, "Lin"): 6, (0, "年年"): 1, (1, "年年"): 70, (2, "Lin"): 600, (2, "年年"): 300}
+
+
+def test_sorted_aliases_of_an_edge(spark):
+    """As bits for up to 64 aliases of an entity, as a set for more."""
+    for n in (3, 64, 65):
+        names = [f"n{k}" for k in range(n)]
+        adf = spark.createDataFrame([("e", a, "canonical", "ascii") for a in names], "entity_id string, alias string, match_class string, mode string")
+        cdf = spark.createDataFrame([("c", 0, " ".join(reversed(names))), ("c", 1, f"n2 n{n - 1} n2"), ("c", 2, "n")], CHUNK)
+        got = {r.stage_idx: (r.matched_aliases, r.mention_count) for r in pa.participants(cdf, adf).collect()}
+        assert got == {0: (sorted(names), n), 1: (sorted({"n2", f"n{n - 1}"}), 3)}
+
+
 def test_alias_policies(spark):
     ents = spark.createDataFrame([("e1", "暮", "Mu"), ("e2", "暮", "Mu2"), ("e3", "林澈", "Lin")], ENTITY)
     cur = spark.createDataFrame([("暮", "沉渊", 0), ("林澈", "小林", 1), ("林澈", "L", 2)], "canonical string, alias string, ord bigint")
