@@ -15,6 +15,7 @@ why the ids stay those of one call over the whole text:
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 
@@ -24,10 +25,11 @@ LETTER = "a-zªµºß-öø-ÿ"
 DIGIT = "0-9²³¹¼½¾"
 RUNS = re.compile(f"[{LETTER}]+|[{DIGIT}]|[^{LETTER}{DIGIT}]+")
 PLAIN = re.compile("[!-&(-~¡-ÿ]+")
+ALL_PLAIN = re.compile("[ !-&(-~¡-ÿ]+")
 # white space for Python that may be an ordinary character for the library
 ODD = re.compile("[\x1c-\x1f]")
-WORDS = 600_000  # words remembered by a Python worker; a full dictionary starts anew
-KEPT_RUNS = 900_000  # runs remembered; both together take about 350 MB
+WORDS = 250000  # words of a generation: a Python worker remembers the last full one and the one that grows
+KEPT_RUNS = 180000  # runs of a generation, likewise
 LONGEST = 64  # characters of a word or run worth remembering
 CALL = 200_000  # characters given to the library at once
 
@@ -52,9 +54,11 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         alphabet = _byte_alphabet()
-        self.bytes_as_text = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+        self.bytes_as_text = "".join(chr(b) if b < 0x80 else alphabet[b] for b in range(0x100))
         self.words: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.old_runs: dict[str, bytes] = {}
 
     def ids(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.packed([text])[0], dtype="<u4")
@@ -64,11 +68,11 @@ class WordEncoder:
         odd = {i for i, t in enumerate(texts) if t and ODD.search(t)}
         found = [(t or "").split() if i not in odd else [] for i, t in enumerate(texts)]
         if len(self.words) > WORDS:
-            self.words = {}
+            self.old_words, self.words = self.words, {}
         known = self.words
-        new = {w for ws in found for w in ws if w not in known}
+        new = _recalled(set().union(*found).difference(known), self.old_words, known)
         if new:
-            known.update(self._words(new))
+            self._words(new)
         out = [b"".join([known[w] for w in ws]) for ws in found]
         for w in [w for w in new if len(w) > LONGEST]:
             del known[w]
@@ -76,21 +80,21 @@ class WordEncoder:
             out[i] = self._library([texts[i]])[0]
         return out
 
-    def _words(self, words: set[str]) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
+    def _words(self, words: set[str]) -> None:
+        """Encodes words that are not known and remembers them."""
+        out = self.words
         cut: dict[str, list[str]] = {}
         cuts, plain = RUNS.findall, PLAIN.fullmatch
-        for w in words:
-            if plain(w) and "<|" not in w:
-                cut[w] = cuts(w.lower())
-            else:
-                out[w] = b""
-        others = list(out)
+        together = " ".join(words)
+        others = [] if "<|" not in together and ALL_PLAIN.fullmatch(together) else [w for w in words if "<|" in w or not plain(w)]
         out.update(zip(others, self._library(others), strict=True))
+        for w in words.difference(others) if others else words:
+            lower = w.lower()
+            cut[w] = ([w] if lower == w else [lower]) if lower.isalpha() else cuts(lower)
         if len(self.runs) > KEPT_RUNS:
-            self.runs = {}
+            self.old_runs, self.runs = self.runs, {}
         runs = self.runs
-        new = list({r for rs in cut.values() for r in rs if r not in runs})
+        new = list(_recalled(set().union(*cut.values()).difference(runs), self.old_runs, runs))
         at = 0
         while at < len(new):
             upto, size = at, 0
@@ -98,8 +102,8 @@ class WordEncoder:
                 size += len(new[upto]) + 1
                 upto += 1
             batch = new[at:upto]
-            ids = np.asarray(self.bare.encode_batch_fast([" ".join(batch).translate(self.bytes_as_text)],
-                                                         add_special_tokens=False)[0].ids, dtype="<u4")
+            text = codecs.charmap_decode(" ".join(batch).encode(), "strict", self.bytes_as_text)[0]
+            ids = np.asarray(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(batch):
                 raise ValueError("the vocabulary does not end every run with a word-end token")
@@ -112,7 +116,6 @@ class WordEncoder:
             out[w] = runs[rs[0]] if len(rs) == 1 else b"".join([runs[r] for r in rs])
         for r in [r for r in new if len(r) > LONGEST]:
             del runs[r]
-        return out
 
     def _library(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -128,6 +131,13 @@ class WordEncoder:
         return out
 
 
+def _recalled(new: set[str], old: dict[str, bytes], known: dict[str, bytes]) -> set[str]:
+    """Takes what the generation before knows into the one that grows; returns what neither knows."""
+    again = {w: old[w] for w in new if w in old}
+    known.update(again)
+    return new.difference(again) if again else new
+
+
 def _byte_alphabet() -> dict[int, str]:
     """The printable stand-ins of byte-level vocabularies: a byte that prints stands for itself, others follow from 256."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from scriptloom.llm.bpe_words import encoder, groups, tokenizer_path
@@ -26,6 +27,7 @@ from scriptloom.session import written
 LENGTH = 2048
 END_ID = 0
 GROUP = 50_000
+ROWS = 128  # texts of an Arrow batch that are Python strings at a time
 TOKENIZER = "word_bpe_49k.json"
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -37,11 +39,14 @@ def pieces(documents: DataFrame, path: str | None = None, length: int = LENGTH,
     end = np.array([end_id], dtype="<u4").tobytes()
     schema = PIECE + ", _row bigint" + (", ids array<int>" if with_ids else "")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [c.split()[0] for c in schema.split(", ")]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())][:len(names)]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, row = encoder(path), 0
-        for batch in batches:
-            texts, ids = batch["text"].tolist(), batch["doc_id"].tolist()
-            texts = [t if isinstance(t, str) else None for t in texts]
+        # a batch may hold thousands of long texts: few of them at a time become Python strings
+        for few in (batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS)):
+            texts, ids = few["text"].to_pylist(), few["doc_id"].to_pylist()
             for a, b in groups(texts):
                 out = []
                 for doc_id, raw in zip(ids[a:b], enc.packed(texts[a:b]), strict=True):
@@ -51,11 +56,9 @@ def pieces(documents: DataFrame, path: str | None = None, length: int = LENGTH,
                         out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), row)
                                    + ((np.frombuffer(part, "<u4").astype("i4"),) if with_ids else ()))
                         row += 1
-                frame = pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
-                frame["doc_id"] = frame["doc_id"].astype("Int64")
-                yield frame
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(cut, schema)
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(cut, schema)
 
 
 class Room:

@@ -24,7 +24,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from scriptloom.llm.samples import counted, labelled, telling
@@ -131,9 +131,10 @@ def trained(documents: DataFrame, labels: DataFrame, params: Params = Params())
 
 def severity(model: Model) -> callable:
     """Column function: expected severity of a text column."""
-    @F.pandas_udf("double")
-    def rate(text: pd.Series) -> pd.Series:
-        return text.map(model.severity).astype("float64")
+    @F.arrow_udf("double")
+    def rate(text: pa.Array) -> pa.Array:
+        # one text at a time becomes a Python string; a batch may hold thousands of long ones
+        return pa.array([model.severity(t.as_py()) for t in text], pa.float64())
 
     return rate
 

@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import pytest
 
-from scriptloom.llm import packing, queries, token_rollup, token_store, unigram
+from scriptloom.llm import bpe_words, packing, queries, token_rollup, token_store, unigram
 from scriptloom.llm.bpe_words import WordEncoder, tokenizer_path
 
 pytest.importorskip("public_tokenizers")
@@ -40,6 +40,30 @@ def test_words_encode_like_whole_texts(library):
             assert np.frombuffer(raw, "<u4").tolist() == ids_of(library, text), repr(text)
 
 
+def test_remembered_words_stay_few(library, monkeypatch):
+    """Frequent words outlive a full dictionary; what is remembered is bounded by two generations and a batch."""
+    monkeypatch.setattr(bpe_words, "WORDS", 100)
+    monkeypatch.setattr(bpe_words, "KEPT_RUNS", 80)
+    enc, sought = WordEncoder(tokenizer_path("word_bpe_49k.json")), []
+    plain = enc._words
+    monkeypatch.setattr(enc, "_words", lambda words: (sought.extend(words), plain(words))[1])
+    for k in range(60):
+        text = " ".join(["Often,", "中文", *[f"w{'abcdefghij'[i % 10]}{k}x{i}" for i in range(20)]])
+        assert enc.ids(text).tolist() == ids_of(library, text)
+        assert len(enc.words) + len(enc.old_words) <= 2 * 100 + 2 * 22
+        assert len(enc.runs) + len(enc.old_runs) <= 2 * 80 + 2 * 100
+    assert len(sought) > 1000 and sought.count("Often,") == sought.count("中文") == 1
+
+
+def test_pieces_take_few_texts_at_a_time(spark, monkeypatch):
+    """Arrow batches become Python strings in small parts; rows are numbered across them."""
+    docs = brute.documents(spark, [f"word {i}" if i % 7 else None for i in range(1000)], [*range(999), None]).coalesce(1)
+    rows = packing.pieces(docs)
+    assert "MapInArrow" in rows._jdf.queryExecution().executedPlan().toString()
+    found = rows.collect()
+    assert sorted(r.doc_id for r in found if r.doc_id is not None) == [*range(999)] and [r._row for r in found] == [*range(1000)]
+
+
 def test_store_round_trip(spark, library):
     texts = ODD + ["same"] * 20
     ids = [*range(len(ODD)), *[7] * 10, *[None] * 10]
