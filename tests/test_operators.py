@@ -266,6 +266,30 @@ def test_best_pairs_write_only_what_reaches_the_bound(spark, monkeypatch):
     assert kept and sum(kept) < len(want) / 20
 
 
+@pytest.mark.parametrize("limit", [12, 60])
+def test_many_candidates_are_not_looked_up(spark, monkeypatch, limit):
+    """Candidates whose lookups exceed the memberships are counted in the tasks of their blocks; only the best are looked up."""
+    draw, data = random.Random(5), set()
+    for e in range(240):
+        own = [f"s{e // 2}_{i}" for i in range(16)] if e < 24 else []
+        own += [f"r{draw.randrange(600)}" for _ in range(20 - len(own))] + [f"hot{i}" for i in range(10)]
+        data |= {(f"e{e:03}", c, 1, "participant", "named") for c in own}
+    edges, want = edge_rows(spark, sorted(data)), brute_pairs(data)
+    sought, plain = [], co.verified
+
+    def counting(candidates, members, degree):
+        sought.append(candidates.count())
+        return plain(candidates, members, degree)
+
+    monkeypatch.setattr(co, "verified", counting)
+    monkeypatch.setattr(co, "LOOKUPS", 0)
+    monkeypatch.setattr(co, "MEETINGS", 1e9)
+    got = [(r.a, r.b, r.co_stage_count, r.co_container_count) for r in co.top(edges, limit).collect()]
+    rank = sorted(((*p, *v[:2]) for p, v in want.items()), key=lambda r: (-r[2], -r[3], r[:2]))
+    assert got == rank[:limit]
+    assert sum(sought) == sum(r[2] >= rank[limit - 1][2] for r in rank)
+
+
 def test_edge_order_and_filters(spark):
     e = edge_rows(spark, [("e", "c", None, "summary", "named"), ("e", "c", 1, "participant", "mentioned"), ("e", "c", 0, "deterministic", None)])
     assert [r.stage_idx for r in ed.of_entity(e, "e").collect()] == [0, None]
