@@ -4,6 +4,7 @@ import re
 from collections import Counter
 from itertools import combinations
 
+import pyarrow
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,6 +291,59 @@ def test_many_candidates_are_not_looked_up(spark, monkeypatch, limit):
     assert sum(sought) == sum(r[2] >= rank[limit - 1][2] for r in rank)
 
 
+def test_pairs_are_added_up_in_arrays(spark):
+    """Behind the deal of member lists no row stands for a meeting: nothing is exploded, sorted by pair or windowed there."""
+    data = [(f"e{e:02}", f"c{c}", c % 2, "participant", "named") for e in range(30) for c in range(5)]
+    found = co.table(edge_rows(spark, data), block=10)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    behind = plan[:plan.index("Exchange hashpartitioning(_task")]
+    assert "Generate" not in behind and "Window" not in behind
+    assert {(r.a, r.b): (r.co_stage_count, r.co_container_count, r.sample_containers) for r in found.collect()} == brute_pairs(data)
+    assert all(r.sample_containers == [] for r in co.table(edge_rows(spark, data), sample=0).collect())
+
+
+@pytest.mark.parametrize("n_cells, met", [(6, 50), (6, 10**6), (900, 300)])
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_a_task_counts_dense_and_sparse_blocks(monkeypatch, n_cells, met, blocks):
+    """Few cells: most pairs meet; many cells: few do. A batch of meetings holds one entity at least."""
+    draw = random.Random(n_cells + met)
+    names = [sorted(f"é{draw.randrange(10**6)}" for _ in range(40)) for _ in range(blocks)]
+    held = {(f"c{draw.randrange(n_cells):03}", draw.choice([-1, 0, 1]), b, x) for b in range(blocks) for x in range(40) for _ in range(12)}
+    lists = {}
+    for c, cell, b, x in sorted(held):
+        lists.setdefault((c, cell, b), []).append(x)
+    rows = [{"_own": b, "_names": names[b]} for b in range(blocks)]
+    rows += [{"container_id": c, "cell": cell, "_own": b, "_ats": at} for (c, cell, b), at in lists.items()]
+    types = {"container_id": pyarrow.string(), "cell": pyarrow.int64(), "_own": pyarrow.int32(), "_ats": pyarrow.list_(pyarrow.int16()), "_names": pyarrow.list_(pyarrow.string())}
+    batches = pyarrow.Table.from_pylist(rows, schema=pyarrow.schema(list(types.items()))).to_batches(max_chunksize=7)
+    want = {}
+    for (c, cell, b), at in sorted(lists.items()):
+        for c2, cell2, b2 in ((c, cell, k) for k in range(blocks)):
+            for x in at:
+                for y in lists.get((c2, cell2, b2), []):
+                    if (b == b2 and x < y and blocks == 1) or (b < b2):
+                        pair = tuple(sorted((names[b][x], names[b2][y])))
+                        n = want.setdefault(pair, [0, []])
+                        n[0] += cell != -1
+                        n[1] += [c] * (cell == -1)
+    monkeypatch.setattr(co, "MET", met)
+    got = [tuple(r.values()) for batch in co._counted_in_task(batches, 3, 0) for r in batch.to_pylist()]
+    assert sorted(got, key=str) == sorted(((*p, n, len(cs), *(sorted(cs) + [None] * 3)[:3]) for p, (n, cs) in want.items()), key=str)
+    some = [tuple(r.values()) for batch in co._counted_in_task(batches, 0, 2) for r in batch.to_pylist()]
+    assert sorted(some) == sorted((*p, n, len(cs)) for p, (n, cs) in want.items() if n >= 2)
+
+
+def test_members_go_to_few_blocks_and_as_numbers(spark, monkeypatch):
+    """A chunk of more members than `BLOCK` is not cut for that; its lists hold two bytes for a member, not its name."""
+    data = [(f"e{e:04}", "c", e % 2, "participant", "named") for e in range(1300)]
+    made, plain = {}, co.written
+    monkeypatch.setattr(co, "written", lambda df, name: made.setdefault(name, plain(df, name)))
+    met = co.met_apart(co.memberships(edge_rows(spark, data)))
+    lists = made["cell-lists"]
+    assert dict(lists.dtypes)["_ats"] == "array<smallint>" and "string" not in dict(lists.drop("container_id").dtypes).values()
+    assert lists.select("_own").distinct().count() == 1 and met.count() == 1300 * 1299 // 2
+
+
 def test_edge_order_and_filters(spark):
     e = edge_rows(spark, [("e", "c", None, "summary", "named"), ("e", "c", 1, "participant", "mentioned"), ("e", "c", 0, "deterministic", None)])
     assert [r.stage_idx for r in ed.of_entity(e, "e").collect()] == [0, None]
