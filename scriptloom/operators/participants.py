@@ -1,10 +1,10 @@
 """Matching an alias dictionary against chunk texts, and the tiers that follow from the matches.
 
 The dictionary is never crossed with the texts. An alias without blanks and line feeds lies within one word of a text (what
-these bound), and what follows or precedes it there decides its mention. Where only counts are asked for, such aliases are
-therefore counted once in each distinct word, and the words of the texts meet these counts in one equi-join. Other
-aliases, long ones and words of more than `LONGEST` characters are sought in the texts themselves, as are all aliases
-where places are asked for.
+these bound), and what follows or precedes it there decides its mention. Such aliases are therefore sought once in each
+distinct word, and the words of the texts meet these counts (where places are asked for: places inside the word, to which the
+place of the word is added) in one equi-join. Other aliases and words of more than `LONGEST` characters are sought in the texts
+themselves, as are long aliases where only counts are asked for.
 
 What is searched is cut, in one pass, into pages of `PAGE` characters with a
 margin on both sides, and each page into runs of ASCII word characters and single other characters. These
@@ -39,6 +39,7 @@ PAGE = 160  # characters of a text that are looked at together
 SHORT = 30  # longest alias that a window decides
 SPACE = r"[ \n]"  # what bounds a word; none of it is an ASCII word character
 LONGEST = 64  # characters of a word that is looked up among the distinct ones
+TAKEN = 512  # characters of a text whose words are taken together where their places are asked for
 RUN, SINGLE, LEFT, RIGHT, LONG_RUN, SPEECH = range(6)  # kinds of places
 CHUNK = ["container_id", "stage_idx"]
 
@@ -216,26 +217,82 @@ def _open(words: DataFrame) -> tuple[bool, bool]:
     return bool(facts[0]), bool(facts[1])
 
 
-def spans(chunks: DataFrame, aliases: DataFrame, scope: DataFrame | None = None) -> DataFrame:
-    """Mentions as (chunk, alias, start, size), not overlapping for each alias; start from 0.
-
-    scope: distinct (container_id, alias), a written table; other containers are not cut, and mentions outside of it are not kept.
-    """
-    words = written(dictionary(aliases), "dictionary")
+def _text_spans(chunks: DataFrame, words: DataFrame, scope: DataFrame | None = None) -> DataFrame:
+    """CHUNK, alias, size, bordered, long, start of the dictionary `words`, sought in the texts as they are."""
     columns = [*CHUNK, "alias", "size", "mode", "bordered", "long", "start", "spoke"]
-    if scope is not None:
-        # written, so that its size is known: texts are not dealt by container while the list of containers is short
-        chunks = chunks.join(written(scope.select("container_id").distinct(), "scope-containers"), "container_id", "left_semi")
     rows = found(chunks, words, speech=False, placed=True).select(*columns)
     if scope is not None:
         rows = rows.join(scope, ["container_id", "alias"], "left_semi").select(*columns)
     rows = written(rows, "places")
-    simple = rows.filter("not bordered and not long").select(*CHUNK, "alias", "start", "size")
+    kept = [*CHUNK, "alias", "size", "bordered", "long", "start"]
+    simple = rows.filter("not bordered and not long").select(*kept)
     any_open, any_long = _open(words)
     if not any_open:
         return simple
-    kept = F.explode(_apart(F.col("starts"), F.col("size"))).alias("start")
-    return simple.unionByName(_settled(rows.filter("bordered or long"), chunks, any_long).select(*CHUNK, "alias", kept, "size"))
+    settled = _settled(rows.filter("bordered or long"), chunks, any_long)
+    settled = settled.select(*CHUNK, "alias", "size", F.explode(_apart(F.col("starts"), F.col("size"))).alias("start"))
+    return simple.unionByName(settled.join(words.select("alias", "bordered", "long"), "alias").select(*kept))
+
+
+def _word_spans(chunks: DataFrame, words: DataFrame, scope: DataFrame | None) -> DataFrame:
+    """CHUNK, alias, start, size of the dictionary `words`, whose aliases hold no SPACE.
+
+    An alias is sought once in each distinct word of all texts. The words of a text are taken from pages of `TAKEN` characters, so that
+    the place of a word costs no more than a look at its page. Texts that hold words of more than `LONGEST` characters are searched
+    as they are, with blanks for all other words.
+    """
+    parts = F.split("body", " ", -1)
+    blank = F.transform(parts, lambda w: F.when(F.length(w) <= LONGEST, F.repeat(F.lit(" "), F.length(w))).otherwise(w))
+    any_long = F.col("body").rlike(rf"[^ ]{{{LONGEST + 1}}}")
+    texts = chunks.select(*CHUNK, F.replace("body", F.lit("\n"), F.lit(" ")).alias("body"))
+    texts = written(texts.select(*CHUNK, "body", F.when(any_long, F.array_join(blank, " ")).alias("long_words")), "chunk-texts")
+    whole = (F.col("word") != "") & (F.length("word") <= LONGEST)
+    known = written(texts.select(F.explode(parts).alias("word")).filter(whole).distinct(), "distinct-words")
+    known = spread(known, "word").select(F.col("word").alias("container_id"), F.lit(0).cast("bigint").alias("stage_idx"), F.col("word").alias("body"))
+    hits = _text_spans(known, words).withColumnsRenamed({"container_id": "word", "start": "inside"}).drop("stage_idx")
+    hits = written(hits, "word-hits")
+    size = hits.agg(F.coalesce(F.sum(2 * (F.octet_length("word") + F.octet_length("alias") + 64)), F.lit(0))).first()[0]
+    side = F.broadcast(hits) if size <= BROADCAST_BYTES else hits
+    # a page has one character before it and holds the words that begin in it, with one character after them at least
+    page = rf"(?s)(?=(.{{1,{TAKEN + LONGEST + 1}}})).{{1,{TAKEN}}}"
+    pages = F.posexplode(F.regexp_extract_all(F.concat(F.lit(" "), "body"), F.lit(page), F.lit(1))).alias("page", "text")
+    each = texts.select(*CHUNK, pages).select(*CHUNK, "page", "text", F.posexplode(F.split("text", " ", -1)).alias("at", "word")).filter((F.col("at") > 0) & whole)
+    first = F.length(F.call_function("substring_index", F.col("text"), F.lit(" "), F.col("at")))  # of the word, from 0 in its page
+    each = each.select(*CHUNK, "page", "word", first.alias("first")).filter(F.col("first") < TAKEN)
+    columns = [*CHUNK, "alias", "size", "bordered", "long", "start"]
+    rows = each.join(side, "word").withColumn("start", F.col("page") * TAKEN + F.col("first") + F.col("inside")).select(*columns)
+    if scope is not None:
+        rows = rows.join(scope, ["container_id", "alias"], "left_semi").select(*columns)
+    long_texts = texts.filter("long_words is not null").select(*CHUNK, F.col("long_words").alias("body"))
+    rows = written(rows, "word-places").unionByName(_text_spans(long_texts, words, scope).select(*columns))
+    plain = [*CHUNK, "alias", "start", "size"]
+    # aliases that may overlap themselves are taken apart once more, so that a text that comes twice counts once for them
+    again = rows.filter("bordered and not long").groupBy(*CHUNK, "alias", "size").agg(F.collect_list("start").alias("starts"))
+    apart = again.select(*CHUNK, "alias", F.explode(_apart(F.col("starts"), F.col("size"))).alias("start"), "size")
+    return rows.filter("not bordered or long").select(*plain).unionByName(apart.select(*plain))
+
+
+def spans(chunks: DataFrame, aliases: DataFrame, scope: DataFrame | None = None) -> DataFrame:
+    """Mentions as (chunk, alias, start, size), not overlapping for each alias; start from 0.
+
+    scope: distinct (container_id, alias), a written table; other containers are not cut, and mentions outside of it are not kept.
+    """
+    words = written(dictionary(aliases), "dictionary")
+    in_word = ~F.col("alias").rlike(SPACE)
+
+    def near(some: DataFrame | None) -> DataFrame:
+        if some is None:
+            return chunks
+        # written, so that its size is known: texts are not dealt by container while the list of containers is short
+        return chunks.join(written(some.select("container_id").distinct(), "scope-containers"), "container_id", "left_semi")
+
+    rows = _word_spans(near(scope), words.filter(in_word), scope)
+    others = words.filter(~in_word)
+    if others.isEmpty():
+        return rows
+    if scope is not None:
+        scope = written(scope.join(others.select("alias"), "alias", "left_semi"), "scope-in-texts")
+    return rows.unionByName(_text_spans(near(scope), others, scope).select(*CHUNK, "alias", "start", "size"))
 
 
 def _text_hits(chunks: DataFrame, words: DataFrame, speech: bool) -> DataFrame:

@@ -189,6 +189,40 @@ def brute_pairs(data):
     return {p: (stage[p], len(cs), sorted(cs)[:3]) for p, cs in event.items()}
 
 
+def test_places_are_sought_once_in_each_distinct_word(spark, monkeypatch):
+    """Only distinct words go through the matcher, and texts with words of more than 64 characters; other words are blank there."""
+    searched, plain = [], pa.found
+
+    def counting(chunks, words, **kinds):
+        searched.append([r.body for r in chunks.select("body").collect()])
+        return plain(chunks, words, **kinds)
+
+    monkeypatch.setattr(pa, "found", counting)
+    chunks = spark.createDataFrame([("c", i, "Lin met W, Lin\nmet aa-aa-aa " * 40) for i in range(30)] + [("c", 99, "Lin " + "Lin-" * 30)], CHUNK)
+    aliases = spark.createDataFrame([("Lin",), ("aa-aa",), ("W,",)], "alias string")
+    got = sorted((r.stage_idx, r.alias, r.start) for r in pa.spans(chunks, aliases).collect())
+    want = [(r.stage_idx, a, at) for r in chunks.collect() for a in ("Lin", "aa-aa", "W,") for at in brute_spans(r.body, a)]
+    assert got == sorted(want)
+    assert sorted(searched[0]) == ["Lin", "W,", "aa-aa-aa", "met"] and searched[1:] == [["    " + "Lin-" * 30]]
+
+
+def test_places_over_pages_and_long_words(spark):
+    """Words at every offset of a page, words of 63 to 66 characters and longer ones, aliases with blanks, wide characters."""
+    draw, data = random.Random(8), []
+    pieces = ["Lin", "Lin-Lin", "W", "林澈", "a.a.a.a", "x" * 61 + "Lin", "Lin" + "y" * 62, "é𝒳Lin", "林" * 70, "Lin." * 17, "to go", "", "\n", "𝒳", "q" * 31 + "-W"]
+    for i in range(24):
+        data.append(("c", i, " " * i + draw.choice([" ", "\n"]).join(draw.choice(pieces) for _ in range(draw.choice([3, 150, 700])))))
+    aliases = ["Lin", "林", "林澈", "a.a", "𝒳", "to go", "W", "林林", "q" * 31 + "-W", "Lin.Lin", "x" * 61 + "Lin", "林" * 66, "go Lin", "-"]
+    chunks = spark.createDataFrame([*data, ("c", 99, None), ("d", 1, "Lin")], CHUNK)
+    adf = spark.createDataFrame([(a,) for a in aliases], "alias string")
+    got = Counter((r.container_id, r.stage_idx, r.alias, r.start, r.size) for r in pa.spans(chunks, adf).collect())
+    want = Counter((c, i, a, at, len(a)) for c, i, b in [*data, ("d", 1, "Lin")] for a in aliases for at in brute_spans(b, a))
+    assert got == want
+    scope = spark.createDataFrame([("c", "Lin"), ("c", "to go"), ("d", "W")], "container_id string, alias string")
+    some = Counter((r.container_id, r.stage_idx, r.alias, r.start, r.size) for r in pa.spans(chunks, adf, scope).collect())
+    assert some == Counter({k: n for k, n in want.items() if k[0] == "c" and k[2] in ("Lin", "to go")})
+
+
 @pytest.mark.parametrize("block", [4, 512])
 def test_pairs_with_a_hot_container(spark, block):
     rng = random.Random(3)
