@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from scriptloom import session
 from scriptloom.operators import gram_index as gi
 from scriptloom.operators import mining as mi
 from scriptloom.operators import search as se
@@ -115,3 +116,40 @@ def test_places_of_phrases_are_shuffled_once(spark, words):
     assert plan.count("Exchange ") == 1 and plan[plan.index("Exchange "):].count("HashAggregate") == 0
     rows = {r.phrase: (r.n, r.spread) for r in found.collect()}
     assert len(rows) == (6 if words else 9) and set(rows.values()) == {(3, 3)}
+
+
+@pytest.mark.parametrize("words", [False, True])
+def test_rare_beginnings_go_before_phrases_are_made(spark, words):
+    """Rows below the bounds are left out whatever the chunk number is (null, once, twice); none is made of a rare beginning."""
+    unit = (lambda t: " ".join(t)) if words else (lambda t: "".join(t))
+    data = [("c", 1, "甲乙丙丁"), ("c", 2, "甲乙丙"), ("c", None, "甲乙丙丁"), ("c", 3, "戊己庚戊己庚戊己"), ("c", None, "子丑"), ("c", None, "子丑"), ("c", 4, "子丑"), ("d", 1, "甲乙丙丁"),
+            (None, 1, "甲乙"), (None, 2, "甲乙"), (None, 2, "甲乙")]
+    chunks = spark.createDataFrame([(c, s, unit(b)) for c, s, b in data], CHUNK)
+    every = {tuple(r) for r in mi.counted(chunks, 2, 4, words).collect()}
+    for often, spread in ((3, 2), (1, 2), (2, 1)):
+        found = mi.counted(chunks, 2, 4, words, often, spread)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in found.collect()} == {r for r in every if r[2] >= often and r[3] >= spread}
+        assert plan.index("Generate explode(transform") < plan.index("Window [") and "Filter" in plan[plan.index("Generate explode(transform"):plan.index("Window [")] and plan.count("Exchange ") == 1
+
+
+def test_containers_are_mined_in_passes(spark, monkeypatch):
+    """Each pass holds whole containers, together all of them; what a pass shuffled is gone when it ends, the setting is as before."""
+    data = [(f"c{i % 5}", i, f"the high hill {i % 7} on the high road") for i in range(60)] + [(None, 1, "the high hill"), ("c1", None, "the high hill"), ("c9", 1, None)]
+    chunks = spark.createDataFrame(data, CHUNK)
+    whole = sorted(map(str, mi.mined_names(chunks, least=2, most=4, words=True).collect()))
+    seen, plain, setting = [], mi.counted, []
+
+    def counting(some, *a):
+        seen.append({(r.container_id, r.stage_idx) for r in some.collect()})
+        return plain(some, *a)
+
+    put = type(spark.conf).set
+    monkeypatch.setattr(type(spark.conf), "set", lambda self, key, value: (setting.append((key, value)), put(self, key, value))[1])
+    monkeypatch.setattr(mi, "counted", counting)
+    monkeypatch.setattr(mi, "CHARS", 500)
+    assert sorted(map(str, mi.mined_names(chunks, least=2, most=4, words=True).collect())) == whole
+    assert len(seen) > 2 and sum(map(len, seen)) == len(set().union(*seen)) == len({d[:2] for d in data})
+    homes = [{c for c, _ in s} for s in seen]
+    assert sum(map(len, homes)) == len(set().union(*homes))
+    assert setting.count((session.CLEANUP, "true")) == len(seen) and spark.conf.get(session.CLEANUP, None) != "true"
