@@ -217,13 +217,13 @@ def _open(words: DataFrame) -> tuple[bool, bool]:
     return bool(facts[0]), bool(facts[1])
 
 
-def _text_spans(chunks: DataFrame, words: DataFrame, scope: DataFrame | None = None) -> DataFrame:
+def _text_spans(chunks: DataFrame, words: DataFrame, scope: DataFrame | None = None, name: str = "places") -> DataFrame:
     """CHUNK, alias, size, bordered, long, start of the dictionary `words`, sought in the texts as they are."""
     columns = [*CHUNK, "alias", "size", "mode", "bordered", "long", "start", "spoke"]
     rows = found(chunks, words, speech=False, placed=True).select(*columns)
     if scope is not None:
         rows = rows.join(scope, ["container_id", "alias"], "left_semi").select(*columns)
-    rows = written(rows, "places")
+    rows = written(rows, name)
     kept = [*CHUNK, "alias", "size", "bordered", "long", "start"]
     simple = rows.filter("not bordered and not long").select(*kept)
     any_open, any_long = _open(words)
@@ -249,7 +249,7 @@ def _word_spans(chunks: DataFrame, words: DataFrame, scope: DataFrame | None) ->
     whole = (F.col("word") != "") & (F.length("word") <= LONGEST)
     known = written(texts.select(F.explode(parts).alias("word")).filter(whole).distinct(), "distinct-words")
     known = spread(known, "word").select(F.col("word").alias("container_id"), F.lit(0).cast("bigint").alias("stage_idx"), F.col("word").alias("body"))
-    hits = _text_spans(known, words).withColumnsRenamed({"container_id": "word", "start": "inside"}).drop("stage_idx")
+    hits = _text_spans(known, words, name="places-in-words").withColumnsRenamed({"container_id": "word", "start": "inside"}).drop("stage_idx")
     hits = written(hits, "word-hits")
     size = hits.agg(F.coalesce(F.sum(2 * (F.octet_length("word") + F.octet_length("alias") + 64)), F.lit(0))).first()[0]
     side = F.broadcast(hits) if size <= BROADCAST_BYTES else hits
@@ -264,7 +264,7 @@ def _word_spans(chunks: DataFrame, words: DataFrame, scope: DataFrame | None) ->
     if scope is not None:
         rows = rows.join(scope, ["container_id", "alias"], "left_semi").select(*columns)
     long_texts = texts.filter("long_words is not null").select(*CHUNK, F.col("long_words").alias("body"))
-    rows = written(rows, "word-places").unionByName(_text_spans(long_texts, words, scope).select(*columns))
+    rows = written(rows, "places").unionByName(_text_spans(long_texts, words, scope).select(*columns))
     plain = [*CHUNK, "alias", "start", "size"]
     # aliases that may overlap themselves are taken apart once more, so that a text that comes twice counts once for them
     again = rows.filter("bordered and not long").groupBy(*CHUNK, "alias", "size").agg(F.collect_list("start").alias("starts"))
